@@ -1,0 +1,48 @@
+"""Row counts, and the order each report is shown in."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rivulet.sources.tables import Tables
+
+# Sort keys of the reports, `-` for descending.
+REPORT_ORDER = {
+    "acquisitions_by_channel": ["RUTA", "NroCta"],
+    "realised_acquisitions": ["NroCta", "Periodo"],
+    "first_purchase_products": ["NroCta", "idProducto"],
+    "repurchase": ["NroCta"],
+    "equipment_retention": ["NroCta"],
+    "litres_per_equipment": ["-ConsumoLitros"],
+    "debt_by_route": ["-DeudaTotal"],
+    "monthly_sales_matrix": ["NroCta", "Ruta", "idProducto"],
+    "holiday_recovery": ["-ARecuperarConsumo"],
+    "table_counts": ["-Filas"],
+}
+
+
+def table_counts(t: Tables) -> DataFrame:
+    """Rows of every table."""
+    counts = [
+        t[name].agg(F.count(F.lit(1)).alias("Filas")).select(F.lit(name).alias("Tabla"), "Filas") for name in t.names()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def order_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Sorted by the keys, `-key` descending. A sort is the last step of a report: inside a plan it
+    only costs an exchange."""
+    return df.orderBy(*[F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in keys])
+
+
+def in_report_order(df: DataFrame, report: str) -> DataFrame:
+    """A report's rows in the order it is shown."""
+    if report == "collections_by_route":
+        return df.orderBy("RUTA", F.substring("Mes", 4, 2), F.substring("Mes", 1, 2))
+    if report == "community_consumption":
+        month = F.to_date(F.concat_ws(" ", "AÑO", "MES"), "yyyy MMMM")
+        return df.orderBy("Urbanizacion", "idCliente", month)
+    return order_by(df, *REPORT_ORDER[report])

@@ -1,0 +1,30 @@
+"""Litres moved by installed equipment."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rivulet.functions.exprs import safe_div, valid_at
+from rivulet.plans.orders import sales_lines, volume
+from rivulet.sources.tables import Tables
+
+
+def machines_at(t: Tables, cut: dt.date) -> DataFrame:
+    """(NroCta, Q_FC): distinct machines in place at the cut."""
+    day = F.lit(cut.isoformat()).cast("timestamp_ntz")
+    alive = t["ClientesServicios"].filter(valid_at("Fecha_Desde", "Fecha_Baja", day))
+    counts = alive.groupBy(F.col("IdCliente").alias("NroCta")).agg(F.count_distinct("Nro_Serie").alias("Q_FC"))
+    return counts.filter(F.col("Q_FC") > 0)
+
+
+def litres_per_equipment(t: Tables, cut: dt.date, from_: dt.date, to: dt.date) -> DataFrame:
+    """Litres in `from_ <= date < to` per customer with machines at the cut, and per machine.
+    Litres are summed per customer before they meet the machines."""
+    orders = t.between("Pedidos", from_, to).select("idPedido", F.col("idCliente").alias("NroCta"))
+    lines = orders.join(sales_lines(t, liquid="positive"), "idPedido")
+    litres = lines.groupBy("NroCta").agg(F.sum(volume()).alias("ConsumoLitros"))
+    ratio = safe_div("ConsumoLitros", "Q_FC").cast("decimal(12,2)")
+    return machines_at(t, cut).join(litres, "NroCta").withColumn("LitrosPorEquipo", ratio)
