@@ -3,17 +3,34 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.functions.exprs import quote
 
-def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small inline table."""
-    return spark.createDataFrame(rows, schema)
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return str(value)
+
+
+def values(spark: SparkSession, rows: list[tuple], columns: Sequence[str]) -> DataFrame:
+    """A small inline table. Spark holds its rows in the plan and so knows its size."""
+    lines = ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
+    names = ", ".join(quote(c) for c in columns)
+    return spark.sql(f"SELECT * FROM VALUES {lines} AS v({names})")
 
 
 def month_calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
@@ -36,15 +53,21 @@ def union_events(*sources: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, sources)
 
 
+@functools.cache
+def _scratch() -> str:
+    return tempfile.mkdtemp(prefix="rivulet-")
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder name under the shared folder the cluster names in `spark.checkpoint.dir`; under
+    a local one only where the session names none, as in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _scratch()
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 def keep(df: DataFrame) -> DataFrame:
-    """Materialise an intermediate that several results read. It is written to the shared folder
-    named by `spark.checkpoint.dir`, so it outlives any executor, and is read back as a scan."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        # Only where the session names no shared folder, as in tests.
-        root = tempfile.mkdtemp(prefix="rivulet-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/kept-{uuid.uuid4().hex}"
+    """Materialise an intermediate that several results read: written to the shared folder, so it
+    outlives any executor, and read back as a scan."""
+    path = shared_folder(df.sparkSession, "kept")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

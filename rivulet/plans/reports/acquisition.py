@@ -28,10 +28,14 @@ from rivulet.sources.layout import in_window
 from rivulet.sources.tables import Tables
 
 
-def _orders_of(t: Tables, customers: DataFrame, before: dt.date | None = None) -> DataFrame:
-    """Orders of a customer set, so that later joins see only those."""
-    orders = t.between("Pedidos", before=before)
-    return semi(orders, customers, "idCliente", "NroCta")
+def _orders_of(t: Tables, accounts: DataFrame, before: dt.date | None = None) -> DataFrame:
+    """Orders of the accounts. A report passes the accounts by registration date alone: a narrow
+    scan that holds all its customers, without computing them twice."""
+    return semi(t.between("Pedidos", before=before), accounts, "idCliente", "NroCta")
+
+
+def _registered_since(t: Tables, table: str, since: dt.date) -> DataFrame:
+    return in_window(t[table], "FecAlt", since).select("NroCta")
 
 
 def acquisitions_by_channel(
@@ -61,7 +65,8 @@ def acquisitions_by_channel(
     customers = union_states(active, closed.select(*columns, F.to_date("FecBaj").alias("FecBaj")))
     customers = with_category(t, customers, "inner")
 
-    first = first_order(t, "liquid", _orders_of(t, customers)).select(
+    accounts = _registered_since(t, "Clientes", since).union(_registered_since(t, "ClientesBaja", since))
+    first = first_order(t, "liquid", _orders_of(t, accounts)).select(
         F.col("idCliente").alias("NroCta"),
         F.col("idPedido").alias("PrimerPedido"),
         F.col("Fecha_Pedido").alias("FechaPrimerPedido"),
@@ -121,7 +126,7 @@ def realised_acquisitions(
     """
     cut = first_of_month(from_, -2) if registered_after is None else registered_after
     customers = _new_customers(t, cut, routes, "inner")
-    orders = _orders_of(t, customers, before=day_after(to)).select(
+    orders = _orders_of(t, _registered_since(t, "Clientes", cut), before=day_after(to)).select(
         "idPedido", "idCliente", F.to_date("Fecha_Pedido").alias("Fecha")
     )
     paid = orders.join(order_totals(sales_lines(t, paid=True)), "idPedido")
@@ -163,7 +168,8 @@ def repurchase(
     to buy again, stays with NULLs. `cohort` limits the report to its `NroCta`."""
     cut = None if months is None else first_of_month(as_of, -months)
     customers = restrict(_new_customers(t, cut, None, "left"), cohort, "NroCta")
-    orders = t["Pedidos"] if cut is None and cohort is None else _orders_of(t, customers)
+    orders = t["Pedidos"] if cut is None else _orders_of(t, _registered_since(t, "Clientes", cut))
+    orders = restrict(orders, cohort, "idCliente", "NroCta")
     pair = nth_pair(
         purchases(t, "paid", orders),
         "idCliente",

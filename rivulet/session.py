@@ -16,6 +16,8 @@ CLUSTER_DEFAULTS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the Python call site of every column costs more than planning a report.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

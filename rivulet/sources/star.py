@@ -6,10 +6,12 @@ it needs. `catalog/star_sql.py` states the same definitions in SQL.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.sources.schema import canonical_schema
+from rivulet.operators.rowsets import values
 from rivulet.sources.tables import Tables
 
 SUPERVISOR_BASE = 1000
@@ -26,14 +28,10 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The 21 tables over the star schema at `sf_dir`."""
 
+    @functools.cache
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    def catalog(table: str, names: list[str], rows: list[tuple]) -> DataFrame:
-        fields = {f.name: f for f in canonical_schema(table).fields}
-        ddl = ", ".join(f"{n} {fields[n].dataType.simpleString()}" for n in names)
-        return spark.createDataFrame(rows, ddl)
-
     def clientes() -> DataFrame:
         return _accounts(read, closed=False).select(
             "NroCta", "Nombre", "Direcc", "Telefn", "Categoria", "TipCli", "CndPag", "Atrib5", "FecAlt"
@@ -95,7 +93,8 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
         return joined.select("idPedido", "idVendedor", "Fecha_Pedido", "idCliente", "Status")
 
     def pedidos_productos() -> DataFrame:
-        free = F.col("l_discount").cast("decimal(4,2)") == F.lit("0.10").cast("decimal(4,2)")
+        # Discounts are whole cents; comparing doubles spares a decimal conversion per line.
+        free = F.abs(F.col("l_discount") - 0.10) < 0.005
         price = F.when(free, 0).otherwise(F.col("l_extendedprice").cast("decimal(15,2)"))
         return read("lineitem").select(
             F.col("l_orderkey").alias("idPedido"),
@@ -199,12 +198,12 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(
         spark,
         {
-            "CondPAGO": lambda: catalog("CondPAGO", ["Codigo", "Descrp", "DiasCR"], PAYMENT_TERMS),
-            "TiposCli": lambda: catalog("TiposCli", ["Codigo", "Descrp"], [(s, s) for s in SEGMENTS]),
-            "Categorias": lambda: catalog("Categorias", ["Categoria", "Descripcion"], CATEGORIES),
-            "ClientesAtrLis": lambda: catalog("ClientesAtrLis", ["AtrNro", "AtrCod", "AtrDes"], ATTRIBUTES),
-            "CteVtas": lambda: catalog("CteVtas", ["Codigo", "Descrp", "DebHab"], DOCUMENTS),
-            "CptTes": lambda: catalog("CptTes", ["Codigo", "Descrp", "DebHab"], METHODS),
+            "CondPAGO": lambda: values(spark, PAYMENT_TERMS, ["Codigo", "Descrp", "DiasCR"]),
+            "TiposCli": lambda: values(spark, [(s, s) for s in SEGMENTS], ["Codigo", "Descrp"]),
+            "Categorias": lambda: values(spark, CATEGORIES, ["Categoria", "Descripcion"]),
+            "ClientesAtrLis": lambda: values(spark, ATTRIBUTES, ["AtrNro", "AtrCod", "AtrDes"]),
+            "CteVtas": lambda: values(spark, DOCUMENTS, ["Codigo", "Descrp", "DebHab"]),
+            "CptTes": lambda: values(spark, METHODS, ["Codigo", "Descrp", "DebHab"]),
             "Productos": productos,
             "Rutas": rutas,
             "repartos": repartos,
