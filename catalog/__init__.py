@@ -1,9 +1,9 @@
 """Registered queries on the star schema, each next to the SQL that states its result."""
 
-from catalog import operators, reports
+from catalog import measures, operators, reports
 from catalog.registry import QUERIES
 
-__all__ = ["all_names", "operators", "reports"]
+__all__ = ["all_names", "measures", "operators", "reports"]
 
 
 def all_names() -> list[str]:

@@ -17,6 +17,12 @@ def safe_div(a: ColumnOrName, b: ColumnOrName) -> Column:
     return _col(a) / F.nullif(_col(b), F.lit(0))
 
 
+def ratio(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """a / b as a double, NULL where b is 0. Exact sums go in; one division rounds once, where a
+    quotient of wide decimals would keep only six digits."""
+    return _col(a).cast("double") / F.nullif(_col(b).cast("double"), F.lit(0.0))
+
+
 def divide(a: ColumnOrName, b: ColumnOrName, alternate: float | int | None = None) -> Column:
     """a / b, and `alternate` where b is 0 or NULL."""
     return F.coalesce(F.try_divide(_col(a), _col(b)), F.lit(alternate))

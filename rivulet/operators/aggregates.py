@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.functions.exprs import ratio
 from rivulet.operators.windows import dedupe_one
 
 
@@ -48,7 +49,7 @@ def share_of_total(df: DataFrame, value: str, into: str, universe: DataFrame | N
     on `df` leaves it alone. The total is a scalar subquery, not a window that would gather every
     row in one task."""
     total = (df if universe is None else universe).agg(F.sum(value)).scalar()
-    return df.withColumn(into, F.col(value) / F.nullif(total, F.lit(0)))
+    return df.withColumn(into, ratio(value, total))
 
 
 def top1(df: DataFrame, by: Sequence[str], label: str, amount: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.dates import first_of_month, month_start
-from rivulet.functions.exprs import safe_div, sum_if
+from rivulet.functions.exprs import ratio, sum_if
 from rivulet.operators.aggregates import top1
 from rivulet.plans.orders import amount, sales_lines
 from rivulet.sources.tables import Tables
@@ -33,7 +33,7 @@ def total_collected(rc: DataFrame, by: Sequence[str] = (), exclude: Sequence[str
 
 
 def _share(methods: Sequence[str]) -> Column:
-    return safe_div(sum_if(F.col("CodCpt").isin(*methods), "Total"), F.sum("Total"))
+    return ratio(sum_if(F.col("CodCpt").isin(*methods), "Total"), F.sum("Total"))
 
 
 def share(rc: DataFrame, methods: Sequence[str], by: Sequence[str], name: str = "Pct") -> DataFrame:
@@ -44,7 +44,7 @@ def share(rc: DataFrame, methods: Sequence[str], by: Sequence[str], name: str =
 def rest_share(rc: DataFrame, methods: Sequence[str], by: Sequence[str], name: str = "PctResto") -> DataFrame:
     """Part of the total that came by any other method."""
     rest = sum_if(~F.col("CodCpt").isin(*methods), "Total")
-    return rc.groupBy(*by).agg(safe_div(rest, F.sum("Total")).alias(name))
+    return rc.groupBy(*by).agg(ratio(rest, F.sum("Total")).alias(name))
 
 
 def collection_mix(rc: DataFrame, by: Sequence[str], groups: Mapping[str, Sequence[str]] = MIX) -> DataFrame:
@@ -53,7 +53,7 @@ def collection_mix(rc: DataFrame, by: Sequence[str], groups: Mapping[str, Sequen
     return rc.groupBy(*by).agg(
         F.sum("Total").alias("TotalCobrado"),
         *[_share(methods).alias(name) for name, methods in groups.items()],
-        safe_div(rest, F.sum("Total")).alias("PctResto"),
+        ratio(rest, F.sum("Total")).alias("PctResto"),
     )
 
 
@@ -69,7 +69,7 @@ def collection_cost(rc: DataFrame, rates: DataFrame, by: Sequence[str]) -> DataF
 def cost_ratio(rc: DataFrame, rates: DataFrame, by: Sequence[str]) -> DataFrame:
     """Cost over what was collected without withholdings."""
     cost = collection_cost(rc, rates, by)
-    return cost.withColumn("PctCosto", safe_div("Costo", "CobradoReal"))
+    return cost.withColumn("PctCosto", ratio("Costo", "CobradoReal"))
 
 
 def over_threshold(cost: DataFrame, limit: float = COST_TOLERANCE) -> DataFrame:
@@ -93,7 +93,7 @@ def dso(debt: DataFrame, sales: DataFrame, workdays: DataFrame, by: Sequence[str
     joined = debt
     for other in (sales, workdays):
         joined = joined.join(other, [c for c in by if c in other.columns], "left")
-    return joined.withColumn("DiasCalle", safe_div("Deuda", safe_div("Ventas", "Dias")))
+    return joined.withColumn("DiasCalle", ratio("Deuda", ratio("Ventas", "Dias")))
 
 
 def monthly_debt(moves: DataFrame, by: Sequence[str], months: Sequence[dt.date]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.dates import closed_months, first_of_month, month_start
-from rivulet.functions.exprs import safe_div, valid_at
+from rivulet.functions.exprs import ratio, valid_at
 from rivulet.plans.orders import sales_lines, volume
 from rivulet.sources.tables import Tables
 
@@ -67,11 +67,11 @@ def product_mix(t: Tables, families: Families, as_of: dt.date, months: int = 14,
     for name in families:
         litres = F.sum(f"_litros_{name}")
         measures += [
-            safe_div(F.sum(f"_tiene_{name}"), customers).alias(f"PctClientes{name}"),
+            ratio(F.sum(f"_tiene_{name}"), customers).alias(f"PctClientes{name}"),
             litres.alias(f"Litros{name}"),
-            safe_div(litres, F.sum("Litros")).alias(f"PctLitros{name}"),
+            ratio(litres, F.sum("Litros")).alias(f"PctLitros{name}"),
         ]
-    measures.append(safe_div(F.sum("_con_equipo"), customers).alias("PctClientesFC"))
+    measures.append(ratio(F.sum("_con_equipo"), customers).alias("PctClientesFC"))
     return joined.groupBy("Mes").agg(*measures)
 
 
@@ -85,7 +85,7 @@ def machine_productivity(t: Tables, as_of: dt.date, months: int) -> DataFrame:
     held = rows.withColumn("Q_FC", F.col("_equipos")[F.col("_pos")]).filter(F.col("Q_FC") > 0)
     found = F.coalesce(F.try_element_at("_litros", F.col("Mes")), F.lit(0))
     return held.join(monthly, "NroCta", "left").select(
-        "NroCta", "Mes", "Q_FC", found.alias("Litros"), safe_div(found, "Q_FC").alias("LitrosPorEquipo")
+        "NroCta", "Mes", "Q_FC", found.alias("Litros"), ratio(found, "Q_FC").alias("LitrosPorEquipo")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.dates import first_of_month, month_start
-from rivulet.functions.exprs import safe_div
+from rivulet.functions.exprs import ratio
 from rivulet.plans.orders import amount, sales_lines, volume
 from rivulet.sources.tables import Tables
 
@@ -40,8 +40,8 @@ def trend(df: DataFrame, value: str, by: Sequence[str], as_of: dt.date, months:
     )
     return valued.withColumns(
         {
-            "VarMes": safe_div(F.col(value) - F.col("MesAnterior"), "MesAnterior"),
-            "VarAnio": safe_div(F.col(value) - F.col("AnioAnterior"), "AnioAnterior"),
+            "VarMes": ratio(F.col(value) - F.col("MesAnterior"), "MesAnterior"),
+            "VarAnio": ratio(F.col(value) - F.col("AnioAnterior"), "AnioAnterior"),
         }
     )
 
@@ -74,7 +74,7 @@ def route_variance(sales: DataFrame, benchmark: DataFrame, as_of: dt.date, band:
     benchmark (`Ruta`, `Benchmark`), each with its tolerance label."""
     month = trend(sales, "Litros", ["Ruta"], as_of, months=1).drop("Mes")
     joined = month.join(benchmark.select("Ruta", "Benchmark"), "Ruta", "left")
-    compared = joined.withColumn("VarBenchmark", safe_div(F.col("Litros") - F.col("Benchmark"), "Benchmark"))
+    compared = joined.withColumn("VarBenchmark", ratio(F.col("Litros") - F.col("Benchmark"), "Benchmark"))
     return compared.withColumns(
         {f"Banda{name}": band_label(F.col(f"Var{name}"), band) for name in ("Mes", "Anio", "Benchmark")}
     )

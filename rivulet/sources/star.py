@@ -195,6 +195,11 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
             key.alias("IdCliente"), (key - key % 10).alias("Cta_Madre")
         )
 
+    def precios() -> DataFrame:
+        return read("part").select(
+            F.col("p_partkey").alias("idProducto"), F.col("p_retailprice").cast("decimal(15,2)").alias("PrecioLista")
+        )
+
     return Tables(
         spark,
         {
@@ -220,6 +225,7 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
             "CtaCteVT": cta_cte,
             "MovTes": mov_tes,
         },
+        extra={"PreciosLista": precios},
     )
 
 

@@ -14,9 +14,16 @@ from rivulet.sources.schema import DATE_COLUMN, TABLE_COLUMNS, canonical_schema
 class Tables:
     """The 21 tables by name. A table is built on first use, so an unused one costs nothing."""
 
-    def __init__(self, spark: SparkSession, makers: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        makers: Mapping[str, Callable[[], DataFrame]],
+        extra: Mapping[str, Callable[[], DataFrame]] | None = None,
+    ):
+        """`extra` holds parameter tables (list prices, targets) that are not part of the schema."""
         self.spark = spark
-        self._makers = dict(makers)
+        self._names = list(makers)
+        self._makers = {**makers, **(extra or {})}
         self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -27,7 +34,7 @@ class Tables:
         return self._frames[name]
 
     def names(self) -> list[str]:
-        return list(self._makers)
+        return list(self._names)
 
     def between(self, name: str, start: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
         """A dated table cut to `start <= date < before`."""
