@@ -55,15 +55,8 @@ def days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
 
 
 def month_name(day: ColumnOrName) -> Column:
-    """Full English month name, whatever the session's locale."""
-    # Month names.
-    names = F.array(
-        *map(
-            F.lit,
-            "January February March April May June July August September October November December".split(),
-        )
-    )
-    return F.element_at(names, F.month(day))
+    """Full English month name; Spark formats in English whatever the machine's locale."""
+    return F.date_format(day, "MMMM")
 
 
 def weekday(day: ColumnOrName) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +74,7 @@ def load_all(
             write_table(source, f"{parquet_dir}/{name}", name)
             rows = spark.read.parquet(f"{parquet_dir}/{name}").count()
             loaded.append(name)
-        except PySparkException as problem:
+        except (PySparkException, Py4JJavaError) as problem:
             error = str(problem).splitlines()[0]
         report.append((name, rows, int((time.monotonic() - started) * 1000), error))
     tables = Tables.from_parquet(spark, parquet_dir, loaded)
