@@ -39,7 +39,9 @@ def comparable(df: DataFrame) -> DataFrame:
 
     def plain(field: T.StructField) -> Column:
         column = F.col(quote(field.name))
-        if isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
+        if isinstance(field.dataType, T.DecimalType) and field.dataType.scale <= 4:
+            column = column.cast("double")
+        elif isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
             column = F.round(column.cast("double"), 4)
         elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             column = F.date_format(column, "yyyy-MM-dd")

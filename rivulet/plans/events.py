@@ -17,7 +17,11 @@ from rivulet.sources.tables import Tables
 
 def month_events(t: Tables, customers: DataFrame, start: dt.date, before: dt.date) -> DataFrame:
     """Orders (E2) and equipment retirements (E1, E3, E4, EC) of the customers in the month, as
-    (NroCta, FechaEvento, IdReparto, TipoEvento)."""
+    (NroCta, FechaEvento, TipoEvento, IdReparto) and how often each occurred.
+
+    Equal events are counted before the customers are matched, so a customer with very many is a
+    few rows by then; where the customers fit a broadcast, Spark matches them first.
+    """
     orders = t.between("Pedidos", start, before).select(
         F.col("idCliente").alias("NroCta"),
         F.to_date("Fecha_Pedido").alias("FechaEvento"),
@@ -35,18 +39,20 @@ def month_events(t: Tables, customers: DataFrame, start: dt.date, before: dt.dat
         "IdReparto",
         retirement_event("IdReparto", "IdRecambio").alias("TipoEvento"),
     )
-    return semi(union_events(orders, retirements), customers, "NroCta")
+    counted = (
+        union_events(orders, retirements)
+        .groupBy("NroCta", "FechaEvento", "TipoEvento", "IdReparto")
+        .agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    )
+    return semi(counted, customers, "NroCta")
 
 
-def event_summary(events: DataFrame) -> DataFrame:
+def event_summary(counted: DataFrame) -> DataFrame:
     """Per customer: the event that wins, how many kinds occurred, and the text of all.
 
-    Equal events are counted first. What is then gathered per customer is bounded by days x kinds
-    x routes, whatever the number of rows, and one pass over it yields all three results.
+    What is gathered per customer is bounded by days x kinds x routes, whatever the number of
+    events, and one pass over it yields all three results.
     """
-    counted = events.groupBy("NroCta", "FechaEvento", "TipoEvento", "IdReparto").agg(
-        F.count(F.lit(1)).cast("int").alias("_times")
-    )
     route = F.when(F.col("IdReparto").isNull(), "").otherwise(F.concat(F.lit(" - R"), F.col("IdReparto")))
     text = F.concat(
         "TipoEvento", F.lit(":"), event_text("TipoEvento"), F.lit(" ("), fmt_dmy("FechaEvento"), route, F.lit(")")

@@ -21,13 +21,23 @@ CLUSTER_DEFAULTS = {
 }
 
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, floor: int = 200) -> int:
+    """Reducers that keep a shuffle of `input_bytes` at about 128 MB each. AQE merges small ones
+    but cannot split a shuffle that was planned with too few."""
+    return max(floor, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+
+
 def build_session(
     app_name: str = "rivulet",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     **conf: str,
 ) -> SparkSession:
-    """A session with the defaults above; `conf` keys use `__` for a dot."""
+    """A session with the defaults above; `conf` keys use `__` for a dot. On a cluster pass
+    `shuffle_partitions_for` of the bytes the widest join shuffles."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

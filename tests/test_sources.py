@@ -8,6 +8,7 @@ from rivulet.sources.csv_files import CORRUPT, load_all, read_csv
 from rivulet.sources.layout import MONTH, in_window, save_bucketed, write, write_table
 from rivulet.sources.schema import TABLE_COLUMNS, canonical_schema, columns_of
 from rivulet.sources.tables import Tables
+from rivulet.streaming.refresh import refresh_table
 
 
 def put(path, text, newline="\n"):
@@ -117,3 +118,23 @@ def test_inline_values_and_calendar(spark):
     assert rows[0].s == "it's \\ ok" and rows[0].d is None and rows[1].d == dt.date(2026, 1, 1)
     months = [r.Mes for r in month_calendar(spark, dt.date(2025, 11, 30), dt.date(2026, 2, 1)).collect()]
     assert months == [dt.date(2025, 11, 1), dt.date(2025, 12, 1), dt.date(2026, 1, 1), dt.date(2026, 2, 1)]
+
+
+def test_refresh_loads_each_file_once(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    header = ",".join(n for n, _ in columns_of("Pedidos"))
+    out, memory = str(tmp_path / "Pedidos"), str(tmp_path / "memory")
+
+    def run():
+        refresh_table(spark, "Pedidos", str(drop), out, memory)
+        return sorted(r.idPedido for r in spark.read.parquet(out).collect())
+
+    put(drop / "a.csv", f"{header}\n1,2,2026-05-01,3,,,,,PR,\n2,2,2026-06-01,3,,,,,PR,\n")
+    assert run() == [1, 2]
+    assert run() == [1, 2]
+    put(drop / "b.csv", f"{header}\n3,2,2026-06-02,3,,,,,PR,\n")
+    assert run() == [1, 2, 3]
+    stored = Tables.from_parquet(spark, str(tmp_path), ["Pedidos"])
+    june = stored.between("Pedidos", dt.date(2026, 6, 1), dt.date(2026, 7, 1))
+    assert sorted(r.idPedido for r in june.collect()) == [2, 3]
