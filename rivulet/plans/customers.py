@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.rules import SEGMENT_ATTRIBUTE
+from rivulet.operators.rowsets import union_states
 from rivulet.operators.windows import dedupe_one
 from rivulet.sources.tables import Tables
 
@@ -55,6 +56,14 @@ def latest_closure(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return dedupe_one(df, keys, [F.desc_nulls_last("FecBaj"), F.desc("IdClienteBaja")])
 
 
+def one_per_account(active: DataFrame, closed: DataFrame) -> DataFrame:
+    """Both customer tables as one row per account: the active record if there is one, else the
+    latest closure. Closures are reduced before the union, where that still happens in the map
+    tasks."""
+    people = union_states(active, latest_closure(closed, ["NroCta"]))
+    return dedupe_one(people, "NroCta", ["Estado"])
+
+
 def with_terms(t: Tables, df: DataFrame) -> DataFrame:
     """Payment code and label (CndPagCod, MediodePago); customers of unknown terms drop."""
     dim = t["CondPAGO"].select(F.col("Codigo").alias("CndPagCod"), F.rtrim("Descrp").alias("MediodePago"))

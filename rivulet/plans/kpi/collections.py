@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.dates import first_of_month, month_start
 from rivulet.functions.exprs import ratio, sum_if
 from rivulet.operators.aggregates import top1
-from rivulet.plans.orders import amount, sales_lines
+from rivulet.plans.orders import amount, lines_of
 from rivulet.sources.tables import Tables
 
 # Treasury methods behind the mix measures, and the tolerated collection cost.
@@ -114,7 +114,7 @@ def customer_month_sales(t: Tables, start: dt.date, before: dt.date) -> DataFram
     orders = t.between("Pedidos", start, before).select(
         "idPedido", F.col("idCliente").alias("NroCta"), month_start("Fecha_Pedido").alias("Mes")
     )
-    lines = orders.join(sales_lines(t, liquid="nonzero"), "idPedido")
+    lines = lines_of(t, orders, liquid="nonzero")
     return lines.groupBy("NroCta", "Mes").agg(F.sum(amount()).alias("Ventas"))
 
 

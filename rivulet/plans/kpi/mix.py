@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.dates import closed_months, first_of_month, month_start
 from rivulet.functions.exprs import ratio, valid_at
-from rivulet.plans.orders import sales_lines, volume
+from rivulet.plans.orders import lines_of, volume
 from rivulet.sources.tables import Tables
 
 Families = Mapping[str, Sequence[str]]
@@ -43,7 +43,7 @@ def customer_months(t: Tables, start: dt.date, before: dt.date, families: Famili
     orders = t.between("Pedidos", start, before).select(
         "idPedido", F.col("idCliente").alias("NroCta"), month_start("Fecha_Pedido").alias("Mes")
     )
-    lines = orders.join(sales_lines(t, liquid="positive"), "idPedido")
+    lines = lines_of(t, orders, liquid="positive")
     parts = []
     for name, codes in families.items():
         inside = F.col(column).isin(*codes)

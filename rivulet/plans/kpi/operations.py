@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.dates import day_after, shift_months, weekday
 from rivulet.functions.exprs import percent, sum_if, try_decimal
 from rivulet.operators.aggregates import share_of_total
-from rivulet.plans.orders import amount, sales_lines
+from rivulet.plans.orders import amount, lines_of
 from rivulet.sources.tables import Tables
 
 
@@ -27,7 +27,7 @@ def holiday_table(t: Tables, holidays: Sequence[dt.date], months: int = 2, min_d
         .filter(F.col("idCliente") != 0)
         .select("idPedido", F.col("idVendedor").alias("Ruta"), F.to_date("Fecha_Pedido").alias("Fecha"))
     )
-    lines = orders.join(sales_lines(t, liquid="nonzero"), "idPedido")
+    lines = lines_of(t, orders, liquid="nonzero")
     daily = lines.groupBy("Ruta", "Fecha").agg(sum_if(F.col("Precio") > 0, amount()).alias("Consumo"))
     windows = F.array(
         *[F.struct(F.lit(h).alias("Feriado"), F.lit(shift_months(h, -months)).alias("desde")) for h in holidays]

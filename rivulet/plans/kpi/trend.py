@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.dates import first_of_month, month_start
 from rivulet.functions.exprs import ratio
-from rivulet.plans.orders import amount, sales_lines, volume
+from rivulet.plans.orders import amount, lines_of, volume
 from rivulet.sources.tables import Tables
 
 
@@ -51,7 +51,7 @@ def route_sales(t: Tables, start: dt.date, before: dt.date) -> DataFrame:
     orders = t.between("Pedidos", start, before).select(
         "idPedido", F.col("idVendedor").alias("Ruta"), month_start("Fecha_Pedido").alias("Mes")
     )
-    lines = orders.join(sales_lines(t, liquid="nonzero"), "idPedido")
+    lines = lines_of(t, orders, liquid="nonzero")
     return lines.groupBy("Ruta", "Unidad", "Mes").agg(
         F.sum(volume()).alias("Litros"),
         F.sum(F.when(F.col("Precio") > 0, volume()).otherwise(0)).alias("LitrosConCargo"),

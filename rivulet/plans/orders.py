@@ -22,21 +22,34 @@ def packs() -> Column:
     return safe_div("Cantidad", "cantidad_x_bulto")
 
 
+def _products(t: Tables, liquid: str | None) -> DataFrame:
+    products = t["Productos"].select("idProducto", "Abreviatura", "Unidad", "Litros", "cantidad_x_bulto")
+    if liquid == "positive":
+        return products.filter(F.col("Litros") > 0)
+    if liquid == "nonzero":
+        return products.filter(F.col("Litros") != 0)
+    return products
+
+
+def _lines(t: Tables, paid: bool) -> DataFrame:
+    lines = t["Pedidos_Productos"].select("idPedido", "idProducto", "Cantidad", "Precio")
+    return lines.filter(F.col("Precio") > 0) if paid else lines
+
+
 def sales_lines(t: Tables, paid: bool = False, liquid: str | None = None) -> DataFrame:
     """Order lines with their product's litres and pack size.
 
     `paid` keeps lines with a price. `liquid` keeps products by volume: "positive" or "nonzero".
     Without `liquid`, a line of an unknown product stays, with NULL litres.
     """
-    lines = t["Pedidos_Productos"]
-    if paid:
-        lines = lines.filter(F.col("Precio") > 0)
-    products = t["Productos"].select("idProducto", "Abreviatura", "Unidad", "Litros", "cantidad_x_bulto")
-    if liquid == "positive":
-        products = products.filter(F.col("Litros") > 0)
-    elif liquid == "nonzero":
-        products = products.filter(F.col("Litros") != 0)
-    return lines.join(products, "idProducto", "inner" if liquid else "left")
+    return _lines(t, paid).join(_products(t, liquid), "idProducto", "inner" if liquid else "left")
+
+
+def lines_of(t: Tables, orders: DataFrame, paid: bool = False, liquid: str | None = None) -> DataFrame:
+    """The same for a set of orders, which is joined first: where the products are too many to
+    broadcast, only lines of these orders are shuffled to meet them."""
+    joined = orders.join(_lines(t, paid), "idPedido")
+    return joined.join(_products(t, liquid), "idProducto", "inner" if liquid else "left")
 
 
 def order_totals(lines: DataFrame) -> DataFrame:

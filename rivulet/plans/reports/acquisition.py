@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import rules
 from rivulet.functions.dates import day_after, days_between, first_of_month, fmt_dmy, fmt_ym, legacy_text_date
+from rivulet.functions.exprs import any_flag
 from rivulet.functions.text import like
 from rivulet.operators.joins import restrict, semi
 from rivulet.operators.rowsets import union_states
@@ -35,7 +36,7 @@ def _orders_of(t: Tables, accounts: DataFrame, before: dt.date | None = None) ->
 
 
 def _registered_since(t: Tables, table: str, since: dt.date) -> DataFrame:
-    return in_window(t[table], "FecAlt", since).select("NroCta")
+    return in_window(t[table], "FecAlt", since).filter(F.col("NroCta") != 0).select("NroCta")
 
 
 def acquisitions_by_channel(
@@ -146,14 +147,18 @@ def first_purchase_products(t: Tables) -> DataFrame:
     The first order counts all orders, so one without water or soda yields no row.
     """
     first = first_order(t, "all").select("idPedido", "idCliente")
-    lines = first.join(sales_lines(t, liquid="positive"), "idPedido")
-    return (
-        lines.groupBy(F.col("idCliente").alias("NroCta"), "idProducto", "Abreviatura")
-        .agg(
-            F.sum(amount()).alias("TotalImporteProducto"),
-            F.max(F.when(F.col("Precio") == 0, 1).otherwise(0)).alias("TieneLineaPrecio0"),
-        )
-        .withColumn("TipoPromo", rules.promo_class(None, "TotalImporteProducto", "TieneLineaPrecio0"))
+    lines = first.join(t["Pedidos_Productos"], "idPedido")
+    bought = lines.groupBy(F.col("idCliente").alias("NroCta"), "idProducto").agg(
+        F.sum(amount()).alias("TotalImporteProducto"), any_flag(F.col("Precio") == 0).alias("TieneLineaPrecio0")
+    )
+    products = t["Productos"].filter(F.col("Litros") > 0).select("idProducto", "Abreviatura")
+    return bought.join(products, "idProducto").select(
+        "NroCta",
+        "idProducto",
+        "Abreviatura",
+        "TotalImporteProducto",
+        "TieneLineaPrecio0",
+        rules.promo_class(None, "TotalImporteProducto", "TieneLineaPrecio0").alias("TipoPromo"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.exprs import safe_div, valid_at
-from rivulet.plans.orders import sales_lines, volume
+from rivulet.plans.orders import lines_of, volume
 from rivulet.sources.tables import Tables
 
 
@@ -24,7 +24,7 @@ def litres_per_equipment(t: Tables, cut: dt.date, from_: dt.date, to: dt.date) -
     """Litres in `from_ <= date < to` per customer with machines at the cut, and per machine.
     Litres are summed per customer before they meet the machines."""
     orders = t.between("Pedidos", from_, to).select("idPedido", F.col("idCliente").alias("NroCta"))
-    lines = orders.join(sales_lines(t, liquid="positive"), "idPedido")
+    lines = lines_of(t, orders, liquid="positive")
     litres = lines.groupBy("NroCta").agg(F.sum(volume()).alias("ConsumoLitros"))
     ratio = safe_div("ConsumoLitros", "Q_FC").cast("decimal(12,2)")
     return machines_at(t, cut).join(litres, "NroCta").withColumn("LitrosPorEquipo", ratio)

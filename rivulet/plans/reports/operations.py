@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.dates import day_after, shift_months, sunday_first_weekday, weekday
 from rivulet.functions.exprs import percent, sum_if, try_decimal
-from rivulet.plans.orders import amount, sales_lines, volume
+from rivulet.plans.orders import amount, lines_of, volume
 from rivulet.sources.tables import Tables
 
 
@@ -21,7 +21,7 @@ def daily_route_sales(t: Tables, holiday: dt.date, months: int) -> DataFrame:
         .filter((weekday("Fecha_Pedido") == sunday_first_weekday(holiday)) & (F.col("idCliente") != 0))
         .select("idPedido", F.col("idVendedor").alias("Ruta"), F.to_date("Fecha_Pedido").alias("Fecha"))
     )
-    lines = orders.join(sales_lines(t, liquid="nonzero"), "idPedido")
+    lines = lines_of(t, orders, liquid="nonzero")
     return lines.groupBy("Ruta", "Fecha").agg(
         sum_if(F.col("Precio") > 0, amount()).alias("Consumo"), F.sum(volume()).alias("Litros")
     )

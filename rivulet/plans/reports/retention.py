@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 from rivulet.functions import rules
 from rivulet.functions.dates import day_after, month_window
 from rivulet.operators.joins import no_activity, semi
-from rivulet.operators.rowsets import union_states
-from rivulet.operators.windows import dedupe_one
-from rivulet.plans.customers import active_customers, closed_customers
+from rivulet.plans.customers import active_customers, closed_customers, one_per_account
 from rivulet.plans.events import event_summary, month_events
 from rivulet.sources.tables import Tables
 
@@ -50,10 +48,7 @@ def equipment_retention(
     silent = silent_equipment_customers(t, start, silent_days, min_age_days) if cohort is None else cohort
     active = active_customers(t, exclude=exclude).select(*CONTACT)
     closed = closed_customers(t, exclude=exclude).select(*CONTACT, "FecBaj", "IdClienteBaja")
-    people = semi(union_states(active, closed), silent, "NroCta")
-    customers = dedupe_one(
-        people, "NroCta", ["Estado", F.desc_nulls_last("FecBaj"), F.desc_nulls_last("IdClienteBaja")]
-    ).select(*CONTACT)
+    customers = semi(one_per_account(active, closed), silent, "NroCta").select(*CONTACT)
     summary = event_summary(month_events(t, silent, start, before))
     default_code, default_text = rules.STILL_SILENT
     return customers.join(summary, "NroCta", "left").select(

@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import rules
 from rivulet.functions.exprs import clamp0
-from rivulet.operators.rowsets import union_states
-from rivulet.operators.windows import dedupe_one
-from rivulet.plans.customers import active_customers, closed_customers, with_terms, with_type
+from rivulet.plans.customers import active_customers, closed_customers, one_per_account, with_terms, with_type
 from rivulet.plans.ledgers import cash_balance, credit_balance
 from rivulet.sources.tables import Tables
 
@@ -27,12 +25,13 @@ def customer_debt(
     """Debt before `as_of` per customer of the routes, cash or credit by its payment terms and never
     both. An account in both customer tables counts once, as active."""
     columns = ["NroCta", "RUTA", "CndPag", "TipCli"]
-    active = active_customers(t, routes, exclude).select(*columns)
-    closed = closed_customers(t, routes, exclude).select(*columns, "FecBaj", "IdClienteBaja")
-    people = with_type(t, with_terms(t, union_states(active, closed).filter(F.col("NroCta") != 0)))
-    customers = dedupe_one(
-        people, "NroCta", ["Estado", F.desc_nulls_last("FecBaj"), F.desc_nulls_last("IdClienteBaja")]
-    )
+
+    def labelled(people: DataFrame) -> DataFrame:
+        return with_type(t, with_terms(t, people.filter(F.col("NroCta") != 0)))
+
+    active = labelled(active_customers(t, routes, exclude).select(*columns))
+    closed = labelled(closed_customers(t, routes, exclude).select(*columns, "FecBaj", "IdClienteBaja"))
+    customers = one_per_account(active, closed)
     cash = cash_balance(t, as_of).withColumnRenamed("IdCliente", "NroCta")
     credit = credit_balance(t, as_of).withColumnRenamed("IdCliente", "NroCta")
     joined = customers.join(cash, "NroCta", "left").join(credit, "NroCta", "left")

@@ -5,29 +5,27 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions import rules
 from rivulet.functions.dates import closed_months, first_of_month, legacy_day_number, month_start
-from rivulet.functions.exprs import clamp0
+from rivulet.functions.exprs import clamp0, quote
 from rivulet.operators.pivots import month_matrix
-from rivulet.operators.rowsets import union_states
-from rivulet.operators.windows import dedupe_one
-from rivulet.plans.customers import with_terms, with_type
+from rivulet.plans.customers import one_per_account, with_terms, with_type
 from rivulet.plans.ledgers import cash_balance, credit_balance
-from rivulet.plans.orders import amount, sales_lines, volume
+from rivulet.plans.orders import amount
 from rivulet.sources.layout import in_window
 from rivulet.sources.tables import Tables
 
-GRAIN = ["NroCta", "Ruta", "idProducto", "Abreviatura"]
+GRAIN = ["NroCta", "Ruta", "idProducto"]
 
 
-def monthly_sales(
-    t: Tables, start: dt.date, before: dt.date, vendors: Sequence[int] | DataFrame | None = rules.SALES_VENDORS
+def _monthly_cells(
+    t: Tables, start: dt.date, before: dt.date, vendors: Sequence[int] | DataFrame | None
 ) -> DataFrame:
-    """Litres (Cantidad) and revenue (Facturacion) of paid water and soda per customer, vendor,
-    product and month. `vendors` is a short list, or a DataFrame with a `Vendedor` column."""
+    """Units and revenue of paid lines per customer, vendor, product and month. No product
+    attribute is needed for it, so the rows are already summed when they meet the products."""
     orders = t.between("Pedidos", start, before).select(
         "idPedido",
         F.col("idCliente").alias("NroCta"),
@@ -40,8 +38,23 @@ def monthly_sales(
         orders = orders.filter(F.col("Ruta").isin(*vendors))
     else:
         orders = orders.filter(F.col("Ruta").isNotNull())
-    lines = orders.join(sales_lines(t, paid=True, liquid="nonzero"), "idPedido")
-    return lines.groupBy(*GRAIN, "Mes").agg(F.sum(volume()).alias("Cantidad"), F.sum(amount()).alias("Facturacion"))
+    lines = orders.join(t["Pedidos_Productos"].filter(F.col("Precio") > 0), "idPedido")
+    return lines.groupBy(*GRAIN, "Mes").agg(F.sum("Cantidad").alias("Unidades"), F.sum(amount()).alias("Facturacion"))
+
+
+def _liquid_products(t: Tables) -> DataFrame:
+    return t["Productos"].filter(F.col("Litros") != 0).select("idProducto", "Abreviatura", "Litros")
+
+
+def monthly_sales(
+    t: Tables, start: dt.date, before: dt.date, vendors: Sequence[int] | DataFrame | None = rules.SALES_VENDORS
+) -> DataFrame:
+    """Litres (Cantidad) and revenue (Facturacion) of paid water and soda per customer, vendor,
+    product and month. `vendors` is a short list, or a DataFrame with a `Vendedor` column."""
+    cells = _monthly_cells(t, start, before, vendors)
+    return cells.join(_liquid_products(t), "idProducto").select(
+        *GRAIN, "Abreviatura", "Mes", (F.col("Unidades") * F.col("Litros")).alias("Cantidad"), "Facturacion"
+    )
 
 
 def customer_card(t: Tables, closed_since: dt.date, machines_until: dt.date, legacy_sentinels: bool = False) -> DataFrame:
@@ -49,12 +62,12 @@ def customer_card(t: Tables, closed_since: dt.date, machines_until: dt.date, leg
     `closed_since` are left out; an active record goes before a closed one."""
     columns = ["NroCta", "Nombre", "Direcc", "FecAlt", "CndPag", "TipCli"]
     closed = in_window(t["ClientesBaja"], "FecBaj", closed_since)
-    people = with_type(t, with_terms(t, union_states(
-        t["Clientes"].select(*columns), closed.select(*columns, "FecBaj", "IdClienteBaja")
-    )))
-    accounts = dedupe_one(
-        people, "NroCta", ["Estado", F.desc_nulls_last("FecBaj"), F.desc_nulls_last("IdClienteBaja")]
-    )
+
+    def labelled(people: DataFrame) -> DataFrame:
+        return with_type(t, with_terms(t, people))
+
+    active = labelled(t["Clientes"].select(*columns))
+    accounts = one_per_account(active, labelled(closed.select(*columns, "FecBaj", "IdClienteBaja")))
     cash = cash_balance(t).withColumnRenamed("IdCliente", "NroCta")
     credit = credit_balance(t).withColumnRenamed("IdCliente", "NroCta")
     installed = in_window(t["ClientesServicios"].filter(F.col("Fecha_Baja").isNull()), "Fecha_Desde", None, machines_until)
@@ -86,11 +99,16 @@ def monthly_sales_matrix(
     with the customer's card. Sales drive the result: a customer appears because it bought."""
     span = closed_months(as_of, months)
     before = first_of_month(as_of)
-    cells = monthly_sales(t, span[0], before, vendors)
-    matrix = month_matrix(cells, GRAIN, "Mes", span, {"Cantidad": "CANT", "Facturacion": "FACT"})
+    cells = _monthly_cells(t, span[0], before, vendors)
+    matrix = month_matrix(cells, GRAIN, "Mes", span, {"Unidades": "CANT", "Facturacion": "FACT"})
+    months_sold = [c for c in matrix.columns if c not in GRAIN]
+
+    def value(name: str) -> Column:
+        column = F.col(quote(name))
+        return (column * F.col("Litros") if name.endswith(" CANT") else column).alias(name)
+
     card = customer_card(t, span[0], before, legacy_sentinels)
-    month_columns = [c for c in matrix.columns if c not in GRAIN]
-    return matrix.join(card, "NroCta", "left").select(
+    return matrix.join(_liquid_products(t), "idProducto").join(card, "NroCta", "left").select(
         "NroCta", "Nombre", "Ruta", "Direccion", "FecAlt", "FecBaj", "MediodePago", "DeudaContado", "DeudaCtaCte",
-        "CATEGORIA", "Q_FC", "idProducto", "Abreviatura", *[F.col(f"`{c}`") for c in month_columns],
+        "CATEGORIA", "Q_FC", "idProducto", "Abreviatura", *[value(c) for c in months_sold],
     )

@@ -12,7 +12,7 @@ from rivulet.functions.rules import community_patterns
 from rivulet.functions.text import any_like, classify_like
 from rivulet.operators.joins import semi
 from rivulet.plans.customers import active_customers, with_segment, with_terms, with_type
-from rivulet.plans.orders import amount, packs, sales_lines, volume
+from rivulet.plans.orders import amount, lines_of, packs, volume
 from rivulet.sources.tables import Tables
 
 
@@ -31,7 +31,7 @@ def community_consumption(t: Tables, patterns: Sequence[tuple[str, str]] | None
     """Litres, units, packs and spend per community customer and month."""
     customers = community_customers(t, patterns)
     orders = semi(t["Pedidos"].select("idPedido", "idCliente", "Fecha_Pedido"), customers, "idCliente", "NroCta")
-    lines = orders.join(sales_lines(t, liquid="positive"), "idPedido")
+    lines = lines_of(t, orders, liquid="positive")
     monthly = lines.groupBy(
         "idCliente",
         F.year("Fecha_Pedido").alias("AÑO"),
