@@ -17,6 +17,21 @@ def semi(left: DataFrame, keys: DataFrame, key: str, right_key: str | None = Non
     return left.join(keys.select(F.col(right_key or key).alias(key)), key, "left_semi")
 
 
+def splittable(keyed: DataFrame) -> DataFrame:
+    """The computed side of a join with raw facts, prepared so that a hot key may be split.
+
+    AQE splits a skewed reducer only where both sides arrive through an exchange of the join. What
+    comes out of an aggregation, window or join is already laid out by the key and has none.
+    Rebalancing gives it one; the rows it moves are one per key, few next to the facts.
+    """
+    return keyed.hint("rebalance")
+
+
+def facts_of(facts: DataFrame, keys: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
+    """`semi` for raw facts against computed keys, of which one may hold a large part of the rows."""
+    return semi(facts, splittable(keys), key, right_key)
+
+
 def restrict(df: DataFrame, cohort: DataFrame | None, key: str, cohort_key: str | None = None) -> DataFrame:
     """`df` cut to a cohort supplied from outside, or unchanged without one."""
     return df if cohort is None else semi(df, cohort, key, cohort_key)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.dates import day_after, days_between, fmt_ym, month_start, month_window, week_of_month
 from rivulet.operators.aggregates import share_of_total
-from rivulet.operators.joins import semi
+from rivulet.operators.joins import facts_of
 from rivulet.plans.customers import with_type
 from rivulet.plans.orders import first_order, order_totals, purchases, sales_lines
 from rivulet.sources.layout import in_window
@@ -44,7 +44,7 @@ def cohort_litres(t: Tables, acq: DataFrame, by: str = "week", periods: int = 8)
     """Litres per route and week (or month) since registration, one column per period from p00, 0
     where nothing was bought. Orders are brought to customer and day before they meet the cohort."""
     cohort = _registered(acq).groupBy("NroCta", "RUTA").agg(F.min("_alta").alias("_alta"))
-    orders = semi(t["Pedidos"], cohort, "idCliente", "NroCta").select(
+    orders = facts_of(t["Pedidos"], cohort, "idCliente", "NroCta").select(
         "idPedido", F.col("idCliente").alias("NroCta"), F.to_date("Fecha_Pedido").alias("_fecha")
     )
     totals = order_totals(sales_lines(t, liquid="positive")).select("idPedido", "LitrosPedido")

@@ -12,7 +12,7 @@ from rivulet.functions import rules
 from rivulet.functions.dates import day_after, days_between, first_of_month, fmt_dmy, fmt_ym, legacy_text_date
 from rivulet.functions.exprs import any_flag
 from rivulet.functions.text import like
-from rivulet.operators.joins import restrict, semi
+from rivulet.operators.joins import facts_of, restrict
 from rivulet.operators.rowsets import union_states
 from rivulet.operators.windows import nth_pair
 from rivulet.plans.customers import (
@@ -32,7 +32,7 @@ from rivulet.sources.tables import Tables
 def _orders_of(t: Tables, accounts: DataFrame, before: dt.date | None = None) -> DataFrame:
     """Orders of the accounts. A report passes the accounts by registration date alone: a narrow
     scan that holds all its customers, without computing them twice."""
-    return semi(t.between("Pedidos", before=before), accounts, "idCliente", "NroCta")
+    return facts_of(t.between("Pedidos", before=before), accounts, "idCliente", "NroCta")
 
 
 def _registered_since(t: Tables, table: str, since: dt.date) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rivulet.functions import rules
 from rivulet.functions.dates import closed_months, first_of_month, legacy_day_number, month_start
 from rivulet.functions.exprs import clamp0, quote
+from rivulet.operators.joins import splittable
 from rivulet.operators.pivots import month_matrix
 from rivulet.plans.customers import one_per_account, with_terms, with_type
 from rivulet.plans.ledgers import cash_balance, credit_balance
@@ -108,7 +109,7 @@ def monthly_sales_matrix(
         return (column * F.col("Litros") if name.endswith(" CANT") else column).alias(name)
 
     card = customer_card(t, span[0], before, legacy_sentinels)
-    return matrix.join(_liquid_products(t), "idProducto").join(card, "NroCta", "left").select(
+    return matrix.join(_liquid_products(t), "idProducto").join(splittable(card), "NroCta", "left").select(
         "NroCta", "Nombre", "Ruta", "Direccion", "FecAlt", "FecBaj", "MediodePago", "DeudaContado", "DeudaCtaCte",
         "CATEGORIA", "Q_FC", "idProducto", "Abreviatura", *[value(c) for c in months_sold],
     )

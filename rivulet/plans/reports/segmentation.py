@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.dates import month_name
 from rivulet.functions.rules import community_patterns
 from rivulet.functions.text import any_like, classify_like
-from rivulet.operators.joins import semi
+from rivulet.operators.joins import facts_of
 from rivulet.plans.customers import active_customers, with_segment, with_terms, with_type
 from rivulet.plans.orders import amount, lines_of, packs, volume
 from rivulet.sources.tables import Tables
@@ -30,7 +30,7 @@ def community_customers(t: Tables, patterns: Sequence[tuple[str, str]] | None =
 def community_consumption(t: Tables, patterns: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """Litres, units, packs and spend per community customer and month."""
     customers = community_customers(t, patterns)
-    orders = semi(t["Pedidos"].select("idPedido", "idCliente", "Fecha_Pedido"), customers, "idCliente", "NroCta")
+    orders = facts_of(t["Pedidos"].select("idPedido", "idCliente", "Fecha_Pedido"), customers, "idCliente", "NroCta")
     lines = lines_of(t, orders, liquid="positive")
     monthly = lines.groupBy(
         "idCliente",

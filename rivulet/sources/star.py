@@ -11,6 +11,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.operators.joins import splittable
 from rivulet.operators.rowsets import values
 from rivulet.sources.tables import Tables
 
@@ -89,7 +90,7 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
             F.col("o_orderdate").alias("Fecha_Pedido"),
             F.lit("PR").alias("Status"),
         )
-        joined = orders.join(vendor, orders.idCliente == vendor.c_custkey, "left")
+        joined = orders.join(splittable(vendor), F.col("idCliente") == F.col("c_custkey"), "left")
         return joined.select("idPedido", "idVendedor", "Fecha_Pedido", "idCliente", "Status")
 
     def pedidos_productos() -> DataFrame:
