@@ -11,6 +11,7 @@ from catalog.registry import query
 from catalog.reports import HOLIDAY, NEW_CUSTOMERS, PAIRS, R01_CTES, R04_CTES, R05_CTES, R07_CTES, RECEIPTS
 from catalog.star_sql import day, num, star_query
 from rivulet.functions import exprs, rules
+from rivulet.functions.text import account_number
 from rivulet.operators import aggregates, joins, rowsets
 from rivulet.plans import customers, events, orders
 from rivulet.plans.kpi import acquisition as ka
@@ -212,16 +213,8 @@ dias AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS Mes, count(DIS
 """
 
 
-@query(
-    "k08_dso",
-    star_query(
-        f"""SELECT CodSup, CuentaGrande, {day("Mes", "Mes")}, {num("Deuda", "Deuda")}, {num("Ventas", "Ventas")}, Dias,
-{num("CAST(Deuda AS DOUBLE) / nullif(CAST(Ventas AS DOUBLE) / nullif(Dias, 0), 0)", "DiasCalle")}
-FROM deuda LEFT JOIN venta USING (CodSup, CuentaGrande, Mes) LEFT JOIN dias USING (Mes)""",
-        DSO_CTES,
-    ),
-)
-def k08_dso(t: Tables) -> DataFrame:
+def dso_inputs(t: Tables, by: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Debt, sales and days worked of the months, by region and account size."""
     start, before = DSO_MONTHS[0], D(2001, 8, 1)
     heads = t["repartos"].select(F.col("Codigo").alias("RUTA"), "CodSup")
     regions = customers.customer_route(t).join(heads, "RUTA").select("NroCta", "CodSup")
@@ -231,14 +224,43 @@ def k08_dso(t: Tables) -> DataFrame:
     )
     cash = t["Movimientos_Caja"].select(F.col("IdCliente").alias("NroCta"), "Fecha", "Importe")
     adjusted = t["Movimientos_Caja_Ajustes"].select(F.col("idCliente").alias("NroCta"), "Fecha", "Importe")
-    credit = t["CtaCteVT"].select(F.col("NroCta").cast("long").alias("NroCta"), F.col("FchMov").alias("Fecha"), F.col("Import").alias("Importe"))
-    moves = cash.unionByName(adjusted).unionByName(credit)
-    by = ["CodSup", "CuentaGrande", "Mes"]
+    credit = t["CtaCteVT"].select(
+        account_number("NroCta").alias("NroCta"), F.col("FchMov").alias("Fecha"), F.col("Import").alias("Importe")
+    )
+    moves = cash.unionByName(adjusted).unionByName(credit).filter(F.col("NroCta").isNotNull())
     balances = kc.monthly_debt(moves, ["NroCta"], DSO_MONTHS)
     debt = balances.join(accounts, "NroCta").groupBy(*by).agg(F.sum("Deuda").alias("Deuda"))
     sales_by = sold.join(accounts, "NroCta").groupBy(*by).agg(F.sum("Ventas").alias("Ventas"))
-    result = kc.dso(debt, sales_by, kc.work_days(t, start, before), by)
-    return result.withColumn("DiasCalle", F.col("DiasCalle").cast("double"))
+    return debt, sales_by, kc.work_days(t, start, before)
+
+
+@query(
+    "k08_dso",
+    star_query(
+        f"""SELECT CodSup, CuentaGrande, {day("Mes", "Mes")}, {num("Deuda", "Deuda")}, {num("Ventas", "Ventas")}, Dias,
+{num("CAST(Deuda AS DOUBLE) / nullif(CAST(Ventas AS DOUBLE) / nullif(Dias, 0), 0)", "DiasCalle")}
+FROM deuda LEFT JOIN venta USING (CodSup, CuentaGrande, Mes) LEFT JOIN dias USING (Mes)""",
+        DSO_CTES,
+    ),
+)
+def k08_dso(t: Tables) -> DataFrame:
+    by = ["CodSup", "CuentaGrande", "Mes"]
+    return kc.dso(*dso_inputs(t, by), by)
+
+
+@query(
+    "k08_dso_grid",
+    star_query(
+        "SELECT CodSup, "
+        + ", ".join(num(f"max(dias_calle) FILTER (WHERE Mes = DATE '{m}')", f"{m:%Y-%m}") for m in DSO_MONTHS)
+        + """ FROM (SELECT CodSup, Mes, CAST(sum(Deuda) AS DOUBLE) / nullif(CAST(sum(Ventas) AS DOUBLE) / nullif(max(Dias), 0), 0) AS dias_calle
+FROM deuda LEFT JOIN venta USING (CodSup, CuentaGrande, Mes) LEFT JOIN dias USING (Mes) GROUP BY 1, 2) GROUP BY CodSup""",
+        DSO_CTES,
+    ),
+)
+def k08_dso_grid(t: Tables) -> DataFrame:
+    debt, sold_by, days = dso_inputs(t, ["CodSup", "Mes"])
+    return kc.dso_grid(kc.dso(debt, sold_by, days, ["CodSup", "Mes"]), ["CodSup"], DSO_MONTHS)
 
 
 RATES = [("CHQ", 0.012), ("TRF", 0.004), ("DIG", 0.035), ("EFE", 0.02)]
@@ -367,6 +389,18 @@ def k17_retrieval_queue(t: Tables) -> DataFrame:
     return kr.retrieval_queue(kr.silence(t, D(2001, 5, 1), days=60))
 
 
+@query(
+    "k17_call_list",
+    star_query(
+        f"""SELECT NroCta, Nombre, Direcc, Telefn, o.RUTA, {day("ultimo", "UltimoPedido")}, dias AS DiasSinConsumo
+FROM r05 JOIN ociosos o USING (NroCta) WHERE TipoEvento = 'E5' AND (dias IS NULL OR dias > 120)""",
+        R05_CTES + "," + SILENCE,
+    ),
+)
+def k17_call_list(t: Tables) -> DataFrame:
+    return kr.call_list(retention.equipment_retention(t, D(2001, 5, 1)), kr.silence(t, D(2001, 5, 1)))
+
+
 # --- product mix and equipment
 
 FAMILIES = {"Premium": ["LARGE", "PROMO"], "Soda": ["STANDARD"]}
@@ -397,6 +431,21 @@ def k18_mix(t: Tables) -> DataFrame:
     return km.product_mix(t, FAMILIES, D(2001, 8, 15), months=14)
 
 
+@query(
+    "k18_mix_trend",
+    star_query(
+        f"""SELECT {day("DATE '2001-07-01'", "Mes")}, {num("v", "PctClientesSoda")}, {num("p", "MesAnterior")}, {num("y", "AnioAnterior")},
+{num("(v - p) / nullif(p, 0)", "VarMes")}, {num("(v - y) / nullif(y, 0)", "VarAnio")} FROM (
+  SELECT max(pct) FILTER (WHERE Mes = DATE '2001-07-01') AS v, max(pct) FILTER (WHERE Mes = DATE '2001-06-01') AS p,
+    max(pct) FILTER (WHERE Mes = DATE '2000-07-01') AS y FROM (SELECT Mes, sum(s) / CAST(count(*) AS DOUBLE) AS pct FROM cm GROUP BY Mes))""",
+        MIX_CTES,
+    ),
+)
+def k18_mix_trend(t: Tables) -> DataFrame:
+    mix = km.product_mix(t, FAMILIES, D(2001, 8, 15), months=14)
+    return kt.trend(mix, "PctClientesSoda", [], D(2001, 7, 31), months=1)
+
+
 @query(
     "k31_underused",
     star_query(

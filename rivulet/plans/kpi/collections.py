@@ -96,6 +96,12 @@ def dso(debt: DataFrame, sales: DataFrame, workdays: DataFrame, by: Sequence[str
     return joined.withColumn("DiasCalle", ratio("Deuda", ratio("Ventas", "Dias")))
 
 
+def dso_grid(rows: DataFrame, by: Sequence[str], months: Sequence[dt.date]) -> DataFrame:
+    """Days outstanding with one column per month (`yyyy-MM`)."""
+    named = rows.withColumn("_mes", F.date_format("Mes", "yyyy-MM"))
+    return named.groupBy(*by).pivot("_mes", [m.strftime("%Y-%m") for m in months]).agg(F.first("DiasCalle"))
+
+
 def monthly_debt(moves: DataFrame, by: Sequence[str], months: Sequence[dt.date]) -> DataFrame:
     """Balance of a ledger (`Fecha`, `Importe`) at the end of each month, as rows of Mes and Deuda.
     All months come from one pass over the ledger."""

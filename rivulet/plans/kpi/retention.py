@@ -36,6 +36,14 @@ def silence(
     return idle.filter(F.col("DiasSinConsumo").isNull() | (F.col("DiasSinConsumo") > days))
 
 
+def call_list(retention: DataFrame, silent: DataFrame) -> DataFrame:
+    """Customers still without consumption this month that are also silent for long: the ones to
+    call, with their route and days."""
+    waiting = retention.filter(F.col("TipoEvento") == rules.STILL_SILENT[0])
+    days = silent.select("NroCta", "RUTA", "UltimoPedido", "DiasSinConsumo")
+    return waiting.select("NroCta", "Nombre", "Direcc", "Telefn").join(days, "NroCta")
+
+
 def retrieval_queue(silent: DataFrame) -> DataFrame:
     """Customers and machines waiting per route."""
     return silent.groupBy("RUTA").agg(F.count(F.lit(1)).alias("Clientes"), F.sum("Equipos").alias("Equipos"))
