@@ -329,7 +329,7 @@ FROM recibos WHERE RUTA < 10 GROUP BY RUTA""",
 )
 def k14_share_of_total(t: Tables) -> DataFrame:
     everything = kc.total_collected(receipts(t), ["RUTA"]).withColumn("TotalCobrado", F.col("TotalCobrado").cast("double"))
-    return aggregates.share_of_total(everything.filter(F.col("RUTA") < 10), "TotalCobrado", "PctDelTotal", everything)
+    return aggregates.share_of_total(everything, "TotalCobrado", "PctDelTotal").filter(F.col("RUTA") < 10)
 
 
 @query(

@@ -11,6 +11,7 @@ from catalog.registry import query
 from catalog.star_sql import day, num, star_query
 from rivulet.functions import dates, exprs, rules, text
 from rivulet.operators import aggregates, joins, pivots, rowsets, windows
+from rivulet.plans.customers import active_customers, customer_route, with_category, with_terms, with_type
 from rivulet.plans.ledgers import cash_balance
 from rivulet.plans.orders import amount, packs, sales_lines, volume
 from rivulet.plans.reports.audit import order_by
@@ -136,8 +137,6 @@ def s08_sink(t: Tables) -> DataFrame:
 
 @query("s08_sink_by_route", star_query("SELECT RUTA, count(*) AS n FROM ruta_de GROUP BY RUTA"))
 def s08_sink_by_route(t: Tables) -> DataFrame:
-    from rivulet.plans.customers import customer_route
-
     path = rowsets.shared_folder(t.spark, "report")
     write(customer_route(t), path, "RUTA")
     return t.spark.read.parquet(path).groupBy("RUTA").agg(F.count(F.lit(1)).alias("n"))
@@ -307,8 +306,6 @@ JOIN Categorias ca ON ca.Categoria = k.Categoria"""
     ),
 )
 def j01_inner_star(t: Tables) -> DataFrame:
-    from rivulet.plans.customers import active_customers, with_category, with_terms, with_type
-
     people = with_category(t, with_type(t, with_terms(t, active_customers(t))), "inner")
     return people.select(
         "NroCta",

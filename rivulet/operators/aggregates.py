@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.exprs import ratio
@@ -44,12 +44,15 @@ def joined_text(entries: Column, separator: str) -> Column:
     return F.array_join(F.flatten(repeated), separator)
 
 
-def share_of_total(df: DataFrame, value: str, into: str, universe: DataFrame | None = None) -> DataFrame:
-    """Each row's share of the total, which is taken over `universe` where given, so that a filter
-    on `df` leaves it alone. The total is a scalar subquery, not a window that would gather every
-    row in one task."""
-    total = (df if universe is None else universe).agg(F.sum(value)).scalar()
-    return df.withColumn(into, ratio(value, total))
+def share_of_total(totals: DataFrame, value: str, into: str) -> DataFrame:
+    """Each row's share of the whole column, for totals of a closed code list: outcomes, promotions,
+    payment methods, routes. Filter afterwards, so that the share stays one of the whole.
+
+    The one window without a partition here sees only those few total rows. A second read of the
+    totals would run everything below them twice.
+    """
+    whole = F.sum(value).over(Window.partitionBy(F.lit(0)))
+    return totals.withColumn(into, ratio(value, whole))
 
 
 def top1(df: DataFrame, by: Sequence[str], label: str, amount: str) -> DataFrame:
