@@ -54,13 +54,13 @@ def b02_channel(t: Tables) -> DataFrame:
     "b03_universe",
     star_query(
         """SELECT NroCta, RUTA, 'Activo' AS Estado FROM Clientes JOIN (SELECT NroCta, arg_min(RUTA, OrdRut) AS RUTA FROM ruteo
-WHERE RUTA IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9) AND RUTA NOT IN (3, 7) GROUP BY NroCta) USING (NroCta)
-UNION ALL SELECT NroCta, Vnddor, 'Baja' FROM ClientesBaja JOIN Rutas ON CdRuta = Codigo WHERE Vnddor IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9) AND Vnddor NOT IN (3, 7)"""
+WHERE RUTA NOT IN (3, 7) GROUP BY NroCta) USING (NroCta)
+UNION ALL SELECT NroCta, Vnddor, 'Baja' FROM ClientesBaja JOIN Rutas ON CdRuta = Codigo WHERE Vnddor NOT IN (3, 7)"""
     ),
 )
 def b03_universe(t: Tables) -> DataFrame:
-    active = customers.active_customers(t, range(10), (3, 7)).select("NroCta", "RUTA")
-    closed = customers.closed_customers(t, range(10), (3, 7)).select("NroCta", "RUTA")
+    active = customers.active_customers(t, range(25), (3, 7)).select("NroCta", "RUTA")
+    closed = customers.closed_customers(t, range(25), (3, 7)).select("NroCta", "RUTA")
     return rowsets.union_states(active, closed)
 
 
@@ -518,14 +518,14 @@ def _band(change: str, name: str) -> str:
 {num("CAST(v - y AS DOUBLE) / nullif(y, 0)", "VarAnio")}, {num("ref", "Benchmark")}, {num("CAST(v - ref AS DOUBLE) / nullif(ref, 0)", "VarBenchmark")},
 {_band("CAST(v - p AS DOUBLE) / nullif(p, 0)", "BandaMes")}, {_band("CAST(v - y AS DOUBLE) / nullif(y, 0)", "BandaAnio")},
 {_band("CAST(v - ref AS DOUBLE) / nullif(ref, 0)", "BandaBenchmark")}
-FROM tendencia LEFT JOIN (SELECT Ruta, CAST(sum(litros) AS DOUBLE) / 12 AS ref FROM rm WHERE Mes >= DATE '2000-08-01' AND Ruta < 20 GROUP BY 1) USING (Ruta)
+FROM tendencia LEFT JOIN (SELECT Ruta, CAST(sum(litros) AS DOUBLE) / 12 AS ref FROM rm WHERE Mes >= DATE '2000-08-01' GROUP BY 1) USING (Ruta)
 WHERE Mes = DATE '2001-07-01'""",
         TREND,
     ),
 )
 def k23_route_var(t: Tables) -> DataFrame:
     litres = route_sales(t)
-    year = litres.filter((F.col("Mes") >= F.lit(D(2000, 8, 1))) & (F.col("Ruta") < 20))
+    year = litres.filter(F.col("Mes") >= F.lit(D(2000, 8, 1)))
     benchmark = year.groupBy("Ruta").agg((F.sum("Litros").cast("double") / 12).alias("Benchmark"))
     return kt.route_variance(litres, benchmark, D(2001, 7, 31))
 

@@ -72,10 +72,10 @@ def s02_load_all(t: Tables) -> DataFrame:
     return report.select("tabla", "filas", F.col("error").isNotNull().alias("fallo"))
 
 
-@query("s03_scan_by_name", star_query("SELECT Codigo, Descrp, CodSup FROM repartos WHERE CodSup >= 1002"))
+@query("s03_scan_by_name", star_query("SELECT Codigo, Descrp, CodSup FROM repartos"))
 def s03_scan_by_name(t: Tables) -> DataFrame:
     t["repartos"].createOrReplaceTempView("repartos")
-    return t.spark.sql("SELECT Codigo, Descrp, CodSup FROM repartos WHERE CodSup >= 1002")
+    return t.spark.sql("SELECT Codigo, Descrp, CodSup FROM repartos")
 
 
 @query(
@@ -232,12 +232,11 @@ def p10_coalesce(t: Tables) -> DataFrame:
 
 @query(
     "p11_safe_div",
-    star_query(f"SELECT idVendedor, {num('CAST(sum(Monto) AS DOUBLE) / nullif(sum(Volumen), 0)', 'PrecioLitro')} FROM Ventas WHERE Unidad = 'SMALL' OR idVendedor < 9 GROUP BY idVendedor"),
+    star_query(f"SELECT idVendedor, Unidad, {num('CAST(sum(Monto) AS DOUBLE) / nullif(sum(Volumen), 0)', 'PrecioLitro')} FROM Ventas GROUP BY 1, 2"),
 )
 def p11_safe_div(t: Tables) -> DataFrame:
-    lines = sold(t).filter((F.col("Unidad") == "SMALL") | (F.col("idVendedor") < 9))
-    totals = lines.groupBy("idVendedor").agg(F.sum(amount()).alias("a"), F.sum(volume()).alias("v"))
-    return totals.select("idVendedor", exprs.safe_div(F.col("a").cast("double"), "v").alias("PrecioLitro"))
+    totals = sold(t).groupBy("idVendedor", "Unidad").agg(F.sum(amount()).alias("a"), F.sum(volume()).alias("v"))
+    return totals.select("idVendedor", "Unidad", exprs.safe_div(F.col("a").cast("double"), "v").alias("PrecioLitro"))
 
 
 @query(
@@ -587,12 +586,11 @@ def a15_dyn_pivot(t: Tables) -> DataFrame:
 
 @query(
     "a16_fill0",
-    star_query(f"SELECT idVendedor, {num('coalesce(sum(Cantidad) FILTER (WHERE idProducto = 3), 0)', 'p3')}, {num('coalesce(sum(Cantidad) FILTER (WHERE idProducto = 4), 0)', 'p4')} FROM Ventas GROUP BY 1"),
+    star_query(f"SELECT idVendedor, {num("coalesce(sum(Cantidad) FILTER (WHERE Unidad = 'LARGE'), 0)", "LARGE")}, {num("0", "NINGUNO")} FROM Ventas GROUP BY 1"),
 )
 def a16_fill0(t: Tables) -> DataFrame:
-    wide = pivots.pivot(sold(t), ["idVendedor"], "idProducto", [3, 4], "Cantidad")
-    named = wide.select("idVendedor", F.col("3").alias("p3"), F.col("4").alias("p4"))
-    return pivots.fill0(named, ["p3", "p4"])
+    columns = ["LARGE", "NINGUNO"]
+    return pivots.fill0(pivots.pivot(sold(t), ["idVendedor"], "Unidad", columns, "Cantidad"), columns)
 
 
 @query("a17_group_constant", star_query("SELECT idProducto, Abreviatura, count(*) AS n FROM Ventas GROUP BY 1, 2"))
