@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -54,14 +55,19 @@ def union_events(*sources: DataFrame) -> DataFrame:
 
 
 @functools.cache
-def _scratch() -> str:
+def _one_machine_folder() -> str:
     return tempfile.mkdtemp(prefix="rivulet-")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the shared folder the cluster names in `spark.checkpoint.dir`; under
-    a local one only where the session names none, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _scratch()
+    """A new folder name under the folder that driver and executors share, as the session names it in
+    `spark.checkpoint.dir`. Without one, only a local session, which is one machine, gets a
+    temporary folder; on a cluster every executor would write to its own disk, so this raises."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        root = _one_machine_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -6,9 +6,10 @@ import pytest
 from compare import difference, sql_connection
 
 import __spark_entry__ as entry_point
+from catalog import all_names
+from catalog.registry import ORACLE, runner
 
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = {name: runner(name) for name in all_names()}
 
 # Shares of a total, over the few total rows of a code list.
 SHARES = {"k14_share_of_total", "k16_event_mix", "k30_promo_share", "k32_exposure_rank"}
