@@ -3,14 +3,15 @@ without a Python object per word."""
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 
 # Bytes that part words: 0x09-0x0D and the space.
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+# All of ASCII but letters and digits.
+PUNCTUATION = np.array([x < 128 and not chr(x).isalnum() for x in range(256)])
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -43,10 +44,12 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word; words never cross rows."""
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every run of bytes outside `breaks`; words never cross rows."""
     word = np.zeros(len(data) + 1, dtype=bool)
-    np.logical_not(_SPACE[data], out=word[: len(data)])
+    np.logical_not(breaks[data], out=word[: len(data)])
     begins, ends = word.copy(), word.copy()
     begins[1:] &= ~word[:-1]
     ends[:-1] &= ~word[1:]
@@ -72,18 +75,22 @@ def _inverse(odd: int) -> int:
     return pow(odd, -1, 1 << 64)
 
 
-@functools.cache
 def _tables(seed: int) -> tuple[np.ndarray, int]:
     rng = np.random.default_rng(seed)
     table = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     return table, int(rng.integers(1 << 61, 1 << 62)) * 8 + 5 & (1 << 64) - 1
 
 
-@functools.cache
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, size: int) -> np.ndarray:
-    powers = np.full(size, base, dtype=np.uint64)
-    powers[0] = 1
-    return np.multiply.accumulate(powers)
+    """Powers of a base from 0 up, `size` at least; kept for the task."""
+    if len(_POWERS.get(base, ())) < size:
+        powers = np.full(size, base, dtype=np.uint64)
+        powers[0] = 1
+        _POWERS[base] = np.multiply.accumulate(powers)
+    return _POWERS[base]
 
 
 class SubstringHash:
@@ -102,3 +109,13 @@ class SubstringHash:
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         x = (self._sums[ends] - self._sums[starts]) * self._back[starts]
         return mixed(x + (ends - starts).astype(np.uint64))
+
+
+def distinct_in_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, values and counts of the distinct pairs, by row and value."""
+    order = np.lexsort((values, rows))
+    rows, values = rows[order], values[order]
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (values[1:] != values[:-1])
+    at = np.flatnonzero(new)
+    return rows[at], values[at], np.diff(np.append(at, len(rows)))

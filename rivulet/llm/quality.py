@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.llm.tables import let, stored
+
 SKETCH_BITS = 7
 SPREAD = 3
 SMALL_GROUP = 200
@@ -45,7 +47,7 @@ def lines_of(text: Column) -> Column:
 
 def repeated_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier one."""
-    return _let(lines_of(text), lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
+    return let(lines_of(text), lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
 
 
 def repeated_words(words: Column) -> Column:
@@ -67,7 +69,7 @@ def repeated_words(words: Column) -> Column:
             hits = F.filter(ordered, lambda _, k: ((k > 0) & same(k, k - 1)) | ((k + 1 < last) & same(k, k + 1)))
             return F.array_sort(F.transform(hits, lambda hit: hit["i"]))
 
-        return _let(numbered, neighbours)
+        return let(numbered, neighbours)
 
     def covered(positions: Column) -> Column:
         start = F.struct(F.lit(0).alias("words"), F.lit(-WINDOW).alias("at"))
@@ -88,12 +90,7 @@ def repeated_words(words: Column) -> Column:
         distinct = F.size(F.array_distinct(windows))
         return F.when(distinct == F.size(windows), F.lit(0)).otherwise(covered(by_hash(windows)))
 
-    return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(_let(words, lambda w: _let(hashes(w), count)))
-
-
-def _let(value: Column, body) -> Column:
-    """`body` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(let(words, lambda w: let(hashes(w), count)))
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -104,7 +101,7 @@ def measured(docs: DataFrame) -> DataFrame:
         "doc_id",
         "lang",
         "source",
-        _let(
+        let(
             text,
             lambda t: F.struct(
                 F.size(lines_of(t)).cast("long").alias("n_lines"),
@@ -113,7 +110,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 repeated_lines(t).cast("long").alias("n_dup_lines"),
             ),
         ).alias("of_text"),
-        _let(
+        let(
             words,
             lambda w: F.struct(
                 F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words")
@@ -232,7 +229,7 @@ def judged(docs: DataFrame) -> DataFrame:
     Null text has no words and fails. Null languages and sources are groups of their own. Rows that
     repeat are judged alike. An empty table gives no rows.
     """
-    metrics = rates(measured(docs))
+    metrics = stored(rates(measured(docs)), "quality-counts")
     limits = thresholds(metrics).withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
     # One row per language and source.
     of_group = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
@@ -274,9 +271,11 @@ SQL = (
     r"""
 WITH w AS (
     SELECT row_number() OVER () AS row_id, doc_id, lang, source, coalesce(text, '') AS text,
-           regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words,
+           regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words,
            list_filter(string_split(coalesce(text, ''), chr(10)),
-                       lambda x: regexp_matches(x, '[^ 	-]')) AS lines
+                       lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines
     FROM documents
 ), g AS (
     SELECT row_id, unnest(range(1, len(words) - 3)) AS i, words FROM w WHERE len(words) >= 5

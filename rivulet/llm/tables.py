@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def unit_hash(bits: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, bits // 4), 16, 10).cast("long")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The frame, written to the shared folder and read back: later steps read it however often, and
     a lost executor costs none of the work before it."""
