@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import decontamination, mixing, quality, toxicity, warc
+from rivulet.llm import decontamination, jaccard, mixing, quality, toxicity, warc
 from rivulet.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read(spark, sf_dir, "documents"))
 
 
+@query("op3_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(read(spark, sf_dir, "documents"))
+
+
 @query("op6_warc_zstd", warc.SQL)
 def warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read(spark, sf_dir, "pages"))
