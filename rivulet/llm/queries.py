@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import decontamination, jaccard, mixing, quality, toxicity, warc
+import corpus_pipeline
+from rivulet.llm import decontamination, jaccard, mixing, quality, repeats, toxicity, warc
 from rivulet.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +40,11 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_documents(read(spark, sf_dir, "documents"))
 
 
+@query("op4_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.trimmed(read(spark, sf_dir, "documents"))
+
+
 @query("op6_warc_zstd", warc.SQL)
 def warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read(spark, sf_dir, "pages"))
@@ -52,3 +58,8 @@ def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules", quality.SQL)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
