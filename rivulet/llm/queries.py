@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rivulet.llm import decontamination, jaccard, mixing, quality, repeats, toxicity, warc
+from rivulet.llm import decontamination, jaccard, maxent, mixing, quality, repeats, toxicity, warc
 from rivulet.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query("op9_maxent_lm")
+def maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(read(spark, sf_dir, "documents"))
+
+
 @query("op10_quality_rules", quality.SQL)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read(spark, sf_dir, "documents"))
