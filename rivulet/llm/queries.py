@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rivulet.llm import decontamination, jaccard, maxent, mixing, quality, repeats, toxicity, warc
+from rivulet.llm import chunks, decontamination, jaccard, licences, maxent, mixing, quality, repeats, toxicity, warc
 from rivulet.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.trimmed(read(spark, sf_dir, "documents"))
 
 
+@query("op5_chunk_dedup")
+def chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.deduplicated(read(spark, sf_dir, "documents"))
+
+
 @query("op6_warc_zstd", warc.SQL)
 def warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read(spark, sf_dir, "pages"))
@@ -55,6 +60,11 @@ def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query("op8_licences")
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(read(spark, sf_dir, "documents"))
+
+
 @query("op9_maxent_lm")
 def maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.scored(read(spark, sf_dir, "documents"))

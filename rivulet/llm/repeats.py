@@ -18,7 +18,6 @@ Hashes of text that decide are of 128 bits.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +37,7 @@ from rivulet.llm.blocks import (
     ranges_of,
 )
 from rivulet.llm.bytetext import SubstringHash, text_slices
+from rivulet.llm.spans import digested, kept_bytes, keyed, only_keys, with_spans
 from rivulet.llm.suffixes import KEY, keyed_suffixes, neighbours_agree
 from rivulet.llm.tables import stored
 
@@ -45,13 +45,6 @@ LENGTH = 400
 PHRASE_FILTER_BITS = 1 << 26
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a key that rows share if they agree in both."""
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "key", F.xxhash64("doc_id", "text")
-    )
-
-
 def _phrases(texts: pa.Array):
     """(first row, rows, bytes, offsets, hashes, anchors, hashes of their phrases)."""
     for first, count, data, offsets in text_slices(texts):
@@ -145,13 +138,13 @@ def phrase_strings(docs: DataFrame, repeated: np.ndarray, length: int) -> DataFr
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """key, first, last: runs of starts (last excluded) of strings of `length` bytes that also start elsewhere.
-    `docs` as by `_keyed`; `length` is at least 3 * WINDOW + 8."""
+    `docs` as by `keyed`; `length` is at least 3 * WINDOW + 8."""
     repeated = repeated_phrases(docs)
     strings = phrase_strings(docs, repeated, length)
     # Rows that repeat are apart.
     strings = stored(strings.withColumn("string", F.monotonically_increasing_id()), "phrases")
-    keyed = stored(keyed_suffixes(strings.select("string", "symbols", "bytes"), length + WINDOW), "suffixes")
-    near = keyed.join(neighbours_agree(keyed), KEY, "left_semi").select("string", "i")
+    suffixes = stored(keyed_suffixes(strings.select("string", "symbols", "bytes"), length + WINDOW), "suffixes")
+    near = suffixes.join(neighbours_agree(suffixes), KEY, "left_semi").select("string", "i")
     near = near.groupBy("string").agg(F.collect_list("i").alias("places"))
     spot = lambda name: F.get(name, F.col("i")).alias(name)
     spots = (
@@ -175,7 +168,7 @@ def _equal_strings(docs: DataFrame, unfold: DataFrame, length: int) -> DataFrame
     """Of the starts in `unfold` (key, first, last), those whose strings equal another's, as runs."""
     ranges = ranges_of(docs.sparkSession)
     unfold = stored(unfold.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("runs")), "unfold")
-    texts = _only(docs, unfold, "key").join(unfold.withColumnRenamed("key", "of"), F.col("key") == F.col("of"))
+    texts = only_keys(docs, unfold).join(unfold.withColumnRenamed("key", "of"), F.col("key") == F.col("of"))
     # Rows that repeat bring the same strings; one of them is enough, as their stretches are found whole.
     texts = texts.select("key", "text", "runs").groupBy("key").agg(F.first("text").alias("text"), F.first("runs").alias("runs"))
     names = ("hashes", "checks", "keys", "starts")
@@ -234,17 +227,6 @@ def _runs(starts: str):
     )
 
 
-def _only(docs: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    """Rows of `docs` that may be among the keys, told by a bitmap before anything is shuffled."""
-    held = filter_of(keys, column)
-
-    @F.arrow_udf("boolean")
-    def may(key: pa.Array) -> pa.Array:
-        return pa.array(in_filter(held, key.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    return docs.where(may(F.col("key")))
-
-
 def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """key and spans (first, last; ascending, apart) of the bytes to be removed."""
     starts = repeated_starts(docs, length).groupBy("key").agg(
@@ -264,14 +246,6 @@ def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return starts.select("key", F.aggregate("runs", nothing, grown).alias("spans"))
 
 
-def _kept(text: bytes, spans) -> bytes:
-    at, parts = 0, []
-    for span in spans or ():
-        parts.append(text[at : span["first"]])
-        at = span["last"]
-    return b"".join([*parts, text[at:]])
-
-
 def trimmed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, one row for each row of `docs`.
 
@@ -279,49 +253,15 @@ def trimmed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     lie in one document, never across two. Of rows that repeat each is a document of its own, so their
     long passages go from all. An empty table gives no rows.
     """
-    docs = _keyed(docs)
-    spans = stored(removed_spans(docs, length), "spans")
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-            for text, runs in zip(batch.column("text"), batch.column("spans")):
-                text, runs = text.as_buffer(), runs.as_py()
-                kept = _kept(memoryview(text), runs)
-                rows["n_bytes"].append(len(text))
-                rows["n_removed"].append(len(text) - len(kept))
-                rows["n_spans"].append(len(runs or ()))
-                rows["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *map(pa.array, rows.values())], names=["doc_id", *rows]
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return _with_spans(docs, spans).mapInArrow(
-        told, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    )
-
-
-def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """doc_id, text and spans; only texts that may have some are shuffled."""
-    held = filter_of(spans, "key")
-
-    @F.arrow_udf("boolean")
-    def may(key: pa.Array) -> pa.Array:
-        return pa.array(in_filter(held, key.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    docs = docs.withColumn("_may", may(F.col("key")))
-    spans = spans.withColumnRenamed("key", "_of")
-    some = docs.where("_may").join(spans, F.col("key") == F.col("_of"), "left").drop("_of", "_may", "key")
-    rest = docs.where("NOT _may").drop("_may", "key").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    return some.unionByName(rest)
+    docs = keyed(docs)
+    return digested(docs, stored(removed_spans(docs, length), "spans"))
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with all their columns, the repeated bytes taken out of `text`. A character that
     loses some of its bytes goes as a whole; `n_chars`, if there is one, is counted anew."""
-    keyed = docs.withColumn("key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    spans = stored(removed_spans(_keyed(docs), length), "spans")
+    spans = stored(removed_spans(keyed(docs), length), "spans")
+    named = docs.withColumn("key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -331,10 +271,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             if not runs or not text.is_valid:
                 out.append(text.as_py())
             else:
-                out.append(_kept(text.as_py().encode(), runs).decode(errors="ignore"))
+                out.append(kept_bytes(text.as_py().encode(), runs).decode(errors="ignore"))
         return pa.array(out, pa.string())
 
-    done = _with_spans(keyed, spans).withColumn("text", cut(F.col("text"), F.col("spans")))
+    done = with_spans(named, spans).withColumn("text", cut(F.col("text"), F.col("spans")))
     if "n_chars" in docs.columns:
         counted = F.length("text").cast(docs.schema["n_chars"].dataType)
         done = done.withColumn("n_chars", F.when(F.col("spans").isNotNull(), counted).otherwise(F.col("n_chars")))
