@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from catalog.reports import HOLIDAY, NEW_CUSTOMERS, PAIRS, R01_CTES, R04_CTES, R05_CTES, R07_CTES, RECEIPTS
+from catalog.reports import HOLIDAY, NEW_CUSTOMERS, pairs, R01_CTES, R04_CTES, R05_CTES, R07_CTES, RECEIPTS
 from catalog.star_sql import day, num, star_query
 from rivulet.functions import exprs, rules
 from rivulet.functions.text import account_number
@@ -131,10 +131,10 @@ def b08_weekday_baseline(t: Tables) -> DataFrame:
 
 @query(
     "b09_active_keys",
-    star_query("SELECT NroCta, Nombre FROM Clientes WHERE NroCta IN (SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '2001-06-01')"),
+    star_query("SELECT NroCta, Nombre FROM Clientes WHERE NroCta IN (SELECT o_custkey FROM orders)"),
 )
 def b09_active_keys(t: Tables) -> DataFrame:
-    keys = joins.active_keys(t.between("Pedidos", D(2001, 6, 1)), "idCliente")
+    keys = joins.active_keys(t["Pedidos"], "idCliente")
     return joins.semi(t["Clientes"], keys, "NroCta", "idCliente").select("NroCta", "Nombre")
 
 
@@ -200,7 +200,7 @@ region_de AS (SELECT r.NroCta, CodSup FROM ruta_de r JOIN repartos ON Codigo = R
 meses AS (SELECT CAST(unnest(generate_series(DATE '2001-03-01', DATE '2001-07-01', INTERVAL 1 MONTH)) AS DATE) AS Mes),
 venta_mes AS (
   SELECT idCliente, CAST(date_trunc('month', Fecha) AS DATE) AS Mes, sum(Monto) AS v FROM Ventas
-  WHERE Fecha >= DATE '2001-03-01' AND Fecha < DATE '2001-08-01' AND Litros <> 0 GROUP BY 1, 2),
+  WHERE Fecha >= DATE '2001-03-01' AND Fecha < DATE '2001-08-01' GROUP BY 1, 2),
 grandes AS (SELECT idCliente, CASE WHEN sum(v) >= 5000000 THEN 'Si' ELSE 'No' END AS CuentaGrande FROM venta_mes GROUP BY 1),
 cuenta AS (SELECT NroCta, CodSup, coalesce(CuentaGrande, 'No') AS CuentaGrande FROM region_de LEFT JOIN grandes ON idCliente = NroCta),
 movs AS (SELECT IdCliente, Fecha, Importe FROM Caja UNION ALL SELECT IdCliente, FchMov, Import FROM CtaCte),
@@ -594,6 +594,10 @@ def acquired(t: Tables) -> DataFrame:
     return acquisition.acquisitions_by_channel(t, D(1995, 7, 15), exclude=(3, 7))
 
 
+def registered(t: Tables) -> DataFrame:
+    return acquisition.registrations(t, D(1995, 7, 15), exclude=(3, 7))
+
+
 K21_DAYS = ", ".join(f"count(*) FILTER (WHERE day(alta) = {d}) AS d{d:02d}" for d in range(1, 32))
 
 
@@ -606,35 +610,39 @@ WHERE alta >= DATE '1995-05-01' AND alta < DATE '1995-06-01' GROUP BY ROLLUP (RU
     ),
 )
 def k21_daily_grid(t: Tables) -> DataFrame:
-    return ka.acquisition_grid(acquired(t), D(1995, 5, 20))
+    return ka.acquisition_grid(registered(t), D(1995, 5, 20))
 
 
-@query(
-    "k22_cohort",
-    star_query(
-        "SELECT RUTA, count(DISTINCT NroCta) AS Clientes, "
-        + ", ".join(num(f"coalesce(sum(litros) FILTER (WHERE semana = {p}), 0)", f"p{p:02d}") for p in range(8))
-        + """ FROM (SELECT r.NroCta, RUTA, Volumen AS litros, CAST(floor(date_diff('day', CAST(alta AS DATE), Fecha) / 7.0) AS INTEGER) AS semana
-FROM r01 r LEFT JOIN (SELECT * FROM Ventas WHERE Litros > 0) v ON v.idCliente = r.NroCta) GROUP BY RUTA""",
-        R01_CTES,
-    ),
-)
+def _cohort_sql(period: str) -> str:
+    return f"""SELECT RUTA, Clientes, Periodo, {num("litros", "Litros")}
+FROM (SELECT RUTA, count(DISTINCT NroCta) AS Clientes FROM r01 GROUP BY RUTA) LEFT JOIN (
+  SELECT RUTA, {period} AS Periodo, sum(Volumen) AS litros
+  FROM r01 JOIN (SELECT * FROM Ventas WHERE Litros > 0 AND Fecha <= DATE '2001-07-31') v ON v.idCliente = NroCta GROUP BY 1, 2) USING (RUTA)"""
+
+
+@query("k22_cohort", star_query(_cohort_sql("CAST(floor(date_diff('day', CAST(alta AS DATE), Fecha) / 7.0) AS INTEGER)"), R01_CTES))
 def k22_cohort(t: Tables) -> DataFrame:
-    return ka.cohort_litres(t, acquired(t))
+    return ka.cohort_litres(t, registered(t), D(2001, 7, 31))
 
 
 @query(
     "k22_cohort_month",
+    star_query(_cohort_sql("CAST((year(Fecha) - year(alta)) * 12 + month(Fecha) - month(alta) AS INTEGER)"), R01_CTES),
+)
+def k22_cohort_month(t: Tables) -> DataFrame:
+    return ka.cohort_litres(t, registered(t), D(2001, 7, 31), by="month")
+
+
+@query(
+    "k22_alta_week",
     star_query(
-        "SELECT RUTA, count(DISTINCT NroCta) AS Clientes, "
-        + ", ".join(num(f"coalesce(sum(litros) FILTER (WHERE m = {p}), 0)", f"p{p:02d}") for p in range(4))
-        + """ FROM (SELECT r.NroCta, RUTA, Volumen AS litros, (year(Fecha) - year(alta)) * 12 + month(Fecha) - month(alta) AS m
-FROM r01 r LEFT JOIN (SELECT * FROM Ventas WHERE Litros > 0) v ON v.idCliente = r.NroCta) GROUP BY RUTA""",
+        f"""SELECT RUTA, {day("date_trunc('week', alta)", "SemanaAlta")}, count(DISTINCT NroCta) AS Clientes, {num("coalesce(sum(Volumen), 0)", "Litros")}
+FROM r01 LEFT JOIN (SELECT * FROM Ventas WHERE Litros > 0 AND Fecha <= DATE '2001-07-31') v ON v.idCliente = NroCta GROUP BY 1, 2""",
         R01_CTES,
     ),
 )
-def k22_cohort_month(t: Tables) -> DataFrame:
-    return ka.cohort_litres(t, acquired(t), by="month", periods=4)
+def k22_alta_week(t: Tables) -> DataFrame:
+    return ka.cohort_litres_by_registration(t, registered(t), D(2001, 7, 31))
 
 
 @query(
@@ -655,7 +663,7 @@ def k27_second_order(t: Tables) -> DataFrame:
         """SELECT NroCta, date_diff('day', p.Fecha, DATE '2001-07-31') AS DiasEsperando FROM nuevos n
 JOIN compras p ON p.idCliente = n.NroCta AND p.rn = 1 LEFT JOIN compras s ON s.idCliente = n.NroCta AND s.rn = 2
 WHERE s.idCliente IS NULL AND p.Fecha <= DATE '2001-07-31' AND date_diff('day', p.Fecha, DATE '2001-07-31') < 2000""",
-        NEW_CUSTOMERS + "," + PAIRS,
+        NEW_CUSTOMERS + "," + pairs("2001-08-01"),
     ),
 )
 def k27_pending(t: Tables) -> DataFrame:
@@ -677,7 +685,7 @@ def k28_realised_month(t: Tables) -> DataFrame:
 
 @query("k29_acq_route_month", star_query("SELECT RUTA, strftime(alta, '%Y-%m') AS Mes, count(*) AS Altas FROM r01 GROUP BY 1, 2", R01_CTES))
 def k29_acq_route_month(t: Tables) -> DataFrame:
-    return ka.acquisitions_by_month(acquired(t))
+    return ka.acquisitions_by_month(registered(t))
 
 
 @query(

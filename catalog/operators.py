@@ -58,17 +58,30 @@ def s01_read_csv(t: Tables) -> DataFrame:
     return loaded.select("NroCta", "Nombre", "Direcc", "Categoria", "CndPag", "FecAlt")
 
 
+# Where the star SQL has the rows of each table that is loaded.
+LOADED = {
+    **{n: n for n in ("CondPAGO", "TiposCli", "Categorias", "ClientesAtrLis", "Productos", "Rutas", "repartos", "Clientes")},
+    **{n: n for n in ("ClientesBaja", "ClientesRutas", "Movimientos_Equipos", "Pedidos", "MovTes")},
+    "Clientes_Ctas_Madres_e_Hijas": "Madres",
+    "ClientesServicios": "maquinas",
+    "Pedidos_Productos": "Lineas",
+    "Movimientos_Caja": "Caja WHERE Importe <> 25.50",
+    "Movimientos_Caja_Ajustes": "Caja WHERE Importe = 25.50",
+    "CtaCteVT": "CtaCte",
+}
+
+
 @query(
     "s02_load_all",
     star_query(
-        """SELECT 'Rutas' AS tabla, count(*) AS filas, false AS fallo FROM nation UNION ALL
-SELECT 'Pedidos', count(*), false FROM orders UNION ALL SELECT 'CptTes', NULL, true"""
+        " UNION ALL ".join(f"SELECT '{name}' AS tabla, count(*) AS filas, false AS fallo FROM {source}" for name, source in LOADED.items())
+        + " UNION ALL SELECT 'CteVtas', 2, false UNION ALL SELECT 'CptTes', NULL, true"
     ),
 )
 def s02_load_all(t: Tables) -> DataFrame:
-    folder = _csv_of(t, ["Rutas", "Pedidos"])
-    target = rowsets.shared_folder(t.spark, "loaded")
-    _, report = load_all(t.spark, folder, target, ["Rutas", "CptTes", "Pedidos"])
+    """All 21 tables, of which one has no file."""
+    folder = _csv_of(t, [*LOADED, "CteVtas"])
+    _, report = load_all(t.spark, folder, rowsets.shared_folder(t.spark, "loaded"))
     return report.select("tabla", "filas", F.col("error").isNotNull().alias("fallo"))
 
 
@@ -519,11 +532,11 @@ def a10_cascade(t: Tables) -> DataFrame:
     "a11_two_level",
     star_query(
         f"""SELECT idVendedor, count(*) AS dias, {num("sum(q) / CAST(count(*) AS DOUBLE)", "Cantidad")}
-FROM (SELECT idVendedor, Fecha, CAST(sum(Cantidad) AS DOUBLE) AS q FROM Ventas WHERE dayofweek(Fecha) = 2 GROUP BY 1, 2) GROUP BY 1"""
+FROM (SELECT idVendedor, Fecha, CAST(sum(Cantidad) AS DOUBLE) AS q FROM Ventas GROUP BY 1, 2) GROUP BY 1"""
     ),
 )
 def a11_two_level(t: Tables) -> DataFrame:
-    rows = sold(t).filter(dates.weekday("Fecha_Pedido") == 3).withColumn("Fecha", F.to_date("Fecha_Pedido"))
+    rows = sold(t).withColumn("Fecha", F.to_date("Fecha_Pedido"))
     return aggregates.day_then_mean(rows, ["idVendedor"], "Fecha", ["Cantidad"])
 
 
@@ -551,18 +564,22 @@ def a13_clamp(t: Tables) -> DataFrame:
     return moves.groupBy("IdCliente").agg(exprs.clamp0(F.sum(F.col("Importe") - 100000)).alias("saldo"))
 
 
+UNITS = ["STANDARD", "ECONOMY", "MEDIUM", "PROMO", "LARGE", "SMALL"]
+
+
 @query(
     "a14_pivot",
     star_query(
-        f"""SELECT idVendedor, {num("sum(Cantidad) FILTER (WHERE Unidad = 'LARGE')", "LARGE")}, {num("sum(Cantidad) FILTER (WHERE Unidad = 'PROMO')", "PROMO")}
-FROM Ventas GROUP BY 1"""
+        "SELECT idVendedor, "
+        + ", ".join(num(f"sum(Cantidad) FILTER (WHERE Unidad = '{u}')", u) for u in UNITS[:4])
+        + f""", {num(f"sum(Cantidad) FILTER (WHERE Unidad NOT IN {tuple(UNITS[:4])})", "Resto")} FROM Ventas GROUP BY 1"""
     ),
 )
 def a14_pivot(t: Tables) -> DataFrame:
-    return pivots.pivot(sold(t), ["idVendedor"], "Unidad", ["LARGE", "PROMO"], "Cantidad")
+    return pivots.pivot(sold(t), ["idVendedor"], "Unidad", UNITS[:4], "Cantidad", rest="Resto")
 
 
-A15_MONTHS = [D(2000, 11, 1), D(2000, 12, 1), D(2001, 1, 1)]
+A15_MONTHS = dates.closed_months(D(2001, 8, 1), 24)
 
 
 @query(
@@ -574,11 +591,11 @@ A15_MONTHS = [D(2000, 11, 1), D(2000, 12, 1), D(2001, 1, 1)]
             for m in A15_MONTHS
             for v, s in (("Volumen", "CANT"), ("Monto", "FACT"))
         )
-        + " FROM Ventas WHERE Fecha >= DATE '2000-11-01' AND Fecha < DATE '2001-02-01' GROUP BY 1, 2"
+        + " FROM Ventas WHERE Fecha >= DATE '1999-08-01' AND Fecha < DATE '2001-08-01' GROUP BY 1, 2"
     ),
 )
 def a15_dyn_pivot(t: Tables) -> DataFrame:
-    orders = t.between("Pedidos", D(2000, 11, 1), D(2001, 2, 1))
+    orders = t.between("Pedidos", A15_MONTHS[0], D(2001, 8, 1))
     lines = orders.join(sales_lines(t), "idPedido").withColumn("Mes", dates.month_start("Fecha_Pedido"))
     cells = lines.groupBy("idVendedor", "Unidad", "Mes").agg(F.sum(volume()).alias("l"), F.sum(amount()).alias("p"))
     return pivots.month_matrix(cells, ["idVendedor", "Unidad"], "Mes", A15_MONTHS, {"l": "CANT", "p": "FACT"})
@@ -586,11 +603,14 @@ def a15_dyn_pivot(t: Tables) -> DataFrame:
 
 @query(
     "a16_fill0",
-    star_query(f"SELECT idVendedor, {num("coalesce(sum(Cantidad) FILTER (WHERE Unidad = 'LARGE'), 0)", "LARGE")}, {num("0", "NINGUNO")} FROM Ventas GROUP BY 1"),
+    star_query(
+        "SELECT idVendedor, idProducto, "
+        + ", ".join(num(f"coalesce(sum(Cantidad) FILTER (WHERE Unidad = '{u}'), 0)", u) for u in UNITS)
+        + " FROM Ventas GROUP BY 1, 2"
+    ),
 )
 def a16_fill0(t: Tables) -> DataFrame:
-    columns = ["LARGE", "NINGUNO"]
-    return pivots.fill0(pivots.pivot(sold(t), ["idVendedor"], "Unidad", columns, "Cantidad"), columns)
+    return pivots.fill0(pivots.pivot(sold(t), ["idVendedor", "idProducto"], "Unidad", UNITS, "Cantidad"), UNITS)
 
 
 @query("a17_group_constant", star_query("SELECT idProducto, Abreviatura, count(*) AS n FROM Ventas GROUP BY 1, 2"))
@@ -616,7 +636,7 @@ EVENTS = """
 sucesos AS (
   SELECT IdCliente, Fecha, IdReparto, CASE WHEN IdRecambio IS NOT NULL THEN 'EC' WHEN IdReparto = 146 THEN 'E3' WHEN IdReparto = 147 THEN 'E4' ELSE 'E1' END AS tipo
   FROM Movimientos_Equipos
-  UNION ALL SELECT idCliente, Fecha_Pedido, idVendedor, 'E2' FROM Pedidos WHERE Fecha_Pedido >= DATE '2000-01-01')
+  UNION ALL SELECT idCliente, Fecha_Pedido, idVendedor, 'E2' FROM Pedidos)
 """
 
 
@@ -624,7 +644,7 @@ def _events(t: Tables) -> DataFrame:
     moves = t["Movimientos_Equipos"].select(
         "IdCliente", "Fecha", "IdReparto", rules.retirement_event("IdReparto", "IdRecambio").alias("tipo")
     )
-    orders = t.between("Pedidos", D(2000, 1, 1)).select(
+    orders = t["Pedidos"].select(
         F.col("idCliente").alias("IdCliente"),
         F.col("Fecha_Pedido").alias("Fecha"),
         F.col("idVendedor").alias("IdReparto"),
@@ -662,10 +682,10 @@ def o03_top1(t: Tables) -> DataFrame:
     return aggregates.top1(sold(t), ["idVendedor"], "Unidad", "Cantidad")
 
 
-@query("o04_rank_desc", star_query("SELECT idVendedor, count(*) AS n FROM Pedidos GROUP BY 1 ORDER BY n DESC, idVendedor DESC LIMIT 10"))
+@query("o04_rank_desc", star_query("SELECT idVendedor, count(*) AS n FROM Pedidos GROUP BY 1 ORDER BY n DESC, idVendedor DESC"))
 def o04_rank_desc(t: Tables) -> DataFrame:
     counts = t["Pedidos"].groupBy("idVendedor").agg(F.count(F.lit(1)).alias("n"))
-    return aggregates.rank_desc(counts, "n", "idVendedor").limit(10)
+    return aggregates.rank_desc(counts, "n", "idVendedor")
 
 
 @query("u01_union_states", star_query("SELECT NroCta, 'Activo' AS Estado FROM Clientes UNION ALL SELECT NroCta, 'Baja' FROM ClientesBaja"))

@@ -30,10 +30,10 @@ altas AS (
   UNION ALL
   SELECT Vnddor, FecAlt, FecBaj, NroCta, 'Baja', Categoria, Nombre, Direcc, Telefn
   FROM ClientesBaja JOIN Rutas ON CdRuta = Codigo WHERE Vnddor NOT IN (3, 7)),
-recientes AS (SELECT * FROM altas WHERE NroCta <> 0 AND FecAlt >= DATE '1995-04-01'),
+recientes AS (SELECT * FROM altas WHERE NroCta <> 0 AND FecAlt >= DATE '1995-04-01' AND FecAlt < DATE '1995-07-16'),
 por_pedido AS (
   SELECT idCliente, idPedido, Fecha_Pedido, sum(Monto) AS total, max(CASE WHEN Precio = 0 THEN 1 ELSE 0 END) AS cero
-  FROM Ventas WHERE Litros > 0 GROUP BY ALL),
+  FROM Ventas WHERE Litros > 0 AND Fecha_Pedido < DATE '1995-07-16' GROUP BY ALL),
 primeras AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY idCliente ORDER BY Fecha_Pedido, idPedido) AS rn FROM por_pedido)
   WHERE rn = 1),
@@ -105,22 +105,29 @@ def r03_first_purchase(t: Tables) -> DataFrame:
     return acquisition.first_purchase_products(t)
 
 
-PAIRS = """
+
+
+def pairs(before: str) -> str:
+    """Paid orders before a day, numbered per customer."""
+    return f"""
 compras AS (
   SELECT *, row_number() OVER (PARTITION BY idCliente ORDER BY Fecha, idPedido) AS rn
-  FROM (SELECT idCliente, idPedido, Fecha, sum(Monto) AS importe FROM Ventas WHERE Litros > 0 AND Precio > 0 GROUP BY ALL))
+  FROM (SELECT idCliente, idPedido, Fecha, sum(Monto) AS importe FROM Ventas
+        WHERE Litros > 0 AND Precio > 0 AND Fecha < DATE '{before}' GROUP BY ALL))
 """
+
+
 R04_CTES = (
     NEW_CUSTOMERS
     + ","
-    + PAIRS
+    + pairs("1995-07-16")
     + """,
 r04 AS (
   SELECT n.*, p.Fecha AS FechaPrimeraCompra, p.importe AS ImportePrimeraCompra, s.Fecha AS FechaSegundaCompra,
          s.importe AS ImporteSegundaCompra, date_diff('day', p.Fecha, s.Fecha) AS DiasEntreCompras
   FROM nuevos n LEFT JOIN compras p ON p.idCliente = n.NroCta AND p.rn = 1
   LEFT JOIN compras s ON s.idCliente = n.NroCta AND s.rn = 2
-  WHERE FecAlt > DATE '1995-04-01')
+  WHERE FecAlt > DATE '1995-04-01' AND FecAlt < DATE '1995-07-16')
 """
 )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.exprs import ratio
@@ -45,13 +45,12 @@ def joined_text(entries: Column, separator: str) -> Column:
 
 
 def share_of_total(totals: DataFrame, value: str, into: str) -> DataFrame:
-    """Each row's share of the whole column, for totals of a closed code list: outcomes, promotions,
-    payment methods, routes. Filter afterwards, so that the share stays one of the whole.
+    """Each row's share of the whole column. Filter afterwards, so that the share stays one of the whole.
 
-    The one window without a partition here sees only those few total rows. A second read of the
-    totals would run everything below them twice.
+    The whole is a scalar subquery over partial sums: no task sees all rows, and Spark reuses the exchange
+    below the totals, which both read.
     """
-    whole = F.sum(value).over(Window.partitionBy(F.lit(0)))
+    whole = totals.agg(F.sum(value).alias("_whole")).scalar()
     return totals.withColumn(into, ratio(value, whole))
 
 

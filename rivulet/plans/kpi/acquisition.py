@@ -12,7 +12,7 @@ from rivulet.functions.dates import day_after, days_between, fmt_ym, month_start
 from rivulet.operators.aggregates import share_of_total
 from rivulet.operators.joins import facts_of
 from rivulet.plans.customers import with_type
-from rivulet.plans.orders import first_order, order_totals, purchases, sales_lines
+from rivulet.plans.orders import first_order, lines_of, raw_lines, volume
 from rivulet.sources.layout import in_window
 from rivulet.sources.tables import Tables
 
@@ -40,23 +40,39 @@ def acquisitions_by_month(acq: DataFrame) -> DataFrame:
     return _registered(acq).groupBy("RUTA", fmt_ym("_alta").alias("Mes")).agg(F.count(F.lit(1)).alias("Altas"))
 
 
-def cohort_litres(t: Tables, acq: DataFrame, by: str = "week", periods: int = 8) -> DataFrame:
-    """Litres per route and week (or month) since registration, one column per period from p00, 0
-    where nothing was bought. Orders are brought to customer and day before they meet the cohort."""
+def _cohort_days(t: Tables, acq: DataFrame, as_of: dt.date) -> DataFrame:
+    """The cohort with its litres per day up to `as_of`; a customer without any has one row."""
     cohort = _registered(acq).groupBy("NroCta", "RUTA").agg(F.min("_alta").alias("_alta"))
-    orders = facts_of(t["Pedidos"], cohort, "idCliente", "NroCta").select(
+    before = day_after(as_of)
+    orders = facts_of(t.between("Pedidos", None, before), cohort, "idCliente", "NroCta").select(
         "idPedido", F.col("idCliente").alias("NroCta"), F.to_date("Fecha_Pedido").alias("_fecha")
     )
-    totals = order_totals(sales_lines(t, liquid="positive")).select("idPedido", "LitrosPedido")
-    daily = orders.join(totals, "idPedido").groupBy("NroCta", "_fecha").agg(F.sum("LitrosPedido").alias("_litros"))
+    lines = lines_of(t, orders, liquid="positive", window=(None, before))
+    daily = lines.groupBy("NroCta", "_fecha").agg(F.sum(volume()).alias("_litros"))
+    return cohort.join(daily, "NroCta", "left")
+
+
+def cohort_litres(t: Tables, acq: DataFrame, as_of: dt.date, by: str = "week") -> DataFrame:
+    """Litres per route and week (or month) since registration up to `as_of`, one row for each `Periodo`
+    (from 0) with sales, and the route's customers. All that the cohort bought is there: the litres of a
+    route add up to its own. A route whose customers bought nothing has a row without period."""
     if by == "week":
         period = F.floor(days_between("_alta", "_fecha") / 7)
     else:
         period = F.months_between(month_start("_fecha"), month_start("_alta"))
-    since = cohort.join(daily, "NroCta", "left").withColumn("_p", period.cast("int"))
-    columns = [F.coalesce(F.sum(F.when(F.col("_p") == p, F.col("_litros"))), F.lit(0)).alias(f"p{p:02d}") for p in range(periods)]
-    size = F.count_distinct("NroCta").alias("Clientes")
-    return since.groupBy("RUTA").agg(size, *columns)
+    days = _cohort_days(t, acq, as_of).withColumn("Periodo", period.cast("int"))
+    litres = days.groupBy("RUTA", "Periodo").agg(F.sum("_litros").alias("Litros"))
+    sizes = acq.groupBy("RUTA").agg(F.count_distinct("NroCta").alias("Clientes"))
+    bought = litres.filter(F.col("Periodo").isNotNull())
+    return sizes.join(bought, "RUTA", "left")
+
+
+def cohort_litres_by_registration(t: Tables, acq: DataFrame, as_of: dt.date) -> DataFrame:
+    """Litres up to `as_of` per route and week of registration (its Monday)."""
+    days = _cohort_days(t, acq, as_of).withColumn("SemanaAlta", F.to_date(F.date_trunc("week", "_alta")))
+    return days.groupBy("RUTA", "SemanaAlta").agg(
+        F.count_distinct("NroCta").alias("Clientes"), F.coalesce(F.sum("_litros"), F.lit(0)).alias("Litros")
+    )
 
 
 def promo_share(acq: DataFrame) -> DataFrame:
@@ -68,8 +84,8 @@ def promo_share(acq: DataFrame) -> DataFrame:
 def promo_cost(t: Tables, prices: DataFrame) -> DataFrame:
     """List value (`idProducto`, `PrecioLista`) of the free units in first orders, per product."""
     first = first_order(t, "all").select("idPedido")
-    free = sales_lines(t, liquid="positive").filter(F.col("Precio") == 0)
-    units = free.join(first, "idPedido").groupBy("idProducto").agg(F.sum("Cantidad").alias("Unidades"))
+    free = lines_of(t, first, liquid="positive").filter(F.col("Precio") == 0)
+    units = free.groupBy("idProducto").agg(F.sum("Cantidad").alias("Unidades"))
     priced = units.join(prices.select("idProducto", "PrecioLista"), "idProducto", "left")
     return priced.withColumn("CostoBonificado", F.col("Unidades") * F.col("PrecioLista"))
 
@@ -99,7 +115,10 @@ def realised_by_month(t: Tables, as_of: dt.date, max_days: int = 60) -> DataFram
     """Per month of the first paid order and customer type: customers whose first paid order came
     within `max_days` of registration, and the mean days it took."""
     orders = in_window(t["Pedidos"], "Fecha_Pedido", None, day_after(as_of))
-    first = purchases(t, "paid", orders).groupBy(F.col("idCliente").alias("NroCta")).agg(F.min("Fecha_Pedido").alias("_primera"))
+    liquid = t["Productos"].filter(F.col("Litros") > 0).select("idProducto")
+    paid = raw_lines(t, paid=True, window=(None, day_after(as_of))).join(liquid, "idProducto", "left_semi")
+    bought = orders.join(paid.select("idPedido"), "idPedido", "left_semi")
+    first = bought.groupBy(F.col("idCliente").alias("NroCta")).agg(F.to_date(F.min("Fecha_Pedido")).alias("_primera"))
     people = with_type(t, t["Clientes"].filter(F.col("NroCta") != 0)).select("NroCta", "TipCliDes", "FecAlt")
     waited = people.join(first, "NroCta").withColumn("_days", days_between("FecAlt", "_primera"))
     return (

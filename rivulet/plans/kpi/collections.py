@@ -115,12 +115,13 @@ def monthly_debt(moves: DataFrame, by: Sequence[str], months: Sequence[dt.date])
     return wide.select(*by, F.explode(cells).alias("_cell")).select(*by, "_cell.Mes", "_cell.Deuda")
 
 
-def customer_month_sales(t: Tables, start: dt.date, before: dt.date) -> DataFrame:
-    """(NroCta, Mes, Ventas): net sales per customer and month."""
+def customer_month_sales(t: Tables, start: dt.date, before: dt.date, liquid: str | None = None) -> DataFrame:
+    """(NroCta, Mes, Ventas): net sales per customer and month, services included unless `liquid` keeps
+    products by volume."""
     orders = t.between("Pedidos", start, before).select(
         "idPedido", F.col("idCliente").alias("NroCta"), month_start("Fecha_Pedido").alias("Mes")
     )
-    lines = lines_of(t, orders, liquid="nonzero")
+    lines = lines_of(t, orders, liquid=liquid, window=(start, before))
     return lines.groupBy("NroCta", "Mes").agg(F.sum(amount()).alias("Ventas"))
 
 

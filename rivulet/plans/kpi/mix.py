@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.dates import closed_months, first_of_month, month_start
 from rivulet.functions.exprs import ratio, valid_at
+from rivulet.operators.joins import facts_of
 from rivulet.plans.orders import lines_of, volume
 from rivulet.sources.tables import Tables
 
@@ -38,12 +39,17 @@ def _month_index(months: Sequence[dt.date]) -> Column:
     return (F.months_between("Mes", F.lit(months[0])) + 1).cast("int")
 
 
-def customer_months(t: Tables, start: dt.date, before: dt.date, families: Families, column: str) -> DataFrame:
-    """Per customer and month: litres, and for each family its litres and whether it was bought."""
+def customer_months(
+    t: Tables, start: dt.date, before: dt.date, families: Families, column: str, accounts: DataFrame | None = None
+) -> DataFrame:
+    """Per customer and month: litres, and for each family its litres and whether it was bought. `accounts`
+    (`NroCta`) keeps the orders of others from their lines."""
     orders = t.between("Pedidos", start, before).select(
         "idPedido", F.col("idCliente").alias("NroCta"), month_start("Fecha_Pedido").alias("Mes")
     )
-    lines = lines_of(t, orders, liquid="positive")
+    if accounts is not None:
+        orders = facts_of(orders, accounts, "NroCta")
+    lines = lines_of(t, orders, liquid="positive", window=(start, before))
     parts = []
     for name, codes in families.items():
         inside = F.col(column).isin(*codes)
@@ -108,7 +114,7 @@ def promo_panel(
     span = closed_months(as_of, months)
     population = segment.select("NroCta").distinct()
     families = {"botellon": bottle, "soda": soda}
-    bought = customer_months(t, span[0], first_of_month(as_of), families, column)
+    bought = customer_months(t, span[0], first_of_month(as_of), families, column, population)
     flags = F.struct(F.col("_tiene_botellon").alias("b"), F.col("_tiene_soda").alias("s"))
     monthly = bought.groupBy("NroCta").agg(F.map_from_entries(F.collect_list(F.struct("Mes", flags))).alias("_months"))
     rows = population.join(monthly, "NroCta", "left").select(

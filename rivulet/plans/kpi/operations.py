@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.dates import day_after, shift_months, weekday
+from rivulet.functions.dates import day_after, shift_months, sunday_first_weekday, weekday
 from rivulet.functions.exprs import percent, sum_if, try_decimal
 from rivulet.operators.aggregates import share_of_total
 from rivulet.plans.orders import amount, lines_of
@@ -18,16 +18,17 @@ from rivulet.sources.tables import Tables
 def holiday_table(t: Tables, holidays: Sequence[dt.date], months: int = 2, min_days: int = 4) -> DataFrame:
     """The holiday report for each of a list of days, with weekday, supervisor and totals to slice by.
 
-    Sales are read once and brought to route and day; only those few rows are then matched with
+    Sales of the holidays' weekdays are read once and brought to route and day; only those few rows are then matched with
     the holidays whose window they fall in.
     """
     first = shift_months(min(holidays), -months)
     orders = (
         t.between("Pedidos", first, day_after(max(holidays)))
+        .filter(weekday("Fecha_Pedido").isin(sorted({sunday_first_weekday(h) for h in holidays})))
         .filter(F.col("idCliente") != 0)
         .select("idPedido", F.col("idVendedor").alias("Ruta"), F.to_date("Fecha_Pedido").alias("Fecha"))
     )
-    lines = lines_of(t, orders, liquid="nonzero")
+    lines = lines_of(t, orders, liquid="nonzero", window=(first, day_after(max(holidays))))
     daily = lines.groupBy("Ruta", "Fecha").agg(sum_if(F.col("Precio") > 0, amount()).alias("Consumo"))
     windows = F.array(
         *[F.struct(F.lit(h).alias("Feriado"), F.lit(shift_months(h, -months)).alias("desde")) for h in holidays]

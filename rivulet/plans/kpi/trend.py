@@ -51,7 +51,7 @@ def route_sales(t: Tables, start: dt.date, before: dt.date) -> DataFrame:
     orders = t.between("Pedidos", start, before).select(
         "idPedido", F.col("idVendedor").alias("Ruta"), month_start("Fecha_Pedido").alias("Mes")
     )
-    lines = lines_of(t, orders, liquid="nonzero")
+    lines = lines_of(t, orders, liquid="nonzero", window=(start, before))
     return lines.groupBy("Ruta", "Unidad", "Mes").agg(
         F.sum(volume()).alias("Litros"),
         F.sum(F.when(F.col("Precio") > 0, volume()).otherwise(0)).alias("LitrosConCargo"),

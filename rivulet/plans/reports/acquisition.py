@@ -24,7 +24,7 @@ from rivulet.plans.customers import (
     with_terms,
     with_type,
 )
-from rivulet.plans.orders import amount, first_order, order_totals, purchases, sales_lines
+from rivulet.plans.orders import amount, first_order, lines_of, order_totals, purchases
 from rivulet.sources.layout import in_window
 from rivulet.sources.tables import Tables
 
@@ -35,19 +35,19 @@ def _orders_of(t: Tables, accounts: DataFrame, before: dt.date | None = None) ->
     return facts_of(t.between("Pedidos", before=before), accounts, "idCliente", "NroCta")
 
 
-def _registered_since(t: Tables, table: str, since: dt.date) -> DataFrame:
-    return in_window(t[table], "FecAlt", since).filter(F.col("NroCta") != 0).select("NroCta")
+def _registered_since(t: Tables, table: str, since: dt.date, before: dt.date | None = None) -> DataFrame:
+    return in_window(t[table], "FecAlt", since, before).filter(F.col("NroCta") != 0).select("NroCta")
 
 
-def acquisitions_by_channel(
+def registrations(
     t: Tables,
     as_of: dt.date,
     months: int = 3,
     exclude: Sequence[int] = rules.NON_COMMERCIAL_ROUTES,
     legacy_sentinels: bool = False,
 ) -> DataFrame:
-    """Customers registered since the start of the month `months` back, by channel and state,
-    with their first order of water or soda and the kind of promotion it was.
+    """Customers registered from the start of the month `months` back to `as_of`, by channel and state.
+    No order is read.
 
     A customer both active and closed has a row for each state. Customers without a commercial
     route do not count.
@@ -56,7 +56,7 @@ def acquisitions_by_channel(
     columns = ["NroCta", "RUTA", "FecAlt", "canal", "Nombre", "Direcc", "Telefn", "Categoria"]
 
     def registered(people: DataFrame) -> DataFrame:
-        recent = in_window(people, "FecAlt", since).filter(
+        recent = in_window(people, "FecAlt", since, day_after(as_of)).filter(
             (F.col("NroCta") != 0) & like("Direcc", f"%{rules.DEPOT_ADDRESS}%", negate=True)
         )
         return recent.withColumn("canal", rules.channel("Categoria")).filter(F.col("canal").isNotNull())
@@ -64,18 +64,8 @@ def acquisitions_by_channel(
     active = registered(active_customers(t, exclude=exclude)).select(*columns)
     closed = latest_closure(registered(closed_customers(t, exclude=exclude)), ["NroCta", "canal"])
     customers = union_states(active, closed.select(*columns, F.to_date("FecBaj").alias("FecBaj")))
-    customers = with_category(t, customers, "inner")
-
-    accounts = _registered_since(t, "Clientes", since).union(_registered_since(t, "ClientesBaja", since))
-    first = first_order(t, "liquid", _orders_of(t, accounts)).select(
-        F.col("idCliente").alias("NroCta"),
-        F.col("idPedido").alias("PrimerPedido"),
-        F.col("Fecha_Pedido").alias("FechaPrimerPedido"),
-        F.col("Importe").alias("TotalImportePedido"),
-        F.col("LineaPrecio0").alias("TieneLineaPrecio0"),
-    )
     closed_on = legacy_text_date("FecBaj") if legacy_sentinels else fmt_dmy("FecBaj")
-    return customers.join(first, "NroCta", "left").select(
+    return with_category(t, customers, "inner").select(
         "RUTA",
         fmt_dmy("FecAlt").alias("FECALT"),
         closed_on.alias("FECBAJ"),
@@ -86,6 +76,32 @@ def acquisitions_by_channel(
         "Direcc",
         "Telefn",
         "Descripcion",
+    )
+
+
+def acquisitions_by_channel(
+    t: Tables,
+    as_of: dt.date,
+    months: int = 3,
+    exclude: Sequence[int] = rules.NON_COMMERCIAL_ROUTES,
+    legacy_sentinels: bool = False,
+) -> DataFrame:
+    """The `registrations` with their first order of water or soda up to `as_of` and the kind of
+    promotion it was. A rerun for the same day gives the same answer, whatever was sold since."""
+    customers = registrations(t, as_of, months, exclude, legacy_sentinels)
+    since, before = first_of_month(as_of, -months), day_after(as_of)
+    accounts = _registered_since(t, "Clientes", since, before).union(
+        _registered_since(t, "ClientesBaja", since, before)
+    )
+    first = first_order(t, "liquid", _orders_of(t, accounts, before), (None, before)).select(
+        F.col("idCliente").alias("NroCta"),
+        F.col("idPedido").alias("PrimerPedido"),
+        F.col("Fecha_Pedido").alias("FechaPrimerPedido"),
+        F.col("Importe").alias("TotalImportePedido"),
+        F.col("LineaPrecio0").alias("TieneLineaPrecio0"),
+    )
+    return customers.join(first, "NroCta", "left").select(
+        *customers.columns,
         "PrimerPedido",
         "FechaPrimerPedido",
         "TotalImportePedido",
@@ -130,7 +146,8 @@ def realised_acquisitions(
     orders = _orders_of(t, _registered_since(t, "Clientes", cut), before=day_after(to)).select(
         "idPedido", "idCliente", F.to_date("Fecha_Pedido").alias("Fecha")
     )
-    paid = orders.join(order_totals(sales_lines(t, paid=True)), "idPedido")
+    lines = lines_of(t, orders, paid=True, window=(None, day_after(to)))
+    paid = order_totals(lines, "idCliente", "Fecha")
     monthly = paid.groupBy("idCliente", fmt_ym("Fecha").alias("Periodo")).agg(
         F.min("Fecha").alias("_first"),
         F.sum("Importe").alias("Consumo"),
@@ -168,15 +185,18 @@ def repurchase(
     months: int | None = 3,
     cohort: DataFrame | None = None,
 ) -> DataFrame:
-    """First and second paid order of the customers registered after the start of the month
-    `months` back (all of them without `months`), and the days between. A customer yet to buy, or
-    to buy again, stays with NULLs. `cohort` limits the report to its `NroCta`."""
-    cut = None if months is None else first_of_month(as_of, -months)
-    customers = restrict(_new_customers(t, cut, None, "left"), cohort, "NroCta")
-    orders = t["Pedidos"] if cut is None else _orders_of(t, _registered_since(t, "Clientes", cut))
+    """First and second paid order, up to `as_of`, of the customers registered after the start of
+    the month `months` back (all of them without `months`) and by `as_of`, and the days between. A
+    customer yet to buy, or to buy again, stays with NULLs. `cohort` limits the report to its `NroCta`."""
+    cut, before = None if months is None else first_of_month(as_of, -months), day_after(as_of)
+    customers = in_window(_new_customers(t, cut, None, "left"), "FecAlt", None, before)
+    customers = restrict(customers, cohort, "NroCta")
+    orders = t.between("Pedidos", None, before)
+    if cut is not None:
+        orders = _orders_of(t, _registered_since(t, "Clientes", cut, before), before)
     orders = restrict(orders, cohort, "idCliente", "NroCta")
     pair = nth_pair(
-        purchases(t, "paid", orders),
+        purchases(t, "paid", orders, (None, before)),
         "idCliente",
         ["Fecha_Pedido", "idPedido"],
         {

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.exprs import safe_div, valid_at
+from rivulet.operators.joins import facts_of
 from rivulet.plans.orders import lines_of, volume
 from rivulet.sources.tables import Tables
 
@@ -22,9 +23,10 @@ def machines_at(t: Tables, cut: dt.date) -> DataFrame:
 
 def litres_per_equipment(t: Tables, cut: dt.date, from_: dt.date, to: dt.date) -> DataFrame:
     """Litres in `from_ <= date < to` per customer with machines at the cut, and per machine.
-    Litres are summed per customer before they meet the machines."""
+    Only orders of those customers meet their lines, and litres are summed per customer."""
     orders = t.between("Pedidos", from_, to).select("idPedido", F.col("idCliente").alias("NroCta"))
-    lines = lines_of(t, orders, liquid="positive")
+    machines = machines_at(t, cut)
+    lines = lines_of(t, facts_of(orders, machines, "NroCta"), liquid="positive", window=(from_, to))
     litres = lines.groupBy("NroCta").agg(F.sum(volume()).alias("ConsumoLitros"))
     ratio = safe_div("ConsumoLitros", "Q_FC").cast("decimal(12,2)")
-    return machines_at(t, cut).join(litres, "NroCta").withColumn("LitrosPorEquipo", ratio)
+    return machines.join(litres, "NroCta").withColumn("LitrosPorEquipo", ratio)

@@ -21,7 +21,7 @@ def daily_route_sales(t: Tables, holiday: dt.date, months: int) -> DataFrame:
         .filter((weekday("Fecha_Pedido") == sunday_first_weekday(holiday)) & (F.col("idCliente") != 0))
         .select("idPedido", F.col("idVendedor").alias("Ruta"), F.to_date("Fecha_Pedido").alias("Fecha"))
     )
-    lines = lines_of(t, orders, liquid="nonzero")
+    lines = lines_of(t, orders, liquid="nonzero", window=(shift_months(holiday, -months), day_after(holiday)))
     return lines.groupBy("Ruta", "Fecha").agg(
         sum_if(F.col("Precio") > 0, amount()).alias("Consumo"), F.sum(volume()).alias("Litros")
     )

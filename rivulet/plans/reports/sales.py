@@ -5,17 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions import rules
 from rivulet.functions.dates import closed_months, first_of_month, legacy_day_number, month_start
-from rivulet.functions.exprs import clamp0, quote
-from rivulet.operators.joins import splittable
-from rivulet.operators.pivots import month_matrix
+from rivulet.functions.exprs import clamp0
+from rivulet.operators.joins import active_keys, semi
+from rivulet.operators.pivots import month_cells, month_columns
 from rivulet.plans.customers import one_per_account, with_terms, with_type
 from rivulet.plans.ledgers import cash_balance, credit_balance
-from rivulet.plans.orders import amount
+from rivulet.plans.orders import amount, raw_lines
 from rivulet.sources.layout import in_window
 from rivulet.sources.tables import Tables
 
@@ -25,8 +25,8 @@ GRAIN = ["NroCta", "Ruta", "idProducto"]
 def _monthly_cells(
     t: Tables, start: dt.date, before: dt.date, vendors: Sequence[int] | DataFrame | None
 ) -> DataFrame:
-    """Units and revenue of paid lines per customer, vendor, product and month. No product
-    attribute is needed for it, so the rows are already summed when they meet the products."""
+    """Units and revenue of paid lines of water and soda per customer, vendor, product and month. Rows are
+    already summed when they meet the products' attributes."""
     orders = t.between("Pedidos", start, before).select(
         "idPedido",
         F.col("idCliente").alias("NroCta"),
@@ -39,7 +39,8 @@ def _monthly_cells(
         orders = orders.filter(F.col("Ruta").isin(*vendors))
     else:
         orders = orders.filter(F.col("Ruta").isNotNull())
-    lines = orders.join(t["Pedidos_Productos"].filter(F.col("Precio") > 0), "idPedido")
+    lines = orders.join(raw_lines(t, paid=True, window=(start, before)), "idPedido")
+    lines = lines.join(_liquid_products(t).select("idProducto"), "idProducto", "left_semi")
     return lines.groupBy(*GRAIN, "Mes").agg(F.sum("Cantidad").alias("Unidades"), F.sum(amount()).alias("Facturacion"))
 
 
@@ -58,9 +59,16 @@ def monthly_sales(
     )
 
 
-def customer_card(t: Tables, closed_since: dt.date, machines_until: dt.date, legacy_sentinels: bool = False) -> DataFrame:
+def customer_card(
+    t: Tables,
+    closed_since: dt.date,
+    machines_until: dt.date,
+    legacy_sentinels: bool = False,
+    keys: DataFrame | None = None,
+) -> DataFrame:
     """One row per account: contact, terms, both debts and its machines. Accounts closed before
-    `closed_since` are left out; an active record goes before a closed one."""
+    `closed_since` are left out; an active record goes before a closed one. `keys` (`NroCta`) limits
+    it to some accounts."""
     columns = ["NroCta", "Nombre", "Direcc", "FecAlt", "CndPag", "TipCli"]
     closed = in_window(t["ClientesBaja"], "FecBaj", closed_since)
 
@@ -69,6 +77,8 @@ def customer_card(t: Tables, closed_since: dt.date, machines_until: dt.date, leg
 
     active = labelled(t["Clientes"].select(*columns))
     accounts = one_per_account(active, labelled(closed.select(*columns, "FecBaj", "IdClienteBaja")))
+    if keys is not None:
+        accounts = semi(accounts, keys, "NroCta")
     cash = cash_balance(t).withColumnRenamed("IdCliente", "NroCta")
     credit = credit_balance(t).withColumnRenamed("IdCliente", "NroCta")
     installed = in_window(t["ClientesServicios"].filter(F.col("Fecha_Baja").isNull()), "Fecha_Desde", None, machines_until)
@@ -100,16 +110,13 @@ def monthly_sales_matrix(
     with the customer's card. Sales drive the result: a customer appears because it bought."""
     span = closed_months(as_of, months)
     before = first_of_month(as_of)
-    cells = _monthly_cells(t, span[0], before, vendors)
-    matrix = month_matrix(cells, GRAIN, "Mes", span, {"Unidades": "CANT", "Facturacion": "FACT"})
-    months_sold = [c for c in matrix.columns if c not in GRAIN]
-
-    def value(name: str) -> Column:
-        column = F.col(quote(name))
-        return (column * F.col("Litros") if name.endswith(" CANT") else column).alias(name)
-
-    card = customer_card(t, span[0], before, legacy_sentinels)
-    return matrix.join(_liquid_products(t), "idProducto").join(splittable(card), "NroCta", "left").select(
+    metrics = {"Unidades": "CANT", "Facturacion": "FACT"}
+    matrix = month_cells(_monthly_cells(t, span[0], before, vendors), GRAIN, "Mes", metrics)
+    # The months stay a map through both joins and are spread last.
+    columns = month_columns(matrix, span, metrics, {"Unidades": F.col("Litros")})
+    buyers = active_keys(t.between("Pedidos", span[0], before).withColumnRenamed("idCliente", "NroCta"), "NroCta")
+    card = customer_card(t, span[0], before, legacy_sentinels, buyers)
+    return matrix.join(_liquid_products(t), "idProducto").join(card, "NroCta", "left").select(
         "NroCta", "Nombre", "Ruta", "Direccion", "FecAlt", "FecBaj", "MediodePago", "DeudaContado", "DeudaCtaCte",
-        "CATEGORIA", "Q_FC", "idProducto", "Abreviatura", *[value(c) for c in months_sold],
+        "CATEGORIA", "Q_FC", "idProducto", "Abreviatura", *columns,
     )

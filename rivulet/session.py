@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Reducers to begin with. AQE merges small ones and cannot add any.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     # Split a reducer that holds a hot key, even where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -44,6 +46,7 @@ def build_session(
     settings = dict(CLUSTER_DEFAULTS)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

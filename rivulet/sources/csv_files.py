@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.sources.layout import write_table
-from rivulet.sources.schema import TABLE_COLUMNS, canonical_schema, columns_of, file_schema
+from rivulet.sources.layout import DATE_OF_PARENT, loaded, write_lot
+from rivulet.sources.schema import TABLE_COLUMNS, WHOLE_KINDS, canonical_schema, columns_of, file_schema
 from rivulet.sources.tables import Tables
 
 CORRUPT = "_corrupt_record"
@@ -30,14 +30,26 @@ CSV_OPTIONS = {
 
 
 def canonicalise(df: DataFrame, table: str) -> DataFrame:
-    """Parsed text columns to canonical types, blank padding removed."""
-    out = []
+    """Parsed text columns to canonical types, blank padding removed. `12.0` is the whole number 12; `1.5`
+    in a whole-number column fails the scan, or is NULL with its row in `_corrupt_record`."""
+    keeps = CORRUPT in df.columns
+    out, broken = [], F.lit(False)
     for (name, kind), field in zip(columns_of(table), canonical_schema(table).fields):
         column = F.col(f"`{name}`")
         if kind == "char":
             column = F.rtrim(column)
+        if kind in WHOLE_KINDS:
+            fits = column == F.floor(column)
+            broken = broken | F.coalesce(~fits, F.lit(False))
+            refused = F.raise_error(F.concat(F.lit(f"{table}.{name} is no whole number: "), column.cast("string")))
+            column = F.when(column.isNull() | fits, column).otherwise(
+                F.lit(None) if keeps else refused.cast(df.schema[name].dataType)
+            )
         out.append(column.cast(field.dataType).alias(name))
-    return df.select(*out, *([CORRUPT] if CORRUPT in df.columns else []))
+    if keeps:
+        row = F.to_json(F.struct(*[F.col(f"`{name}`") for name, _ in columns_of(table)]))
+        out.append(F.coalesce(F.col(CORRUPT), F.when(broken, row)).alias(CORRUPT))
+    return df.select(*out)
 
 
 def read_csv(spark: SparkSession, path: str, table: str, keep_corrupt: bool = False) -> DataFrame:
@@ -63,19 +75,21 @@ def load_all(
     names: Iterable[str] = tuple(TABLE_COLUMNS),
 ) -> tuple[Tables, DataFrame]:
     """Write each table's CSV as Parquet, count and time it. A table that fails is reported and
-    the others still load."""
+    the others still load. A table laid out by its parent's date is loaded after that parent."""
     report = []
-    loaded = []
-    for name in names:
+    done = []
+    for name in sorted(names, key=lambda table: table in DATE_OF_PARENT):
         started = time.monotonic()
         rows, error = None, None
         try:
             source = read_csv(spark, f"{csv_dir}/{name}.csv", name)
-            write_table(source, f"{parquet_dir}/{name}", name)
-            rows = spark.read.parquet(f"{parquet_dir}/{name}").count()
-            loaded.append(name)
+            parent = DATE_OF_PARENT.get(name, ("", ""))[0]
+            dated = loaded(spark, f"{parquet_dir}/{parent}", parent) if parent in done else None
+            write_lot(source, f"{parquet_dir}/{name}", name, 0, dated)
+            rows = loaded(spark, f"{parquet_dir}/{name}", name).count()
+            done.append(name)
         except (PySparkException, Py4JJavaError) as problem:
             error = str(problem).splitlines()[0]
         report.append((name, rows, int((time.monotonic() - started) * 1000), error))
-    tables = Tables.from_parquet(spark, parquet_dir, loaded)
+    tables = Tables.from_parquet(spark, parquet_dir, done)
     return tables, spark.createDataFrame(report, REPORT_SCHEMA)

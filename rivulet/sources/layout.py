@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rivulet.sources.schema import DATE_COLUMN
+from rivulet.sources.schema import DATE_COLUMN, canonical_schema
 
 MONTH = "_mes"
 
+# The load that brought a row: 0 for the first, then one for each refresh.
+LOT = "_lote"
+
+# A table without a date of its own is laid out by that of the table its key refers to.
+DATE_OF_PARENT = {"Pedidos_Productos": ("Pedidos", "idPedido")}
+
 
 def write(df: DataFrame, path: str, partition_by: str | list[str] | None = None, mode: str = "errorifexists") -> None:
     """Write a report as Parquet, optionally in one folder per value of `partition_by`."""
@@ -21,13 +28,50 @@ def write(df: DataFrame, path: str, partition_by: str | list[str] | None = None,
     df.write.mode(mode).partitionBy(*keys).parquet(path)
 
 
-def write_table(df: DataFrame, path: str, table: str, mode: str = "errorifexists") -> None:
-    """Write a business table; growing tables get one folder per month of their date."""
-    date = DATE_COLUMN.get(table)
-    if date is None:
-        write(df, path, mode=mode)
-    else:
-        write(df.withColumn(MONTH, F.trunc(F.col(date), "month")), path, MONTH, mode)
+def with_month(df: DataFrame, table: str, parent: DataFrame | None = None) -> DataFrame:
+    """A growing table with the month of its date. For one dated by its parent, `parent` is that table;
+    rows whose parent is unknown have no month. Tables that do not grow stay as they are."""
+    if table in DATE_COLUMN:
+        return df.withColumn(MONTH, F.trunc(F.col(DATE_COLUMN[table]), "month"))
+    if table in DATE_OF_PARENT and parent is not None:
+        name, key = DATE_OF_PARENT[table]
+        months = parent.groupBy(key).agg(F.min(F.trunc(F.col(DATE_COLUMN[name]), "month")).alias(MONTH))
+        return df.join(months, key, "left").select(*df.columns, MONTH)
+    return df
+
+
+def write_table(
+    df: DataFrame, path: str, table: str, mode: str = "errorifexists", parent: DataFrame | None = None
+) -> None:
+    """Write a business table; growing tables get one folder per month (see `with_month`)."""
+    df = with_month(df, table, parent)
+    write(df, path, MONTH if MONTH in df.columns else None, mode)
+
+
+def write_lot(df: DataFrame, path: str, table: str, lot: int, parent: DataFrame | None = None) -> None:
+    """Write one load of a table below its folder. Writing a lot again replaces it, so a load that is
+    repeated or was interrupted counts once."""
+    df = with_month(df, table, parent).withColumn(LOT, F.lit(lot))
+    months = [MONTH] if MONTH in df.columns else []
+    # A task for each month, more for a large one: a lot adds few files to a month.
+    df = df.hint("rebalance", *months) if months else df
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(LOT, *months).parquet(path)
+
+
+def grows(table: str) -> bool:
+    """Whether loads add to a table. Each load of any other table is the whole of it."""
+    return table in DATE_COLUMN or table in DATE_OF_PARENT
+
+
+def loaded(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A table as `write_lot` laid it out: all lots of one that grows, else the last."""
+    schema = canonical_schema(table).add(LOT, T.IntegerType())
+    if grows(table):
+        return spark.read.schema(schema.add(MONTH, T.DateType())).parquet(path).drop(LOT)
+    rows = spark.read.schema(schema).parquet(path)
+    last = rows.agg(F.max(LOT)).first()[0]
+    return (rows if last is None else rows.filter(F.col(LOT) == last)).drop(LOT)
 
 
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
@@ -52,11 +96,28 @@ def in_window(
     if before is not None:
         tests.append(F.col(column) < _wall_clock(before))
         if MONTH in df.columns:
-            tests.append(F.col(MONTH) <= F.lit(before.replace(day=1)))
+            tests.append(_month_before(before))
     for test in tests:
         df = df.filter(test)
     return df
 
 
+def in_months(df: DataFrame, start: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
+    """Rows of the months that `start <= date < before` touches, where the table is laid out by month; all
+    rows where it is not. For tables that are then joined to rows of that window."""
+    if MONTH not in df.columns:
+        return df
+    # A row without a month came before its parent, which may be there by now.
+    unknown = F.col(MONTH).isNull()
+    if start is not None:
+        df = df.filter(unknown | (F.col(MONTH) >= F.lit(start.replace(day=1))))
+    return df if before is None else df.filter(unknown | _month_before(before))
+
+
+def _month_before(before: dt.date) -> Column:
+    """Months with a day before `before`."""
+    return F.col(MONTH) < F.lit(before) if before.day == 1 else F.col(MONTH) <= F.lit(before.replace(day=1))
+
+
 def _wall_clock(day: dt.date) -> Column:
     return F.lit(day.isoformat()).cast("timestamp_ntz")

@@ -102,6 +102,8 @@ _AS_WRITTEN = {
     "key": T.DecimalType(16, 1),
 }
 
+WHOLE_KINDS = frozenset(_AS_WRITTEN)
+
 
 def columns_of(table: str) -> list[tuple[str, str]]:
     """(name, kind) pairs of a table, in file order."""

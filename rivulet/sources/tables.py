@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.sources.layout import in_window
+from rivulet.sources.layout import in_window, loaded
 from rivulet.sources.schema import DATE_COLUMN, TABLE_COLUMNS, canonical_schema
 
 
@@ -51,7 +51,9 @@ class Tables:
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, path: str, names: Iterable[str] = tuple(TABLE_COLUMNS)) -> Tables:
-        return cls(spark, {n: (lambda n=n: spark.read.parquet(f"{path}/{n}")) for n in names})
+        """Tables as `load_all` writes them, by the declared schema."""
+
+        return cls(spark, {n: (lambda n=n: loaded(spark, f"{path}/{n}", n)) for n in names})
 
     @classmethod
     def from_rows(cls, spark: SparkSession, rows: Mapping[str, list[dict]]) -> Tables:

@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rivulet.sources.csv_files import CSV_OPTIONS, canonicalise
-from rivulet.sources.layout import MONTH
-from rivulet.sources.schema import DATE_COLUMN, file_schema
+from rivulet.sources.layout import DATE_OF_PARENT, loaded, write_lot
+from rivulet.sources.schema import file_schema
 
 
-def refresh_table(spark: SparkSession, table: str, csv_dir: str, parquet_dir: str, checkpoint_dir: str) -> None:
-    """Append one table's new files to its Parquet copy, in month folders where it has a date. The
-    checkpoint, on shared storage, remembers the files, so a run that is repeated or interrupted
-    loads each of them once. A malformed row stops the run before its file counts as loaded."""
+def refresh_table(
+    spark: SparkSession,
+    table: str,
+    csv_dir: str,
+    parquet_dir: str,
+    checkpoint_dir: str,
+    parent_dir: str | None = None,
+) -> None:
+    """Bring one table's new files to its Parquet copy, as a lot of their own (see `write_lot`). A growing
+    table gets their rows added, laid out by month; any other is replaced by what the run found.
+
+    The checkpoint, on shared storage, remembers the files and the number of the lot, so a run that is
+    repeated or interrupted loads each file once. A malformed row stops the run before its file counts as
+    loaded. `parent_dir` is the folder of the table that dates this one (orders, for order lines), to be
+    refreshed first; by default it stands next to `parquet_dir`.
+    """
     files = spark.readStream.schema(file_schema(table)).options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(csv_dir)
-    rows = canonicalise(files, table)
-    date = DATE_COLUMN.get(table)
-    if date:
-        rows = rows.withColumn(MONTH, F.trunc(F.col(date), "month"))
-    writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir)
-    if date:
-        writer = writer.partitionBy(MONTH)
-    writer.trigger(availableNow=True).start(parquet_dir).awaitTermination()
+    parent = DATE_OF_PARENT.get(table, ("", ""))[0]
+    folder = parent_dir or f"{parquet_dir.rstrip('/').rpartition('/')[0]}/{parent}"
+
+    def write(rows: DataFrame, batch: int) -> None:
+        dated = loaded(rows.sparkSession, folder, parent) if parent else None
+        # Lot 0 is the first load.
+        write_lot(rows, parquet_dir, table, batch + 1, dated)
+
+    stream = canonicalise(files, table).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
+    stream.trigger(availableNow=True).start().awaitTermination()

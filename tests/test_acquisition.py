@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
 from world import acquisitions_world
 
 from rivulet.plans.kpi import acquisition as ka
@@ -88,15 +89,37 @@ def test_grid_totals(spark):
 def test_cohort_litres_keeps_customers_without_orders(spark):
     t = acquisitions_world(spark)
     acq = acquisition.acquisitions_by_channel(t, AS_OF)
-    rows = {r.RUTA: r for r in ka.cohort_litres(t, acq, periods=4).collect()}
-    assert rows[2].p00 == 20 and rows[2].p03 == 36 and rows[2].Clientes == 1
-    assert rows[1].Clientes == 3
+    rows = ka.cohort_litres(t, acq, AS_OF).collect()
+    litres = {(r.RUTA, r.Periodo): r.Litros for r in rows}
+    assert litres[2, 0] == 20 and litres[2, 3] == 36
+    assert {r.RUTA: r.Clientes for r in rows} == {1: 3, 2: 1}
+    # Nothing is cut off: the periods of a route add up to what its customers bought, by either reading.
+    whole = {r.RUTA: r.Litros for r in ka.cohort_litres_by_registration(t, acq, AS_OF).groupBy("RUTA").agg(F.sum("Litros").alias("Litros")).collect()}
+    assert whole == {ruta: sum(v or 0 for (r, _), v in litres.items() if r == ruta) for ruta in whole}
+
+
+def test_as_of_is_the_upper_end(spark):
+    t = acquisitions_world(spark)
+    early = dt.date(2026, 3, 31)
+    rows = {(r.NroCta, r.Estado): r for r in acquisition.acquisitions_by_channel(t, early).collect()}
+    assert rows and all(dt.datetime.strptime(r.FECALT, "%d/%m/%Y").date() <= early for r in rows.values())
+    assert all(r.FechaPrimerPedido is None or r.FechaPrimerPedido.date() <= early for r in rows.values())
+    pair = {r.NroCta: r for r in acquisition.repurchase(t, dt.date(2026, 4, 10)).collect()}[2]
+    assert pair.FechaPrimeraCompra == dt.date(2026, 4, 5) and pair.FechaSegundaCompra is None
+
+
+def test_registrations_read_no_order(spark):
+    plan = acquisition.registrations(acquisitions_world(spark), AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "idPedido" not in plan
 
 
 def test_pending_and_cohort(spark):
     t = acquisitions_world(spark)
-    rep = acquisition.repurchase(t, dt.date(2026, 4, 20), months=None)
-    assert ka.pending_second_order(rep, dt.date(2026, 4, 20), 60).count() == 0
+    # On 20 April the order of the 30th has not been placed yet.
+    april = acquisition.repurchase(t, dt.date(2026, 4, 20), months=None)
+    assert [r.NroCta for r in ka.pending_second_order(april, dt.date(2026, 4, 20), 60).collect()] == [2]
+    rep = acquisition.repurchase(t, AS_OF, months=None)
+    assert ka.pending_second_order(rep, AS_OF, 60).count() == 0
     cohort = {r.MesAlta: r for r in ka.second_order_cohort(rep).collect()}
     assert cohort["2026-03"].ConSegunda == 1 and cohort["2026-03"].DiasPromedio == 25
 

@@ -11,8 +11,8 @@ from catalog.registry import ORACLE, runner
 
 QUERIES = {name: runner(name) for name in all_names()}
 
-# Shares of a total, over the few total rows of a code list.
-SHARES = {"k14_share_of_total", "k16_event_mix", "k30_promo_share", "k32_exposure_rank"}
+# Empty on the smallest data, where no customer or route meets the condition.
+MAY_BE_EMPTY = {"k27_pending"}
 
 
 @pytest.fixture(scope="module")
@@ -31,9 +31,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, sf_dir, con, name):
     df = QUERIES[name](spark, sf_dir)
-    assert difference(df, con, ORACLE[name]) in (None, "empty")
+    assert difference(df, con, ORACLE[name]) in ((None, "empty") if name in MAY_BE_EMPTY else (None,))
     plan = df._jdf.queryExecution().executedPlan().toString()
     # No pairs of everything, no Python in the rows, nothing gathered in one task to be ranked.
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|ArrowEvalPython", plan)
-    if name not in SHARES:
-        assert not re.search(r"Window \[.*windowspecdefinition\((0, )?specifiedwindowframe", plan)
+    assert not re.search(r"Window \[.*windowspecdefinition\((0, )?specifiedwindowframe", plan)

@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -70,7 +71,8 @@ def test_guards(spark):
     rows = spark.createDataFrame([(1, 0), (6, 3), (None, 2), (-4, None)], "a int, b int")
     got = rows.select(exprs.safe_div("a", "b"), exprs.ratio("a", "b"), exprs.divide("a", "b", 9), exprs.clamp0("a")).collect()
     assert [tuple(r) for r in got] == [(None, None, 9, 1), (2, 2, 2, 6), (None, None, 9, 0), (None, None, 9, 0)]
-    assert column(spark, exprs.try_decimal(F.col("x"), 5, 1), "x double", 9999.94, 10000.0) is not None
+    fits = column(spark, exprs.try_decimal(F.col("x"), 5, 1), "x double", 9999.94, 10000.0)
+    assert fits == [Decimal("9999.9"), None]
 
 
 def test_legacy_dates(spark):

@@ -1,11 +1,14 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+from pyspark.errors import PySparkException
 from world import order, tables
 
 from rivulet.operators.rowsets import keep, month_calendar, shared_folder, values
+from rivulet.plans.orders import raw_lines
 from rivulet.sources.csv_files import CORRUPT, load_all, read_csv
-from rivulet.sources.layout import MONTH, in_window, save_bucketed, write, write_table
+from rivulet.sources.layout import MONTH, in_window, save_bucketed, write, write_lot, write_table
 from rivulet.sources.schema import TABLE_COLUMNS, canonical_schema, columns_of
 from rivulet.sources.tables import Tables
 from rivulet.streaming.refresh import refresh_table
@@ -138,3 +141,70 @@ def test_refresh_loads_each_file_once(spark, tmp_path):
     stored = Tables.from_parquet(spark, str(tmp_path), ["Pedidos"])
     june = stored.between("Pedidos", dt.date(2026, 6, 1), dt.date(2026, 7, 1))
     assert sorted(r.idPedido for r in june.collect()) == [2, 3]
+
+
+def test_refresh_adds_to_what_was_loaded(spark, tmp_path):
+    csv, out = tmp_path / "csv", tmp_path / "out"
+    csv.mkdir()
+    orders, lines = (",".join(n for n, _ in columns_of(x)) for x in ("Pedidos", "Pedidos_Productos"))
+    people = ",".join(n for n, _ in columns_of("Categorias"))
+    put(csv / "Pedidos.csv", f"{orders}\n1,2,2026-05-01,3,,,,,PR,\n2,2,2026-06-01,3,,,,,PR,\n")
+    put(csv / "Pedidos_Productos.csv", f"{lines}\n1,A,N,1,10,\n2,A,N,2,10,\n9,A,N,3,10,\n")
+    put(csv / "Categorias.csv", f"{people}\nA,uno\nB,dos\n")
+    load_all(spark, str(csv), str(out), ["Pedidos_Productos", "Pedidos", "Categorias"])
+
+    def refresh(table, name, text):
+        drop = tmp_path / f"drop-{table}"
+        drop.mkdir(exist_ok=True)
+        if text:
+            put(drop / name, text)
+        refresh_table(spark, table, str(drop), str(out / table), str(tmp_path / f"memory-{table}"))
+
+    def ids(table, key):
+        return sorted(r[key] for r in Tables.from_parquet(spark, str(out), [table])[table].collect())
+
+    refresh("Pedidos", "a.csv", f"{orders}\n3,2,2026-06-02,3,,,,,PR,\n")
+    refresh("Pedidos", "a.csv", None)
+    assert ids("Pedidos", "idPedido") == [1, 2, 3]
+    refresh("Pedidos_Productos", "a.csv", f"{lines}\n3,B,N,4,10,\n")
+    assert ids("Pedidos_Productos", "idPedido") == [1, 2, 3, 9]
+    refresh("Categorias", "a.csv", f"{people}\nA,otra\n")
+    assert ids("Categorias", "Descripcion") == ["otra"]
+
+    t = Tables.from_parquet(spark, str(out))
+    june = raw_lines(t, window=(dt.date(2026, 6, 1), dt.date(2026, 7, 1)))
+    # Lines of June, and the one whose order is not there yet.
+    assert sorted(r.idPedido for r in june.collect()) == [2, 3, 9]
+    assert f"PartitionFilters: [(isnull({MONTH}" in plan_of(june)
+
+
+def test_a_lot_that_is_written_again_counts_once(spark, tmp_path):
+    t = tables(spark, Pedidos=[order(i, 1, "2026-04-01") for i in range(5)])
+    for _ in range(2):
+        write_lot(t["Pedidos"], str(tmp_path / "Pedidos"), "Pedidos", 1)
+    assert Tables.from_parquet(spark, str(tmp_path), ["Pedidos"])["Pedidos"].count() == 5
+
+
+def test_fractions_in_whole_columns_are_refused(spark, tmp_path):
+    header = "Codigo,Descrp,DiasCR,Cuotas,CodAlt"
+    put(tmp_path / "CondPAGO.csv", f"{header}\n1,CONTADO,30.0,1,\n2,MAL,1.5,1,\n")
+    with pytest.raises(PySparkException):
+        read_csv(spark, str(tmp_path / "CondPAGO.csv"), "CondPAGO").collect()
+    rows = read_csv(spark, str(tmp_path / "CondPAGO.csv"), "CondPAGO", keep_corrupt=True).collect()
+    assert [(r.Codigo, r.DiasCR, bool(r[CORRUPT])) for r in rows] == [(1, 30, False), (2, None, True)]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Cluster:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        sparkContext = Cluster()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError):
+        shared_folder(Session(), "x")
