@@ -17,7 +17,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 # At most this many bytes of text are held as one array.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def text_slices(column: pa.Array, most: int = SLICE_BYTES):

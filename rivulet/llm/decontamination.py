@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.tables import let
+from rivulet.llm.tables import let, nested
 
 WINDOW = 8
 STRIDE = 4
@@ -198,5 +198,6 @@ def _verified(found: DataFrame, coverage: float) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    held = leaks(docs, benchmark).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, F.col("doc_id").eqNullSafe(F.col("_held")), "left_anti")
+    held = leaks(docs, benchmark).select(F.col("doc_id").alias("held")).distinct()
+    rows = nested(docs, id=F.col("doc_id")).join(held, F.col("id").eqNullSafe(F.col("held")), "left_anti")
+    return rows.select("row.*")

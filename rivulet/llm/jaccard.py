@@ -6,13 +6,14 @@ smaller of the two holds it among its first n - ceil(6n/7) + 1. So:
 
 1. Copies (equal sets) are one class, classes with equal prefix and size are one group. Only groups
    are indexed.
-2. The order: a count of the shingles in the first third of each set by hash says which are frequent.
-   They are kept in a bitmap of fixed size. A false hit moves a shingle back in the order of all
-   documents alike, so the bitmap bears on speed only.
-3. Group pairs that share a prefix shingle and whose sizes allow a link are expanded to their classes,
-   whose whole sets are then compared.
-4. Frequent shingles, in the prefix only where nearly all of a set is frequent, are not paired all
-   with all: each of their groups is compared with a few leaders first. The links found make
+2. The order: a count of all shingles says which are frequent. They are kept in a bitmap of fixed size.
+   A false hit moves a shingle back in the order of all documents alike, so the bitmap bears on speed
+   only.
+3. Group pairs that share a prefix shingle and whose sizes allow a link are expanded to their classes.
+   Counts of shingles by range of hash bound what two sets can share; of the pairs left, the whole
+   sets are compared.
+4. Shingles that many groups have in the prefix are not paired all with all: each of their groups is
+   compared with a few leaders first. The links found make
    components, and then every pair of groups that share such a shingle and still lie in different
    components is compared. The same goes for the classes of one group. No pair that could join two
    components is left out, and pairs within a component need no comparison.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,11 +41,12 @@ from rivulet.llm.blocks import (
 )
 from rivulet.llm.bytetext import SubstringHash, distinct_in_rows, lower_ascii, mixed, text_slices, word_spans
 from rivulet.llm.components import components
-from rivulet.llm.tables import stored
+from rivulet.llm.tables import forget, nested, stored
 
 SHINGLE = 5
 FREQUENT = 24
 LEADERS = 3
+CELLS = 256
 WHOLE, PART = 4, 3  # a link: WHOLE * intersection >= PART * union
 
 
@@ -91,32 +94,38 @@ class Sets:
         both = np.stack([self.digests(every, 11), self.digests(every, 12)], axis=1).astype(">u8")
         return pa.array([bytes(x) for x in both], pa.binary())
 
+    def sketches(self) -> pa.Array:
+        """How many shingles each of `CELLS` ranges of the hash holds; null where one holds 255 or more."""
+        cell = (self.shingles >> np.uint64(56)).astype(np.int64)
+        counts = np.bincount(self.rows * CELLS + cell, minlength=len(self.size) * CELLS).reshape(-1, CELLS)
+        told = counts.astype(np.uint8)
+        return pa.array([x.tobytes() if fits else None for x, fits in zip(told, counts.max(axis=1) < 255)], pa.binary())
+
     def groups(self) -> np.ndarray:
         return self.digests(self.among_first(PART, WHOLE), 13).view(np.int64)
 
 
 def _packed_counts(ranges: int):
-    """Task side of the count: the early shingles of each set, by range."""
+    """Task side of the count: the lower halves of the shingles' hashes, by range of the upper ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, count, rows, found in shingles(batch.column("text")):
-                sets = Sets(count, rows, found, None)
-                early, n = np.unique(sets.shingles[sets.among_first(2, 3)], return_counts=True)
-                where = range_of(early, ranges)
-                n = np.minimum(n, 65535).astype(np.uint16)
+                values, n = np.unique(Sets(count, rows, found, None).shingles, return_counts=True)
+                low = (values & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                n = np.minimum(n, 255).astype(np.uint8)
                 yield pa.RecordBatch.from_pylist(
-                    packed(ranges, where, hashes=early, counts=n), packed_schema("hashes", "counts")
+                    packed(ranges, range_of(values, ranges), hashes=low, counts=n), packed_schema("hashes", "counts")
                 )
 
     return run
 
 
 def _frequent(table: pa.Table) -> pa.Table:
-    hashes, counts = joined(table.column("hashes"), np.uint64), joined(table.column("counts"), np.uint16)
+    hashes, counts = joined(table.column("hashes"), np.uint32), joined(table.column("counts"), np.uint8)
     values, at = np.unique(hashes, return_inverse=True)
     many = values[np.bincount(at, counts, minlength=len(values)) >= FREQUENT]
-    return pa.table({"hash": pa.array(many.view(np.int64))})
+    return pa.table({"hash": pa.array(many.astype(np.int64))})
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
@@ -128,7 +137,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n, class, group and the frequent shingles in the prefix of every document."""
+    """doc_id, n, class, group, sketch and the frequent shingles in the prefix of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,19 +151,60 @@ def described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         pa.array(sets.size.astype(np.int64)),
                         sets.classes(),
                         pa.array(sets.groups()),
+                        sets.sketches(),
                         pa.ListArray.from_arrays(cut, pa.array(sets.shingles[late].view(np.int64))),
                     ],
-                    names=["doc_id", "n", "class", "group", "late"],
+                    names=["doc_id", "n", "class", "group", "sketch", "late"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n long, class binary, group long, late array<long>"
+        run, f"doc_id {kind}, n long, class binary, group long, sketch binary, late array<long>"
     )
 
 
-def rare_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Pairs of groups that share a prefix shingle that is not frequent, sizes and places allowing a link."""
+def _meet(table: pa.Table) -> pa.Table:
+    """One range of shingles: which groups meet."""
+    one = np.uint64(1)
+    keys, times = joined(table.column("keys"), np.uint64), joined(table.column("times"), np.int32)
+    groups = np.repeat(joined(table.column("groups"), np.int64), times)
+    sizes = np.repeat(joined(table.column("sizes"), np.int64), times)
+    order = np.lexsort((groups, sizes, keys >> one))
+    keys, groups, sizes = keys[order], groups[order], sizes[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (groups[1:] != groups[:-1]) | (sizes[1:] != sizes[:-1])
+    keys, groups, sizes = keys[new], groups[new], sizes[new]
+    near, keys = (keys & one).astype(bool), keys >> one
+    begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    share = np.diff(np.append(begin, len(keys)))
+    many = np.repeat(share >= FREQUENT, share)
+    cells = pa.table(
+        {
+            "shingle": pa.array(keys[many].view(np.int64)),
+            "a": pa.array(groups[many]),
+            "b": pa.nulls(int(many.sum()), pa.int64()),
+            "n": pa.array(sizes[many]),
+        }
+    )
+    keys, groups, sizes, near = keys[~many], groups[~many], sizes[~many], near[~many]
+    # By size within a shingle: the first of a pair is the smaller one.
+    found = [np.zeros((0, 2), np.int64)]
+    for apart in range(1, FREQUENT):
+        at = np.arange(max(len(keys) - apart, 0))
+        other = at + apart
+        good = (keys[at] == keys[other]) & (groups[at] != groups[other])
+        good &= (WHOLE * sizes[at] >= PART * sizes[other]) & near[at] & (near[other] | (sizes[at] < sizes[other]))
+        a, b = groups[at[good]], groups[other[good]]
+        found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    none = pa.nulls(len(pairs), pa.int64())
+    pairs = pa.table({"shingle": none, "a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "n": none})
+    return pa.concat_tables([cells, pairs])
+
+
+def rare_meetings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """Groups that share a prefix shingle not marked as frequent: as pairs (a, b) if few do, sizes and places
+    allowing a link; with the shingle as rows (shingle, a, n) if `FREQUENT` groups or more do."""
     ranges = ranges_of(docs.sparkSession)
     one = np.uint64(1)
 
@@ -187,40 +237,42 @@ def rare_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     names = ("keys", "groups", "sizes", "times")
     schema = packed_schema(*names)
 
-    def pair(table: pa.Table) -> pa.Table:
-        keys, times = joined(table.column("keys"), np.uint64), joined(table.column("times"), np.int32)
-        groups = np.repeat(joined(table.column("groups"), np.int64), times)
-        sizes = np.repeat(joined(table.column("sizes"), np.int64), times)
-        order = np.lexsort((groups, sizes, keys >> one))
-        keys, groups, sizes = keys[order], groups[order], sizes[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (groups[1:] != groups[:-1]) | (sizes[1:] != sizes[:-1])
-        keys, groups, sizes = keys[new], groups[new], sizes[new]
-        near, keys = (keys & one).astype(bool), keys >> one
-        # By size within a shingle: the first of a pair is the smaller one.
-        at, apart, found = np.arange(len(keys)), 1, []
-        while True:
-            at = at[at + apart < len(keys)]
-            other = at + apart
-            at = at[(keys[at] == keys[other]) & (WHOLE * sizes[at] >= PART * sizes[other])]
-            if not len(at):
-                break
-            other = at + apart
-            good = (near[at] & (near[other] | (sizes[at] < sizes[other]))) & (groups[at] != groups[other])
-            a, b = groups[at[good]], groups[other[good]]
-            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-            apart += 1
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
     parted = docs.select("text").mapInArrow(spread, packed_ddl(*names))
-    return parted.groupBy("range").applyInArrow(pair, "a long, b long").distinct()
+    return parted.groupBy("range").applyInArrow(_meet, "shingle long, a long, b long, n long")
 
 
 def _sizes_allow(a: Column, b: Column) -> Column:
     return (WHOLE * F.least(a, b)) >= (PART * F.greatest(a, b))
 
 
+def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs of classes whose sketches allow a link: sets cannot share more than the lesser count of
+    each cell. What is out cannot link."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column("of_a"), batch.column("of_b")
+            told = np.asarray(pc.and_(x.is_valid(), y.is_valid()))
+            n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            most = np.minimum(n_a, n_b)
+            if told.any():
+                both = [
+                    np.frombuffer(b"".join(z.filter(pa.array(told)).to_pylist()), np.uint8).reshape(-1, CELLS)
+                    for z in (x, y)
+                ]
+                most[told] = np.minimum(*both).sum(axis=1, dtype=np.int64)
+            good = pa.array(WHOLE * most >= PART * (n_a + n_b - most))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"]
+            )
+
+    of = lambda x: classes.select(
+        F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"of_{x}")
+    )
+    rows = pairs.join(of("a"), "a").where("n_a > 0").join(of("b"), "b").where(_sizes_allow(F.col("n_a"), F.col("n_b")))
+    return rows.mapInArrow(bound, "a binary, b binary")
+
+
 def compared(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs of classes (a, b), with `linked` from their whole sets.
 
@@ -279,14 +331,16 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     some = told.where("n > 0")
     classes = stored(
         some.groupBy("class").agg(
-            F.min("doc_id").alias("doc"), F.first("group").alias("group"), F.first("n").alias("n")
+            F.min("doc_id").alias("doc"), F.first("group").alias("group"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
         ),
         "classes",
     )
     first = classes.groupBy("group").agg(F.min("class").alias("leader"))
-    late = stored(
-        some.where(F.size("late") > 0).select("group", "n", F.explode("late").alias("shingle")).distinct(), "late"
-    )
+    met = stored(rare_meetings(docs, frequent), "meetings")
+    late = some.select("group", "n", F.explode("late").alias("shingle"))
+    late = late.union(met.where("b IS NULL").select(F.col("a").alias("group"), "n", "shingle"))
+    late = stored(late.distinct(), "late")
+    rare = met.where("b IS NOT NULL").select("a", "b")
 
     # Groups that share a frequent shingle meet its leaders: the least of a few hashes.
     leaders = late.groupBy("shingle").agg(
@@ -306,12 +360,14 @@ def linked_documents(docs: DataFrame) -> DataFrame:
         .join(leaders, "shingle")
         .select(F.col("group").alias("a"), F.explode("leaders").alias("b"))
     )
-    group_pairs = stored(_ordered(rare_pairs(docs, frequent).union(with_leaders)), "group-pairs")
+    group_pairs = stored(_ordered(rare.union(with_leaders)), "group-pairs")
+    forget(met)
     within = classes.join(first, "group").select(F.col("leader").alias("a"), F.col("class").alias("b"))
     of_a = first.select(F.col("group").alias("a"), F.col("leader").alias("class_a"))
     of_b = first.select(F.col("group").alias("b"), F.col("leader").alias("class_b"))
     between = group_pairs.join(of_a, "a").join(of_b, "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-    checked = stored(compared(docs, _ordered(within.union(between)), classes), "compared")
+    first_pairs = stored(possible(_ordered(within.union(between)), classes), "pairs")
+    checked = stored(compared(docs, first_pairs, classes), "compared")
     reached = stored(components(checked.where("linked").select("a", "b")), "reached")
 
     members = (
@@ -320,7 +376,7 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     )
     members = stored(members, "members")
     left = _ordered(_apart(members, group_pairs, late)).join(checked, ["a", "b"], "left_anti")
-    left = stored(left, "left-pairs")
+    left = stored(possible(left, classes), "pairs")
     if not left.isEmpty():
         again = compared(docs, left, classes).where("linked").select("a", "b")
         links = reached.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)
@@ -345,12 +401,16 @@ def _apart(members: DataFrame, group_pairs: DataFrame, late: DataFrame) -> DataF
     def pairs_of(cells: DataFrame) -> DataFrame:
         """Group pairs of one key (`key`, `group`, `component`) whose components differ, reached by
         pairs of components, so that a component's own groups never meet."""
-        few = cells.select("key", "component").distinct()
+        few = cells.groupBy("key", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
         mixed_keys = few.groupBy("key").agg(F.count("*").alias("parts")).where("parts > 1").select("key")
         cells = cells.join(mixed_keys, "key", "left_semi")
         few = few.join(mixed_keys, "key", "left_semi")
-        other = few.select("key", F.col("component").alias("other"))
-        meet = few.join(other, "key").where("component < other")
+        other = few.select(
+            "key", F.col("component").alias("other"), F.col("low").alias("low_b"), F.col("high").alias("high_b")
+        )
+        near = (WHOLE * F.col("high") >= PART * F.col("low_b")) & (WHOLE * F.col("high_b") >= PART * F.col("low"))
+        meet = few.join(other, "key").where((F.col("component") < F.col("other")) & near)
+        meet = meet.select("key", "component", "other")
         a = cells.select("key", "component", F.col("group").alias("a"), F.col("n").alias("n_a"))
         b = cells.select("key", F.col("component").alias("other"), F.col("group").alias("b"), F.col("n").alias("n_b"))
         return (
@@ -380,13 +440,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, of each component only the one with the least doc_id.
     Documents without shingles or without doc_id stay; rows that repeat the doc_id that stays are
     brought down to one."""
-    found = linked_documents(docs)
-    gone = found.where((F.col("component_id") != F.col("doc_id")) & (F.col("n_shingles") > 0)).select(
-        F.col("doc_id").alias("_gone")
-    )
-    kept = docs.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
-    repeated = found.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = repeated.select(F.col("doc_id").alias("_again"))
-    single = kept.join(repeated, F.col("doc_id") == F.col("_again"), "left_anti")
-    again = kept.join(repeated, F.col("doc_id") == F.col("_again"), "left_semi")
-    return single.unionByName(again.dropDuplicates(["doc_id"]))
+    found = stored(linked_documents(docs), "linked")
+    gone = found.where((F.col("component_id") != F.col("doc_id")) & (F.col("n_shingles") > 0))
+    gone = gone.select(F.col("doc_id").alias("gone")).distinct()
+    named = found.where("doc_id IS NOT NULL AND n_shingles > 0")
+    again = named.groupBy(F.col("doc_id").alias("again")).agg(F.count("*").alias("times")).where("times > 1")
+    rows = nested(docs, id=F.col("doc_id")).join(gone, F.col("id") == F.col("gone"), "left_anti")
+    single = rows.join(again, F.col("id") == F.col("again"), "left_anti")
+    several = rows.join(again, F.col("id") == F.col("again"), "left_semi").dropDuplicates(["id"])
+    return single.union(several).select("row.*")

@@ -70,6 +70,7 @@ TEMPLATES = {
     "proprietary": ["All rights reserved."],
 }
 
+_COMMON = set("all and by following in including is of or that the this to under with without".split())
 _WORD = re.compile(r"[^\W_]+")
 _COPYRIGHT = re.compile(r"^\W*(?:copyright\b|\(c\)|©).*$", re.I | re.M)
 _PARAGRAPH = re.compile(r"\n\s*\n")
@@ -98,12 +99,13 @@ class Templates:
 
     def _needed(self, size: int, grams: Counter) -> Iterator[str]:
         """A match has at least `common` of the bigrams, so it has one of any size - common + 1. Of those with
-        the longest words, that word each."""
+        the longest words, but for common ones, that word each."""
         t = self.threshold
         common = math.ceil(t * (size + math.ceil(size * t / (2 - t) - 1e-9)) / 2 - 1e-9)
-        every = sorted(grams.elements(), key=lambda pair: (-max(map(len, pair)), pair))
+        telling = lambda word: 0 if word in _COMMON else len(word)
+        every = sorted(grams.elements(), key=lambda pair: (-max(map(telling, pair)), pair))
         for pair in every[: size - common + 1]:
-            yield max(pair, key=len)
+            yield max(pair, key=telling)
 
     def may_match(self, unit: str) -> bool:
         return self._seen.search(unit) is not None

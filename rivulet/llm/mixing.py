@@ -21,7 +21,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.tables import unit_hash, word_count
+from rivulet.llm.tables import nested, unit_hash, word_count
 
 UNIT = 1 << 24
 SEED = "mix"
@@ -134,15 +134,15 @@ def mixture(docs: DataFrame, weights: Column | None = None, most: float = 3.0, s
 def mixed_documents(docs: DataFrame, weights: Column | None = None, most: float = 3.0, seed: str = SEED) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken. Rows that
     agree in doc_id, source and size are interchangeable."""
-    sized = docs.withColumn("_words", word_count(F.col("text")))
-    sizes = sized.groupBy("source").agg(F.sum("_words").alias("source_size"))
+    rows = nested(docs, doc_id=F.col("doc_id"), source=F.col("source"), words=word_count(F.col("text")))
+    sizes = rows.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = source_targets(sizes, cyclic_weights(1, 2, 3) if weights is None else weights, most)
     rate = F.floor(F.try_divide("target", "source_size") * UNIT + 0.5).cast("long")
-    targets = targets.select(F.col("source").alias("_named"), rate.alias("_rate"))
-    sized = sized.join(targets, F.col("source").eqNullSafe(F.col("_named")), "left").drop("_named")
-    sized = systematic_copies(sized, F.col("_rate"), F.col("source"), F.col("_words"), F.col("doc_id"), seed)
+    targets = targets.select(F.col("source").alias("named"), rate.alias("rate"))
+    rows = rows.join(targets, F.col("source").eqNullSafe(F.col("named")), "left")
+    rows = systematic_copies(rows, F.col("rate"), F.col("source"), F.col("words"), F.col("doc_id"), seed)
     repeated = F.array_repeat(F.lit(0), F.col("_copies").cast("int"))
-    return sized.withColumn("_copy", F.explode(repeated)).drop("_words", "_rate", "_copies", "_copy")
+    return rows.select("row", F.explode(repeated)).select("row.*")
 
 
 SQL = rf"""

@@ -39,7 +39,7 @@ from rivulet.llm.blocks import (
 from rivulet.llm.bytetext import SubstringHash, text_slices
 from rivulet.llm.spans import digested, kept_bytes, keyed, only_keys, with_spans
 from rivulet.llm.suffixes import KEY, keyed_suffixes, neighbours_agree
-from rivulet.llm.tables import stored
+from rivulet.llm.tables import forget, nested, stored
 
 LENGTH = 400
 PHRASE_FILTER_BITS = 1 << 26
@@ -141,11 +141,18 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     `docs` as by `keyed`; `length` is at least 3 * WINDOW + 8."""
     repeated = repeated_phrases(docs)
     strings = phrase_strings(docs, repeated, length)
-    # Rows that repeat are apart.
-    strings = stored(strings.withColumn("string", F.monotonically_increasing_id()), "phrases")
-    suffixes = stored(keyed_suffixes(strings.select("string", "symbols", "bytes"), length + WINDOW), "suffixes")
+    # Equal strings are one to the order. They are told by a hash of 128 bits.
+    content = F.struct(F.xxhash64("symbols").alias("h"), F.xxhash64(F.lit(1), "symbols").alias("k"))
+    strings = stored(strings.withColumn("string", content), "phrases")
+    single = strings.groupBy("string").agg(
+        F.first("symbols").alias("symbols"), F.first("bytes").alias("bytes"), F.count("*").alias("n")
+    )
+    single = stored(single, "strings")
+    suffixes = keyed_suffixes(single.select("string", "symbols", "bytes"), length - WINDOW + 1)
     near = suffixes.join(neighbours_agree(suffixes), KEY, "left_semi").select("string", "i")
-    near = near.groupBy("string").agg(F.collect_list("i").alias("places"))
+    several = single.where("n > 1").select("string", F.explode(F.sequence(F.lit(0), F.size("symbols") - 1)).alias("i"))
+    near = stored(near.union(several).groupBy("string").agg(F.collect_set("i").alias("places")), "near")
+    forget(suffixes, single)
     spot = lambda name: F.get(name, F.col("i")).alias(name)
     spots = (
         strings.join(near, "string")
@@ -154,6 +161,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .where("last > first")
     )
     spots = stored(spots, "spots")
+    forget(strings, near)
     kinds = spots.groupBy("core", "stretch").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "first", "last")).alias("one")
     )
@@ -261,8 +269,6 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with all their columns, the repeated bytes taken out of `text`. A character that
     loses some of its bytes goes as a whole; `n_chars`, if there is one, is counted anew."""
     spans = stored(removed_spans(keyed(docs), length), "spans")
-    named = docs.withColumn("key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
@@ -274,8 +280,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 out.append(kept_bytes(text.as_py().encode(), runs).decode(errors="ignore"))
         return pa.array(out, pa.string())
 
-    done = with_spans(named, spans).withColumn("text", cut(F.col("text"), F.col("spans")))
+    rows = nested(docs, key=F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), text=F.col("text"))
+    done = with_spans(rows, spans).withColumn("text", cut(F.col("text"), F.col("spans")))
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         counted = F.length("text").cast(docs.schema["n_chars"].dataType)
-        done = done.withColumn("n_chars", F.when(F.col("spans").isNotNull(), counted).otherwise(F.col("n_chars")))
-    return done.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("spans").isNotNull(), counted).otherwise(F.col("row.n_chars"))
+    return done.select(*[changed.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns])

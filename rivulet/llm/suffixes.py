@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.tables import stored
+from rivulet.llm.tables import forget, stored
 
 TRIPLE = ["t0", "t1", "t2"]
 
@@ -30,7 +30,8 @@ def _at(array: str, i: Column) -> Column:
 
 def sampled_ranks(strings: DataFrame, limit: int) -> DataFrame:
     """`string`, `i` and `rank` of the sampled suffixes of `strings` (string, symbols, bytes). `bytes` are
-    those each symbol stands for."""
+    those each symbol stands for. A rank is the name and, where names did not tell, the rank of the string
+    of names from there on."""
     places = F.filter(F.sequence(F.lit(0), F.size("symbols") - 1), lambda i: i % 3 != 0)
     triples = strings.select("string", "symbols", "bytes", F.explode(places).alias("i")).select(
         "string",
@@ -42,26 +43,33 @@ def sampled_ranks(strings: DataFrame, limit: int) -> DataFrame:
     names = names.repartitionByRange(*TRIPLE).sortWithinPartitions(*TRIPLE)
     # Numbers that rise over sorted partitions: ranks with gaps.
     names = stored(names.withColumn("name", F.monotonically_increasing_id() + 1), "names")
-    unsettled = names.where((F.col("n") > 1) & (F.col("bytes") < limit) & (F.col("t2") != 0))
-    named = triples.drop("bytes").join(names.drop("n"), TRIPLE).select("string", "i", "name", "bytes")
-    if unsettled.isEmpty():
-        return named.select("string", "i", F.col("name").alias("rank"))
-    named = stored(named, "named")
+    named = triples.drop("bytes").join(names, TRIPLE)
+    unsettled = (F.col("n") > 1) & (F.col("bytes") < limit) & (F.col("t2") != 0)
+    named = stored(named.select("string", "i", "name", "bytes", unsettled.alias("unsettled")), "named")
+    forget(names)
+    none = F.lit(0).cast("long")
+    # Only strings with a name that does not tell have to be looked at further.
+    open_ = named.where("unsettled").select("string").distinct()
+    if open_.isEmpty():
+        return named.select("string", "i", F.struct("name", none.alias("further")).alias("rank"))
     told = F.sort_array(F.collect_list(F.struct((F.col("i") % 3).alias("kind"), "i", "name", "bytes")))
-    parts = named.groupBy("string").agg(told.alias("told"))
+    parts = named.join(open_, "string", "left_semi").groupBy("string").agg(told.alias("told"))
 
     def of(field: str, gap: Column) -> Column:
         second, third = [F.transform(F.filter("told", _of_kind(kind)), lambda t: t[field]) for kind in (1, 2)]
         return F.concat(second, F.array(gap), third)
 
-    none = F.lit(0).cast("long")
     parts = parts.select(
         "string", of("name", none).alias("symbols"), of("bytes", none).alias("bytes"), of("i", F.lit(-1)).alias("places")
     )
+    parts = stored(parts, "names-of-strings")
     ranked = suffix_ranks(parts.select("string", "symbols", "bytes"), limit)
-    return ranked.join(parts.select(F.col("string").alias("of"), "places"), F.col("string") == F.col("of")).select(
-        "string", F.get("places", F.col("i")).alias("i"), "rank"
-    ).where("i >= 0")
+    ranked = ranked.join(parts.select("string", "places"), "string").select(
+        "string", F.get("places", F.col("i")).alias("i"), F.col("rank").alias("further")
+    )
+    return named.join(ranked, ["string", "i"], "left").select(
+        "string", "i", F.struct("name", F.coalesce("further", none).alias("further")).alias("rank")
+    )
 
 
 def _of_kind(kind: int):
@@ -76,42 +84,50 @@ def keyed_suffixes(strings: DataFrame, limit: int) -> DataFrame:
     every = strings.join(ranks.select(F.col("string").alias("of"), "ranks"), F.col("string") == F.col("of"), "left")
     every = every.select("string", "symbols", "ranks", F.explode(F.sequence(F.lit(0), F.size("symbols") - 1)).alias("i"))
 
+    none = F.struct(F.lit(0).cast("long").alias("name"), F.lit(0).cast("long").alias("further"))
+
     def rank(k: int) -> Column:
-        return F.coalesce(F.try_element_at("ranks", F.col("i") + k), F.lit(0))
+        return F.coalesce(F.try_element_at("ranks", F.col("i") + k), none)
 
     kind = F.col("i") % 3
-    return every.select(
+    keyed = every.select(
         "string",
         "i",
         kind.alias("kind"),
         _at("symbols", F.col("i")).alias("s0"),
         _at("symbols", F.col("i") + 1).alias("s1"),
-        F.when(kind != 0, rank(0)).otherwise(0).alias("r0"),
-        F.when(kind != 2, rank(1)).otherwise(0).alias("r1"),
-        F.when(kind != 1, rank(2)).otherwise(0).alias("r2"),
+        F.when(kind != 0, rank(0)).otherwise(none).alias("r0"),
+        F.when(kind != 2, rank(1)).otherwise(none).alias("r1"),
+        F.when(kind != 1, rank(2)).otherwise(none).alias("r2"),
     )
+    return stored(keyed, "suffixes")
 
 
 KEY = ["kind", "s0", "s1", "r0", "r1", "r2"]
 
 
+def _later(a: str, b: Column) -> Column:
+    return F.when(F.col(a) > b, F.col(a)).otherwise(b)
+
+
 def merged(keyed: DataFrame) -> DataFrame:
-    """The distinct suffixes with `n`, how many there are, and `base` and `after`: within a first symbol
+    """The distinct suffixes (with `n`, how many there are) with `base` and `after`: within a first symbol
     (`s0`), the order by base, after and r1 is that of the suffixes.
 
     Unsampled suffixes are placed behind the last sampled one that does not exceed them: among those of
     second positions by the rank of the next suffix, among those of third positions by the next symbol
     and the rank of the suffix after it."""
-    distinct = keyed.groupBy(*KEY).agg(F.count("*").alias("n"))
+    distinct = stored(keyed.groupBy(*KEY).agg(F.count("*").alias("n")), "distinct-suffixes")
+    none = F.struct(F.lit(0).cast("long").alias("name"), F.lit(0).cast("long").alias("further"))
     second = Window.partitionBy("s0").orderBy("r1")
     third = Window.partitionBy("s0").orderBy("s1", "r2")
     below = F.max(F.when(F.col("kind") == 1, F.col("r0"))).over(second)
-    placed = distinct.where("kind < 2").withColumn("low", F.coalesce(below, F.lit(0)))
+    placed = distinct.where("kind < 2").withColumn("low", F.coalesce(below, none))
     rest = placed.where("kind = 0").unionByName(
-        distinct.where("kind = 2").withColumn("low", F.lit(0).cast("long"))
+        distinct.where("kind = 2").withColumn("low", none)
     )
     below = F.max(F.when(F.col("kind") == 2, F.col("r0"))).over(third)
-    rest = rest.withColumn("low", F.greatest("low", F.coalesce(below, F.lit(0)))).where("kind = 0")
+    rest = rest.withColumn("low", _later("low", F.coalesce(below, none))).where("kind = 0")
     sampled = distinct.where("kind > 0")
     return rest.withColumns({"base": F.col("low"), "after": F.lit(1)}).drop("low").unionByName(
         sampled.withColumns({"base": F.col("r0"), "after": F.lit(0)})
@@ -120,11 +136,13 @@ def merged(keyed: DataFrame) -> DataFrame:
 
 def suffix_ranks(strings: DataFrame, limit: int) -> DataFrame:
     """`string`, `i` and `rank` of every suffix of `strings`."""
-    keyed = stored(keyed_suffixes(strings, limit), "suffixes")
+    keyed = keyed_suffixes(strings, limit)
     order = ["s0", "base", "after", "r1"]
     ranks = merged(keyed).repartitionByRange(*order).sortWithinPartitions(*order)
     ranks = stored(ranks.select(*KEY, (F.monotonically_increasing_id() + 1).alias("rank")), "ranks")
-    return keyed.join(ranks, KEY).select("string", "i", "rank")
+    ranks = stored(keyed.join(ranks, KEY).select("string", "i", "rank"), "ranked")
+    forget(keyed)
+    return ranks
 
 
 def neighbours_agree(keyed: DataFrame) -> DataFrame:

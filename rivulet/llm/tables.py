@@ -29,6 +29,13 @@ def unit_hash(bits: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, bits // 4), 16, 10).cast("long")
 
 
+def nested(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The rows as one column, `row`, next to columns made of them: whatever names `docs` bears, they do
+    not clash. `select("row.*")` brings the rows back."""
+    every = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    return docs.select(every, *[column.alias(name) for name, column in columns.items()])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -36,7 +43,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The frame, written to the shared folder and read back: later steps read it however often, and
-    a lost executor costs none of the work before it."""
-    path = shared_folder(df.sparkSession, purpose)
+    a lost executor costs none of the work before it.
+
+    Nothing refers to the shuffles of the step any more. The driver's collector is asked to notice, upon
+    which Spark removes their files: a chain of steps takes the disk of its largest one, not of all.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._stored_at = path
+    return kept
+
+
+def forget(*frames: DataFrame) -> None:
+    """Remove what `stored` wrote for these frames, once nothing reads them any more."""
+    for df in frames:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
