@@ -11,7 +11,6 @@ from catalog.registry import query
 from catalog.reports import HOLIDAY, NEW_CUSTOMERS, pairs, R01_CTES, R04_CTES, R05_CTES, R07_CTES, RECEIPTS
 from catalog.star_sql import day, num, star_query
 from rivulet.functions import exprs, rules
-from rivulet.functions.text import account_number
 from rivulet.operators import aggregates, joins, rowsets
 from rivulet.plans import customers, events, orders
 from rivulet.plans.kpi import acquisition as ka
@@ -213,27 +212,6 @@ dias AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS Mes, count(DIS
 """
 
 
-def dso_inputs(t: Tables, by: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Debt, sales and days worked of the months, by region and account size."""
-    start, before = DSO_MONTHS[0], D(2001, 8, 1)
-    heads = t["repartos"].select(F.col("Codigo").alias("RUTA"), "CodSup")
-    regions = customers.customer_route(t).join(heads, "RUTA").select("NroCta", "CodSup")
-    sold = kc.customer_month_sales(t, start, before)
-    accounts = regions.join(kc.account_size(sold, 5_000_000), "NroCta", "left").select(
-        "NroCta", "CodSup", F.coalesce("CuentaGrande", F.lit("No")).alias("CuentaGrande")
-    )
-    cash = t["Movimientos_Caja"].select(F.col("IdCliente").alias("NroCta"), "Fecha", "Importe")
-    adjusted = t["Movimientos_Caja_Ajustes"].select(F.col("idCliente").alias("NroCta"), "Fecha", "Importe")
-    credit = t["CtaCteVT"].select(
-        account_number("NroCta").alias("NroCta"), F.col("FchMov").alias("Fecha"), F.col("Import").alias("Importe")
-    )
-    moves = cash.unionByName(adjusted).unionByName(credit).filter(F.col("NroCta").isNotNull())
-    balances = kc.monthly_debt(moves, ["NroCta"], DSO_MONTHS)
-    debt = balances.join(accounts, "NroCta").groupBy(*by).agg(F.sum("Deuda").alias("Deuda"))
-    sales_by = sold.join(accounts, "NroCta").groupBy(*by).agg(F.sum("Ventas").alias("Ventas"))
-    return debt, sales_by, kc.work_days(t, start, before)
-
-
 @query(
     "k08_dso",
     star_query(
@@ -244,8 +222,7 @@ FROM deuda LEFT JOIN venta USING (CodSup, CuentaGrande, Mes) LEFT JOIN dias USIN
     ),
 )
 def k08_dso(t: Tables) -> DataFrame:
-    by = ["CodSup", "CuentaGrande", "Mes"]
-    return kc.dso(*dso_inputs(t, by), by)
+    return kc.dso_by_region(t, DSO_MONTHS, 5_000_000)
 
 
 @query(
@@ -259,8 +236,8 @@ FROM deuda LEFT JOIN venta USING (CodSup, CuentaGrande, Mes) LEFT JOIN dias USIN
     ),
 )
 def k08_dso_grid(t: Tables) -> DataFrame:
-    debt, sold_by, days = dso_inputs(t, ["CodSup", "Mes"])
-    return kc.dso_grid(kc.dso(debt, sold_by, days, ["CodSup", "Mes"]), ["CodSup"], DSO_MONTHS)
+    rows = kc.dso_by_region(t, DSO_MONTHS, 5_000_000, ["CodSup", "Mes"])
+    return kc.dso_grid(rows, ["CodSup"], DSO_MONTHS)
 
 
 RATES = [("CHQ", 0.012), ("TRF", 0.004), ("DIG", 0.035), ("EFE", 0.02)]
@@ -431,6 +408,22 @@ def k18_mix(t: Tables) -> DataFrame:
     return km.product_mix(t, FAMILIES, D(2001, 8, 15), months=14)
 
 
+@query(
+    "k18_mix_region",
+    star_query(
+        f"""SELECT CodSup, {day("Mes", "Mes")}, count(*) AS Clientes, {num("sum(litros)", "Litros")}, {num("sum(p) / CAST(count(*) AS DOUBLE)", "PctClientesPremium")},
+{num("sum(lp)", "LitrosPremium")}, {num("CAST(sum(lp) AS DOUBLE) / sum(litros)", "PctLitrosPremium")}, {num("sum(s) / CAST(count(*) AS DOUBLE)", "PctClientesSoda")},
+{num("sum(ls)", "LitrosSoda")}, {num("CAST(sum(ls) AS DOUBLE) / sum(litros)", "PctLitrosSoda")}, {num("count(q) / CAST(count(*) AS DOUBLE)", "PctClientesFC")}
+FROM cm LEFT JOIN fc USING (IdCliente, Mes)
+JOIN (SELECT NroCta, CodSup FROM ruta_de JOIN repartos ON Codigo = RUTA) ON NroCta = IdCliente GROUP BY CodSup, Mes""",
+        MIX_CTES,
+    ),
+)
+def k18_mix_region(t: Tables) -> DataFrame:
+    regions = customers.customer_region(t)
+    return km.product_mix(t, FAMILIES, D(2001, 8, 15), months=14, accounts=regions, by=["CodSup"])
+
+
 @query(
     "k18_mix_trend",
     star_query(
@@ -535,6 +528,18 @@ def k24_paid_litres(t: Tables) -> DataFrame:
     return kt.paid_litres(route_sales(t), ["Ruta"])
 
 
+@query(
+    "k24_region",
+    star_query(
+        f"""SELECT CodSup, {num("sum(cargo)", "LitrosConCargo")}, {num("sum(litros)", "Litros")}
+FROM rv JOIN repartos ON Codigo = Ruta GROUP BY CodSup""",
+        TREND,
+    ),
+)
+def k24_region(t: Tables) -> DataFrame:
+    return kt.paid_litres_by_region(t, route_sales(t))
+
+
 @query(
     "k25_family",
     star_query(

@@ -36,6 +36,12 @@ def customer_route(
     return dedupe_one(joined, "NroCta", ["OrdRut", "CdRuta"]).select("NroCta", "RUTA")
 
 
+def customer_region(t: Tables) -> DataFrame:
+    """(NroCta, CodSup): the supervisor of each customer's route."""
+    heads = t["repartos"].select(F.col("Codigo").alias("RUTA"), "CodSup")
+    return customer_route(t).join(heads, "RUTA").select("NroCta", "CodSup")
+
+
 def active_customers(
     t: Tables, routes: Sequence[int] | None = None, exclude: Sequence[int] | None = None
 ) -> DataFrame:

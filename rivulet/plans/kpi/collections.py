@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.dates import first_of_month, month_start
 from rivulet.functions.exprs import ratio, sum_if
+from rivulet.functions.text import account_number
 from rivulet.operators.aggregates import top1
+from rivulet.plans.customers import customer_region
 from rivulet.plans.orders import amount, lines_of
 from rivulet.sources.tables import Tables
 
@@ -96,6 +98,28 @@ def dso(debt: DataFrame, sales: DataFrame, workdays: DataFrame, by: Sequence[str
     return joined.withColumn("DiasCalle", ratio("Deuda", ratio("Ventas", "Dias")))
 
 
+def dso_by_region(
+    t: Tables, months: Sequence[dt.date], threshold: float, by: Sequence[str] = ("CodSup", "CuentaGrande", "Mes")
+) -> DataFrame:
+    """Days outstanding of consecutive months by region and account size: debt of both ledgers at the end
+    of each month, net sales, and days worked. An account is large if its sales of all the months reach
+    `threshold`."""
+    start, before = months[0], first_of_month(months[-1], 1)
+    sold = customer_month_sales(t, start, before)
+    accounts = customer_region(t).join(account_size(sold, threshold), "NroCta", "left").select(
+        "NroCta", "CodSup", F.coalesce("CuentaGrande", F.lit("No")).alias("CuentaGrande")
+    )
+    cash = t["Movimientos_Caja"].select(F.col("IdCliente").alias("NroCta"), "Fecha", "Importe")
+    adjusted = t["Movimientos_Caja_Ajustes"].select(F.col("idCliente").alias("NroCta"), "Fecha", "Importe")
+    credit = t["CtaCteVT"].select(
+        account_number("NroCta").alias("NroCta"), F.col("FchMov").alias("Fecha"), F.col("Import").alias("Importe")
+    )
+    moves = cash.unionByName(adjusted).unionByName(credit).filter(F.col("NroCta").isNotNull())
+    debt = monthly_debt(moves, ["NroCta"], months).join(accounts, "NroCta").groupBy(*by).agg(F.sum("Deuda").alias("Deuda"))
+    sales = sold.join(accounts, "NroCta").groupBy(*by).agg(F.sum("Ventas").alias("Ventas"))
+    return dso(debt, sales, work_days(t, start, before), by)
+
+
 def dso_grid(rows: DataFrame, by: Sequence[str], months: Sequence[dt.date]) -> DataFrame:
     """Days outstanding with one column per month (`yyyy-MM`)."""
     named = rows.withColumn("_mes", F.date_format("Mes", "yyyy-MM"))

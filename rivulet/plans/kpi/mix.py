@@ -58,12 +58,22 @@ def customer_months(
     return lines.groupBy("NroCta", "Mes").agg(F.sum(volume()).alias("Litros"), *parts)
 
 
-def product_mix(t: Tables, families: Families, as_of: dt.date, months: int = 14, column: str = "Unidad") -> DataFrame:
-    """Per month: customers that bought, the share of them that bought each family, each family's
+def product_mix(
+    t: Tables,
+    families: Families,
+    as_of: dt.date,
+    months: int = 14,
+    column: str = "Unidad",
+    accounts: DataFrame | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Per month, and per value of the `by` columns of `accounts` (one row per `NroCta`): customers that bought, the share of them that bought each family, each family's
     litres and share of litres, and the share of customers with equipment. A customer counts once
     per month because rows are first brought to customer and month."""
     span = closed_months(as_of, months)
     bought = customer_months(t, span[0], first_of_month(as_of), families, column)
+    if by:
+        bought = bought.join(accounts.select("NroCta", *by), "NroCta")
     machines = machines_by_month(t, span)
     joined = bought.join(machines, "NroCta", "left").withColumn(
         "_con_equipo", F.when(F.coalesce(F.col("_equipos")[_month_index(span) - 1], F.lit(0)) > 0, 1).otherwise(0)
@@ -78,7 +88,7 @@ def product_mix(t: Tables, families: Families, as_of: dt.date, months: int = 14,
             ratio(litres, F.sum("Litros")).alias(f"PctLitros{name}"),
         ]
     measures.append(ratio(F.sum("_con_equipo"), customers).alias("PctClientesFC"))
-    return joined.groupBy("Mes").agg(*measures)
+    return joined.groupBy(*by, "Mes").agg(*measures)
 
 
 def machine_productivity(t: Tables, as_of: dt.date, months: int) -> DataFrame:

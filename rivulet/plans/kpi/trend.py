@@ -64,6 +64,13 @@ def paid_litres(sales: DataFrame, by: Sequence[str]) -> DataFrame:
     return sales.groupBy(*by).agg(F.sum("LitrosConCargo").alias("LitrosConCargo"), F.sum("Litros").alias("Litros"))
 
 
+def paid_litres_by_region(t: Tables, sales: DataFrame) -> DataFrame:
+    """The same per region (CodSup). Routes are summed before they meet their supervisors."""
+    routes = paid_litres(sales, ["Ruta"])
+    heads = t["repartos"].select(F.col("Codigo").alias("Ruta"), "CodSup")
+    return paid_litres(routes.join(heads, "Ruta"), ["CodSup"])
+
+
 def band_label(change: Column, band: float) -> Column:
     """Out of tolerance below or above, or within."""
     return F.when(change < -band, "BAJA").when(change > band, "SUBE").when(change.isNotNull(), "EN BANDA")
