@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.anchors import WINDOW, anchors
+from rivulet.llm.anchors import GRAM, WINDOW, anchors
 from rivulet.llm.blocks import (
     filter_of,
     in_filter,
@@ -38,7 +38,7 @@ from rivulet.llm.blocks import (
 )
 from rivulet.llm.bytetext import SubstringHash, text_slices
 from rivulet.llm.spans import digested, kept_bytes, keyed, only_keys, with_spans
-from rivulet.llm.suffixes import KEY, keyed_suffixes, neighbours_agree
+from rivulet.llm.suffixes import key_hash, keyed_suffixes, neighbours_agree
 from rivulet.llm.tables import forget, nested, stored
 
 LENGTH = 400
@@ -86,6 +86,12 @@ _STRING = (
 )
 
 
+def least_shared(length: int) -> int:
+    """Bytes of whole phrases that two equal strings of `length` bytes share from their anchor on: the next
+    anchor is told by WINDOW + GRAM bytes, so phrases go on as long as these lie in the core."""
+    return length - 2 * WINDOW - GRAM + 2
+
+
 def phrase_strings(docs: DataFrame, repeated: np.ndarray, length: int) -> DataFrame:
     """Runs of repeated phrases, one row for each: their hashes and bytes, the starts of the strings whose
     anchor begins them, and hashes of the core and of the stretch that those strings cover."""
@@ -101,8 +107,9 @@ def phrase_strings(docs: DataFrame, repeated: np.ndarray, length: int) -> DataFr
                 new = np.ones(len(held), bool)
                 new[1:] = (np.diff(held) > 1) | (row[held[1:]] != row[held[:-1]])
                 cut = np.append(np.flatnonzero(new), len(held))
-                # A match of two phrases needs two.
-                several = np.flatnonzero(np.diff(cut) > 1)
+                # A match has two phrases and so many bytes of them at least.
+                run_bytes = np.add.reduceat((following - place)[held], cut[:-1])
+                several = np.flatnonzero((np.diff(cut) > 1) & (run_bytes >= least_shared(length)))
                 held = held[np.repeat(np.isin(np.arange(len(cut) - 1), several), np.diff(cut))]
                 cut = np.concatenate([[0], np.cumsum(np.diff(cut)[several])]).astype(np.int32)
                 row, place, following, start, stop = (x[held] for x in (row, place, following, start, stop))
@@ -148,8 +155,10 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.first("symbols").alias("symbols"), F.first("bytes").alias("bytes"), F.count("*").alias("n")
     )
     single = stored(single, "strings")
-    suffixes = keyed_suffixes(single.select("string", "symbols", "bytes"), length - WINDOW + 1)
-    near = suffixes.join(neighbours_agree(suffixes), KEY, "left_semi").select("string", "i")
+    # Whole phrases of the core are shared until one begins behind this many bytes.
+    suffixes = keyed_suffixes(single.select("string", "symbols", "bytes"), least_shared(length))
+    near = suffixes.select("string", "i", key_hash().alias("suffix"))
+    near = near.join(neighbours_agree(suffixes), "suffix", "left_semi").select("string", "i")
     several = single.where("n > 1").select("string", F.explode(F.sequence(F.lit(0), F.size("symbols") - 1)).alias("i"))
     near = stored(near.union(several).groupBy("string").agg(F.collect_set("i").alias("places")), "near")
     forget(suffixes, single)

@@ -4,9 +4,8 @@ Strings are arrays of symbols (positive numbers); a string is followed by zeros.
 positions, the second and third are sampled:
 
 1. the triples of symbols at sampled positions are sorted, and their rank becomes their name,
-2. if a name is borne by several triples that may still differ further on, the names of a string, those
-   of its second positions before those of its third, make a string of two thirds of the length, whose
-   suffixes are ordered in the same way,
+2. if a name is borne by several triples that may still differ further on, the names of the second
+   positions of a string make a string, and those of the third, whose suffixes are ordered in the same way,
 3. the other suffixes are a symbol and a sampled suffix, and are merged into that order.
 
 Suffixes that agree on `limit` bytes need no order, nor do those that are equal to their ends, so a level
@@ -45,35 +44,36 @@ def sampled_ranks(strings: DataFrame, limit: int) -> DataFrame:
     names = stored(names.withColumn("name", F.monotonically_increasing_id() + 1), "names")
     named = triples.drop("bytes").join(names, TRIPLE)
     unsettled = (F.col("n") > 1) & (F.col("bytes") < limit) & (F.col("t2") != 0)
-    named = stored(named.select("string", "i", "name", "bytes", unsettled.alias("unsettled")), "named")
+    named = named.select("string", "i", (F.col("i") % 3).alias("kind"), "name", "bytes", unsettled.alias("unsettled"))
+    named = stored(named, "named")
     forget(names)
     none = F.lit(0).cast("long")
-    # Only strings with a name that does not tell have to be looked at further.
-    open_ = named.where("unsettled").select("string").distinct()
-    if open_.isEmpty():
-        return named.select("string", "i", F.struct("name", none.alias("further")).alias("rank"))
-    told = F.sort_array(F.collect_list(F.struct((F.col("i") % 3).alias("kind"), "i", "name", "bytes")))
-    parts = named.join(open_, "string", "left_semi").groupBy("string").agg(told.alias("told"))
-
-    def of(field: str, gap: Column) -> Column:
-        second, third = [F.transform(F.filter("told", _of_kind(kind)), lambda t: t[field]) for kind in (1, 2)]
-        return F.concat(second, F.array(gap), third)
-
-    parts = parts.select(
-        "string", of("name", none).alias("symbols"), of("bytes", none).alias("bytes"), of("i", F.lit(-1)).alias("places")
+    settled = named.where("NOT unsettled").select("string", "i", F.struct("name", none.alias("further")).alias("rank"))
+    if named.where("unsettled").isEmpty():
+        return settled
+    # A settled name ends every comparison that reaches it: strings of names are cut behind it, and what
+    # begins with one is not looked at.
+    along = Window.partitionBy("string", "kind").orderBy("i")
+    so_far = F.sum(F.when(F.col("unsettled"), 0).otherwise(1)).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    pieces = (
+        named.withColumns(
+            {
+                "piece": F.coalesce(so_far, F.lit(0)),
+                "goes_on": F.lag("unsettled", 1, False).over(along),
+            }
+        )
+        .where("unsettled OR goes_on")
+        .groupBy("string", "kind", "piece")
+        .agg(F.sort_array(F.collect_list(F.struct("i", "name", "bytes"))).alias("told"))
+        .select(F.col("string").alias("of"), "told.i", F.col("told.name").alias("symbols"), "told.bytes")
     )
-    parts = stored(parts, "names-of-strings")
-    ranked = suffix_ranks(parts.select("string", "symbols", "bytes"), limit)
-    ranked = ranked.join(parts.select("string", "places"), "string").select(
-        "string", F.get("places", F.col("i")).alias("i"), F.col("rank").alias("further")
+    pieces = stored(pieces.withColumn("string", F.monotonically_increasing_id()), "pieces")
+    ranked = suffix_ranks(pieces.select("string", "symbols", "bytes"), limit)
+    ranked = ranked.join(pieces.select("string", "of", F.col("i").alias("places")), "string").select(
+        F.col("of").alias("string"), F.get("places", F.col("i")).alias("i"), F.col("rank").alias("further")
     )
-    return named.join(ranked, ["string", "i"], "left").select(
-        "string", "i", F.struct("name", F.coalesce("further", none).alias("further")).alias("rank")
-    )
-
-
-def _of_kind(kind: int):
-    return lambda t: t["kind"] == kind
+    further = named.where("unsettled").select("string", "i", "name").join(ranked, ["string", "i"])
+    return settled.union(further.select("string", "i", F.struct("name", "further").alias("rank")))
 
 
 def keyed_suffixes(strings: DataFrame, limit: int) -> DataFrame:
@@ -151,4 +151,9 @@ def neighbours_agree(keyed: DataFrame) -> DataFrame:
     by = Window.partitionBy("s0").orderBy("base", "after", "r1")
     told = merged(keyed).withColumns({"before": F.lag("s1").over(by), "behind": F.lead("s1").over(by)})
     agrees = (F.col("n") > 1) | (F.col("s1") == F.col("before")) | (F.col("s1") == F.col("behind"))
-    return told.where((F.col("s1") != 0) & agrees).select(*KEY)
+    return told.where((F.col("s1") != 0) & agrees).select(key_hash().alias("suffix"))
+
+
+def key_hash() -> Column:
+    """A short form of the key, for joins in which a rare false match does no harm."""
+    return F.xxhash64(*KEY)
