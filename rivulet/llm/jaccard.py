@@ -45,7 +45,7 @@ from rivulet.llm.tables import forget, nested, stored
 
 SHINGLE = 5
 FREQUENT = 24
-LEADERS = 3
+LEADERS = 8
 CELLS = 256
 WHOLE, PART = 4, 3  # a link: WHOLE * intersection >= PART * union
 
@@ -345,11 +345,7 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     # Groups that share a frequent shingle meet its leaders: the least of a few hashes.
     leaders = late.groupBy("shingle").agg(
         F.array_distinct(
-            F.array(
-                F.min_by("group", "n"),
-                F.max_by("group", "n"),
-                *[F.min_by("group", F.xxhash64("group", F.lit(k))) for k in range(LEADERS)],
-            )
+            F.array(*[F.min_by("group", F.xxhash64("group", F.lit(k))) for k in range(LEADERS)])
         ).alias("leaders")
     )
     early = late.withColumn("nth", F.xxhash64("shingle")).groupBy("group").agg(
@@ -397,29 +393,37 @@ def linked_documents(docs: DataFrame) -> DataFrame:
 def _apart(members: DataFrame, group_pairs: DataFrame, late: DataFrame) -> DataFrame:
     """Pairs of classes in different components whose groups share a prefix shingle, or are one."""
     parts = members.select("group", "component").distinct()
+    single = parts.groupBy("component").agg((F.count("*") == 1).alias("lone"))
 
     def pairs_of(cells: DataFrame) -> DataFrame:
         """Group pairs of one key (`key`, `group`, `component`) whose components differ, reached by
-        pairs of components, so that a component's own groups never meet."""
+        pairs of components, so that a component's own groups never meet. A component with one group meets
+        the other as a whole, once for all keys they share; of two larger ones only groups of a key meet."""
         few = cells.groupBy("key", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
         mixed_keys = few.groupBy("key").agg(F.count("*").alias("parts")).where("parts > 1").select("key")
         cells = cells.join(mixed_keys, "key", "left_semi")
-        few = few.join(mixed_keys, "key", "left_semi")
+        few = few.join(mixed_keys, "key", "left_semi").join(single, "component")
         other = few.select(
-            "key", F.col("component").alias("other"), F.col("low").alias("low_b"), F.col("high").alias("high_b")
+            "key",
+            F.col("component").alias("other"),
+            F.col("low").alias("low_b"),
+            F.col("high").alias("high_b"),
+            F.col("lone").alias("lone_b"),
         )
         near = (WHOLE * F.col("high") >= PART * F.col("low_b")) & (WHOLE * F.col("high_b") >= PART * F.col("low"))
         meet = few.join(other, "key").where((F.col("component") < F.col("other")) & near)
-        meet = meet.select("key", "component", "other")
+        meet = meet.select("key", "component", "other", (F.col("lone") | F.col("lone_b")).alias("simple"))
         a = cells.select("key", "component", F.col("group").alias("a"), F.col("n").alias("n_a"))
         b = cells.select("key", F.col("component").alias("other"), F.col("group").alias("b"), F.col("n").alias("n_b"))
-        return (
-            meet.join(a, ["key", "component"])
-            .join(b, ["key", "other"])
-            .where(_sizes_allow(F.col("n_a"), F.col("n_b")))
-            .select("a", "component", "b", "other")
-            .distinct()
-        )
+        sized = members.select("component", "group", "n").distinct()
+        all_a = sized.select("component", F.col("group").alias("a"), F.col("n").alias("n_a"))
+        all_b = sized.select(F.col("component").alias("other"), F.col("group").alias("b"), F.col("n").alias("n_b"))
+        simple = meet.where("simple").select("component", "other").distinct()
+        simple = simple.join(all_a, "component").join(all_b, "other")
+        rest = meet.where("NOT simple").join(a, ["key", "component"]).join(b, ["key", "other"])
+        columns = ["a", "component", "b", "other", "n_a", "n_b"]
+        both = simple.select(*columns).union(rest.select(*columns))
+        return both.where(_sizes_allow(F.col("n_a"), F.col("n_b"))).select("a", "component", "b", "other").distinct()
 
     by_shingle = late.join(parts, "group").withColumnRenamed("shingle", "key")
     by_group = members.select(F.col("group").alias("key"), "group", "n", "component").distinct()
