@@ -38,6 +38,8 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES):
         last = min(max(last, first + 1), n)
         yield first, last - first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    # Idle workers of earlier stages stay in memory next to those at work: keep no more than needed.
+    pa.default_memory_pool().release_unused()
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
