@@ -32,7 +32,7 @@ from rivulet.llm.bytetext import (
 )
 from rivulet.llm.tables import stored
 
-MAX_LABELLED = 12_000
+MAX_LABELLED = 10_000
 MIN_DOCS = 3
 STEMS = (4, 5, 6)
 MAX_WORDS = 1 << 18
@@ -194,15 +194,28 @@ def _fitted(words, grade, weight, lengths, columns) -> OrdinalModel:
     thresholds = -np.log(above / (1 - above))
     if len(grades) == 1:
         return OrdinalModel(words[:0], np.zeros(0), thresholds, grades.astype(float))
-    rows = np.repeat(np.arange(len(y)), lengths)
+    # Each document's words, and each word's documents, as runs: sums need no copy in double precision.
+    rows = np.repeat(np.arange(len(y), dtype=np.int32), lengths)
+    by_word = np.argsort(columns, kind="stable")
+    documents, uses = rows[by_word], np.bincount(columns, minlength=len(words))
+    del by_word, rows
+    lengths = lengths.astype(np.int64)
+
+    def run_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(sizes))
+        some = np.flatnonzero(sizes)
+        if len(some):
+            sums[some] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[some])
+        return sums
+
     # The loss curves by at most 1/2 in a row's score, and a row of n words is moved by n weights: a
     # bound for each weight, so that rare words are not held back by frequent ones.
-    step = 1 / np.maximum(0.5 * np.bincount(columns, (share * lengths)[rows], minlength=len(words)), 1e-9)
+    step = 1 / np.maximum(0.5 * run_sums((share * lengths)[documents], uses), 1e-9)
     w, momentum, looked = np.zeros(len(words)), 1.0, np.zeros(len(words))
     for _ in range(ROUNDS):
-        scores = np.bincount(rows, looked[columns], minlength=len(y))
+        scores = run_sums(looked.astype(np.float32)[columns], lengths)
         pull, shifts = _gradient(scores, y, share, thresholds)
-        gradient = np.bincount(columns, pull[rows], minlength=len(words))
+        gradient = run_sums(pull.astype(np.float32)[documents], uses)
         moved = looked - step * gradient
         following = np.sign(moved) * np.maximum(np.abs(moved) - step * PENALTY, 0)
         next_momentum = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
