@@ -2,6 +2,7 @@
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,17 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert score > base
 
 
+def test_every_training_token_is_learned_from(spark):
+    # Each text has words of its own, so that each token has feature rows that hardly any other token meets.
+    texts = [" ".join(f"w{k}x{j}" for j in range(6)) for k in range(60)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = maxent.trained(docs, maxent.counted(docs))
+    for t in texts:
+        for _, _, rows, found in maxent.tokens(pa.array([t])):
+            at = maxent.context_features(rows, found, np.arange(len(found))) % maxent.CLASS_ROWS
+            assert model.class_rows[at].any(axis=2).all()
+
+
 def test_probabilities_add_up(spark, odd_docs):
     docs = odd_docs.select(F.col("text")).where("text IS NOT NULL")
     vocabulary = maxent.counted(docs)
