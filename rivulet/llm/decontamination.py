@@ -1,9 +1,9 @@
 """Benchmark decontamination that also sees questions with other numbers, names and units.
 
 Texts are brought to templates: numbers, mid-sentence capitalised words and the units after numbers
-become typed placeholders. Windows of template tokens are joined by hash: every window of an item
-against every fourth of a document, so an occurrence meets at least one of them wherever it starts.
-A hit proposes where in the document the item would begin; there the templates are compared token by
+become typed placeholders. An item is parted into one block more than tokens may differ at the wanted
+coverage, so an occurrence holds one block whole; blocks are joined by hash with the windows at every
+place of a document. A hit proposes where in the document the item would begin; there the templates are compared token by
 token, and the placeholders' values must map one to one: an item's "Ann" may be "Bob", but then
 everywhere, and nothing else may be "Bob".
 
@@ -17,10 +17,8 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.tables import let, nested
 
-WINDOW = 8
-STRIDE = 4
+WINDOW = 4
 MIN_TOKENS = 7
-MIN_PLAIN = 3
 COVERAGE = 0.8
 BROADCAST_WINDOWS = 200_000
 
@@ -55,17 +53,17 @@ def values(text: Column) -> Column:
 
 def template(text: Column) -> Column:
     """The tokens of a text with placeholders, one for each of `values`."""
-    text = F.regexp_replace(_even(text), r"(?<=[\p{Ll}\p{N},;] )\p{Lu}[\p{L}\p{M}]*(?![\p{N}])", NAME)
+    text = F.regexp_replace(_even(text), r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]", " ")
+    text = F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;] )\p{Lu}[\p{L}\p{M}]*(?![\p{N}])", NAME)
     text = F.regexp_replace(F.lower(text), rf"(?<![\p{{L}}\p{{N}}])\d[\d{_POINT}]*(?![\p{{L}}\p{{N}}])", NUMBER)
     text = F.regexp_replace(text, rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
     return _tokens(text)
 
 
-def _windows(tokens: Column, length: int, stride: int) -> Column:
-    """(length, hash, at) of windows of a fixed length."""
-    starts = F.sequence(F.lit(0), F.size(tokens) - length, F.lit(stride))
+def _windows(tokens: Column, length: int) -> Column:
+    """(length, hash, at) of the windows of a fixed length, at every place."""
     windows = F.transform(
-        starts,
+        F.sequence(F.lit(0), F.size(tokens) - length),
         lambda i: F.struct(
             F.lit(length).alias("length"),
             F.xxhash64(*[F.get(tokens, i + k) for k in range(length)]).alias("hash"),
@@ -78,31 +76,29 @@ def _windows(tokens: Column, length: int, stride: int) -> Column:
 _WINDOWS = "array<struct<length:int,hash:bigint,at:int>>"
 
 
-def _length(tokens: Column) -> Column:
-    """Window length of an item: short enough that an occurrence holds a window at every stride."""
-    return F.least(F.lit(WINDOW), F.size(tokens) - (STRIDE - 1))
-
-
 def items(benchmark: DataFrame) -> DataFrame:
-    """item_id, template, values and window length of the items that can be told from common text."""
+    """item_id, template and values of the items that can be told from common text."""
     told = benchmark.where("text IS NOT NULL").select(
         "item_id", template(F.col("text")).alias("template"), values(F.col("text")).alias("values")
     )
-    return told.where(F.size("template") >= MIN_TOKENS).withColumn("length", _length(F.col("template"))).distinct()
-
-
-def item_windows(questions: DataFrame) -> DataFrame:
-    """hash, item_id and item_at of every window with enough plain tokens."""
+    return told.where(F.size("template") >= MIN_TOKENS).distinct()
+
+
+def item_windows(questions: DataFrame, coverage: float) -> DataFrame:
+    """length, hash, item_id, item_at and tokens (of the item) of one window in each block of the items."""
+    tokens = F.size("template")
+    # As many tokens may differ as leave the coverage; of one block more, one at least is whole.
+    blocks = tokens - F.ceil(tokens * coverage - 1e-9).cast("int") + 1
+    begin = lambda k: F.floor(k * tokens / blocks).cast("int")
+    every = questions.select("item_id", "template", tokens.alias("tokens"), blocks.alias("blocks"), F.explode(
+        F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(begin(k).alias("at"), begin(k + 1).alias("end")))
+    ).alias("block")).where("block.end > block.at")
+    every = every.withColumn("length", F.least(F.lit(WINDOW), F.col("block.end") - F.col("block.at")))
     parts = None
-    for length in range(MIN_TOKENS - STRIDE + 1, WINDOW + 1):
-        every = questions.where(F.col("length") == length).select(
-            "item_id", "template", F.explode(_windows(F.col("template"), length, 1)).alias("window")
-        )
-        plain = F.size(
-            F.filter(F.slice("template", F.col("window.at") + 1, length), lambda t: ~t.isin(*PLACEHOLDERS))
-        )
-        part = every.where(plain >= MIN_PLAIN).select(
-            F.lit(length).alias("length"), "window.hash", "item_id", F.col("window.at").alias("item_at")
+    for length in range(1, WINDOW + 1):
+        hashed = F.xxhash64(*[F.get("template", F.col("block.at") + k) for k in range(length)])
+        part = every.where(F.col("length") == length).select(
+            "length", hashed.alias("hash"), "item_id", F.col("block.at").alias("item_at"), "tokens"
         )
         parts = part if parts is None else parts.union(part)
     return parts
@@ -119,28 +115,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     """
     docs = docs.select("doc_id", "text")
     questions = items(benchmark)
-    wanted = item_windows(questions)
-    lengths = [row["length"] for row in questions.select("length").distinct().collect()]
+    wanted = item_windows(questions, coverage)
+    lengths = [row["length"] for row in wanted.select("length").distinct().collect()]
     if wanted.count() <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
 
     def all_windows(tokens: Column) -> Column:
-        parts = [_windows(tokens, length, STRIDE) for length in sorted(lengths)]
+        parts = [_windows(tokens, length) for length in sorted(lengths)]
         return F.concat(*parts) if parts else F.array().cast(_WINDOWS)
 
     proposed = (
         docs.select("doc_id", F.explode(let(template(F.col("text")), all_windows)).alias("window"))
         .select("doc_id", "window.length", "window.hash", "window.at")
         .join(wanted, ["length", "hash"])
-        .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("start"))
-        .distinct()
+        .select("doc_id", F.struct("item_id", (F.col("at") - F.col("item_at")).alias("start"), "tokens").alias("place"))
+        .groupBy(F.col("doc_id").alias("in_doc"))
+        .agg(F.collect_set("place").alias("places"))
     )
-    # Few rows against whole texts: Spark sees how few and picks the join.
+
+    def stretch(tokens: Column, place: Column) -> Column:
+        """The tokens from the proposed start on, nulls where the document has none."""
+        at = F.sequence(place["start"], place["start"] + place["tokens"] - 1)
+        return F.transform(at, lambda k: F.when(k >= 0, F.get(tokens, k)))
+
+    def cut(of: Column, said: Column) -> Column:
+        return F.transform(
+            "places",
+            lambda p: F.struct(p["item_id"].alias("item_id"), p["tokens"].alias("tokens"), stretch(of, p).alias("of_doc"), stretch(said, p).alias("doc_values")),
+        )
+
+    # Few rows against whole texts: Spark sees how few and picks the join. A text is parted once for all places.
     found = (
-        proposed.withColumnRenamed("doc_id", "in_doc")
-        .join(docs, F.col("in_doc").eqNullSafe(F.col("doc_id")))
-        .drop("in_doc")
-        .join(questions.drop("length"), "item_id")
+        proposed.join(docs, F.col("in_doc").eqNullSafe(F.col("doc_id")))
+        .select("doc_id", F.explode(let(template(F.col("text")), lambda t: let(values(F.col("text")), lambda v: cut(t, v)))).alias("place"))
+        .select("doc_id", "place.*")
+        .join(questions.withColumn("tokens", F.size("template")), ["item_id", "tokens"])
     )
     return _verified(found, coverage)
 
@@ -148,19 +157,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 def _verified(found: DataFrame, coverage: float) -> DataFrame:
     """Compare the templates where an item would begin, and the values of their placeholders."""
 
-    def stretch(tokens: Column) -> Column:
-        """The tokens from the proposed start on, nulls where the document has none."""
-        places = F.sequence(F.lit(0), F.size("template") - 1)
-        at = lambda k: F.col("start") + k
-        return F.transform(places, lambda k: F.when(at(k) >= 0, F.get(tokens, at(k))))
-
     here = found.select(
         "doc_id",
         "item_id",
         F.col("template").alias("of_item"),
         F.col("values").alias("item_values"),
-        let(template(F.col("text")), stretch).alias("of_doc"),
-        let(values(F.col("text")), stretch).alias("doc_values"),
+        "of_doc",
+        "doc_values",
     )
     same = F.filter(
         F.transform(

@@ -142,6 +142,22 @@ def test_leaks(spark, text, changed):
     assert kept.columns == docs.columns and kept.count() == (1 if changed is None else 0)
 
 
+def test_leaks_with_a_fifth_changed(spark):
+    words = "the quick brown fox jumps over a lazy dog while seven small birds sing loudly near that old stone".split()
+    texts = [QUESTION]
+    for shift in range(4):
+        for changed in ([3, 7, 11, 15], [0, 5, 10, 15], [4, 8, 12, 16], [2, 9]):
+            said = [w + "zz" if k in changed else w for k, w in enumerate(words)]
+            texts.append(" ".join(["so"] * shift + said + ["end"]))
+    # Any blank before a name is a blank.
+    names = "we saw how Ann and Ben met Carl near Dover to sell Eve a boat"
+    texts.append(names.replace(" ", "\n").replace("Carl", "Karl"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(words) + " end"), (2, names)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, items).collect()}
+    assert found == {(k, 1) for k in range(1, 17)} | {(17, 2)}
+
+
 def test_leaks_without_rows(spark, no_docs, odd_docs):
     items = spark.createDataFrame([(9, QUESTION)], "item_id long, text string")
     assert decontamination.leaks(no_docs, items).count() == 0
