@@ -4,8 +4,9 @@ Texts are brought to templates: numbers, mid-sentence capitalised words and the
 become typed placeholders. An item is parted into one block more than tokens may differ at the wanted
 coverage, so an occurrence holds one block whole; blocks are joined by hash with the windows at every
 place of a document. A hit proposes where in the document the item would begin; there the templates are compared token by
-token, and the placeholders' values must map one to one: an item's "Ann" may be "Bob", but then
-everywhere, and nothing else may be "Bob".
+token, and names must map one to one: an item's "Ann" may be "Bob", but then everywhere, and nothing
+else may be "Bob". Of a number or unit with several values in the document the most frequent one counts,
+each other place is a token that differs; two numbers may become one.
 
 Only DataFrame functions are used.
 """
@@ -172,6 +173,7 @@ def _verified(found: DataFrame, coverage: float) -> DataFrame:
                 t["of_item"] == t["of_doc"],
                 F.struct(
                     t["of_item"].isin(*PLACEHOLDERS).alias("slot"),
+                    (t["of_item"] == NAME).alias("name"),
                     t["item_values"].alias("said"),
                     t["doc_values"].alias("says"),
                 ),
@@ -181,11 +183,25 @@ def _verified(found: DataFrame, coverage: float) -> DataFrame:
     )
     here = here.select("doc_id", "item_id", F.size("of_item").alias("tokens"), same.alias("same"))
     here = here.withColumn("slots", F.filter("same", lambda t: t["slot"]))
-    pairs = F.size(F.array_distinct(F.transform("slots", lambda t: F.struct(t["said"], t["says"]))))
-    one_to_one = (pairs == F.size(F.array_distinct(F.transform("slots", lambda t: t["said"])))) & (
-        pairs == F.size(F.array_distinct(F.transform("slots", lambda t: t["says"])))
+    here = here.withColumns(
+        {"names": F.filter("slots", lambda t: t["name"]), "numbers": F.filter("slots", lambda t: ~t["name"])}
     )
-    covered = F.size("same") / F.col("tokens")
+    pairs = F.size(F.array_distinct(F.transform("names", lambda t: F.struct(t["said"], t["says"]))))
+    one_to_one = (pairs == F.size(F.array_distinct(F.transform("names", lambda t: t["said"])))) & (
+        pairs == F.size(F.array_distinct(F.transform("names", lambda t: t["says"])))
+    )
+    # For each value of the item, at how many places the document has the same one, at most.
+    alike = F.transform(
+        F.array_distinct(F.transform("numbers", lambda t: t["said"])),
+        lambda said: F.array_max(
+            F.transform(
+                F.filter("numbers", lambda t: t["said"] == said),
+                lambda t: F.size(F.filter("numbers", lambda u: (u["said"] == said) & (u["says"] == t["says"]))),
+            )
+        ),
+    )
+    consistent = F.aggregate(alike, F.lit(0), lambda n, k: n + k)
+    covered = (F.size("same") - F.size("numbers") + consistent) / F.col("tokens")
     best = F.struct(
         covered.alias("covered"),
         F.size("slots").alias("n_slots"),

@@ -158,6 +158,15 @@ def test_leaks_with_a_fifth_changed(spark):
     assert found == {(k, 1) for k in range(1, 17)} | {(17, 2)}
 
 
+def test_leaks_with_numbers_that_coincide_or_differ(spark):
+    item = "A shop sold 12 kg of rice and 3,5 km of rope and then 12 more sacks of rice to us"
+    texts = [item.replace("12", "7").replace("3,5", "7"), item.replace("12", "7", 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r.doc_id: r.covered for r in decontamination.leaks(docs, items).collect()}
+    assert found[0] == 1 and found[1] == 20 / 21
+
+
 def test_leaks_without_rows(spark, no_docs, odd_docs):
     items = spark.createDataFrame([(9, QUESTION)], "item_id long, text string")
     assert decontamination.leaks(no_docs, items).count() == 0
