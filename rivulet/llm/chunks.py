@@ -1,10 +1,11 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the bytes of a text: each byte shifts the hash left by one and adds its own random
-number, so the hash depends on the last 64 bytes. Where its upper `AVERAGE_BITS` bits are zero a chunk
+number, so the hash, of `WINDOW` bits, depends on the last `WINDOW` bytes. Where its upper `AVERAGE_BITS` bits are zero a chunk
 ends, if it has at least `LEAST` bytes; a chunk ends at `MOST` bytes anyhow. An insertion moves the
 boundaries next to it and no others. Chunks are known by digest (128 bits); the first, by doc_id and
-place, stays; later ones go where they run for `LEAST_RUN` bytes, so a stock phrase stays.
+place, stays; later ones go where they run for `LEAST_RUN` bytes or make up the whole text. Passages of
+50 words hold such a run, once their edges are off; a short stock phrase within a text stays.
 
 Digests meet by range, each task's own repeats told before. Nothing is gathered by chunk, so a chunk
 that stands in very many documents is one entry per task.
@@ -24,34 +25,35 @@ from rivulet.llm.bytetext import SubstringHash, text_slices
 from rivulet.llm.spans import digested, keyed
 from rivulet.llm.tables import stored
 
-AVERAGE_BITS = 5
-LEAST, MOST = 32, 160
+WINDOW = 32
+AVERAGE_BITS = 4
+LEAST, MOST = 16, 160
 SEED = 20
-LEAST_RUN = 120
+LEAST_RUN = 64
 CHUNK_FILTER_BITS = 1 << 26
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """The rolling hash behind each byte, for all bytes at once: the sum over the last 64 bytes, each shifted
-    by its distance, doubled up from 1 to 64 of them."""
-    gear = np.random.default_rng(SEED).integers(0, 1 << 64, 256, dtype=np.uint64)
+    """The rolling hash behind each byte, for all bytes at once: the sum over the last `WINDOW` bytes, each
+    shifted by its distance, doubled up from 1 to all of them."""
+    gear = np.random.default_rng(SEED).integers(0, 1 << WINDOW, 256, dtype=np.uint32)
     out, width = gear[data], 1
-    while width < 64:
+    while width < WINDOW:
         before = np.zeros_like(out)
-        before[width:] = out[:-width] << np.uint64(width)
+        before[width:] = out[:-width] << np.uint32(width)
         out = out + before
         width *= 2
     return out
 
 
 def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and end of every chunk of some texts. A hash sees its own text only from 64 bytes on;
+    """Row, start and end of every chunk of some texts. A hash sees its own text only from `WINDOW` bytes on;
     before that it also sees the text before, so boundaries there are left out."""
-    marks = np.flatnonzero(gear_hashes(data) >> np.uint64(64 - AVERAGE_BITS) == 0) + 1
+    marks = np.flatnonzero(gear_hashes(data) >> np.uint32(WINDOW - AVERAGE_BITS) == 0) + 1
     rows, starts, ends = [], [], []
     for row in range(len(offsets) - 1):
         begin, end = int(offsets[row]), int(offsets[row + 1])
-        mine = marks[np.searchsorted(marks, begin + 64) : np.searchsorted(marks, end)].tolist()
+        mine = marks[np.searchsorted(marks, begin + WINDOW) : np.searchsorted(marks, end)].tolist()
         at, cuts = begin, []
         for mark in mine:
             if mark - at < LEAST:
@@ -74,11 +76,11 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _chunks(batch: pa.RecordBatch):
-    """(row, start in its text, end, two hashes) of every chunk of a batch."""
+    """(row, start in its text, end, bytes of the text, two hashes) of every chunk of a batch."""
     for first, _, data, offsets in text_slices(batch.column("text")):
         rows, starts, ends = chunk_ends(data, offsets)
         hashes = SubstringHash(data).of(starts, ends), SubstringHash(data, seed=2).of(starts, ends)
-        yield first + rows, starts - offsets[rows], ends - offsets[rows], *hashes
+        yield first + rows, starts - offsets[rows], ends - offsets[rows], offsets[rows + 1] - offsets[rows], *hashes
 
 
 def first_chunks(docs: DataFrame) -> DataFrame:
@@ -102,7 +104,7 @@ def first_chunks(docs: DataFrame) -> DataFrame:
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ranks, keys = batch.column("rank").to_numpy(), batch.column("key").to_numpy()
-            for rows, starts, _, hashes, checks in _chunks(batch):
+            for rows, starts, _, _, hashes, checks in _chunks(batch):
                 found = firsts(
                     {
                         "hashes": hashes,
@@ -135,29 +137,31 @@ def first_chunks(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
-    """key and spans of the chunks that stood earlier, where such chunks run for `least_run` bytes."""
+    """key and spans of the chunks that stood earlier, where such chunks run for `least_run` bytes
+    or over the whole text."""
     firsts = stored(first_chunks(docs), "chunks")
     held = filter_of(firsts, "hash", CHUNK_FILTER_BITS)
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            for rows, starts, ends, hashes, checks in _chunks(batch):
+            for rows, starts, ends, sizes, hashes, checks in _chunks(batch):
                 some = in_filter(held, hashes)
                 columns = (
                     keys[rows[some]],
                     starts[some].astype(np.int32),
                     ends[some].astype(np.int32),
+                    sizes[some].astype(np.int32),
                     hashes[some].view(np.int64),
                     checks[some].view(np.int64),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    list(map(pa.array, columns)), names=["key", "first", "last", "hash", "check"]
+                    list(map(pa.array, columns)), names=["key", "first", "last", "size", "hash", "check"]
                 )
 
-    found = docs.select("text", "key").mapInArrow(again, "key long, first int, last int, hash long, check long")
+    found = docs.select("text", "key").mapInArrow(again, "key long, first int, last int, size int, hash long, check long")
     later = found.join(firsts.drop("rank"), ["hash", "check"]).where("key <> of OR first <> at")
-    runs = later.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"))
+    runs = later.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"), F.max("size").alias("size"))
 
     def grown(spans: Column, run: Column) -> Column:
         end = F.get(spans, F.size(spans) - 1)
@@ -168,7 +172,7 @@ def repeated_spans(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
         )
 
     nothing = F.array().cast("array<struct<first:int,last:int>>")
-    spans = F.filter(F.aggregate("runs", nothing, grown), lambda s: s["last"] - s["first"] >= least_run)
+    spans = F.filter(F.aggregate("runs", nothing, grown), lambda s: s["last"] - s["first"] >= F.least(F.lit(least_run), "size"))
     return runs.select("key", spans.alias("spans")).where(F.size("spans") > 0)
 
 

@@ -1,6 +1,7 @@
 """Jaccard join, byte repeats and chunks against plain loops."""
 
 import hashlib
+import random
 
 import brute
 import numpy as np
@@ -91,6 +92,20 @@ def test_chunk_deduplication(odd_docs, odd_rows):
     assert rows_of(found) == sorted((out[i] for i, _ in rows), key=lambda r: tuple(map(str, r)))
 
 
+def test_passages_of_fifty_words_and_short_copies_go(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 7))) for _ in range(n))
+    rows = []
+    for k in range(60):
+        passage = text(53)
+        rows += [(2 * k, f"{text(40)} {passage} {text(30)}"), (2 * k + 1, f"{text(25)} {passage} {text(50)}")]
+    rows += [(1000, "a short text"), (1001, "a short text"), (1002, "short line " * 8), (1003, "short line " * 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_bytes, r.n_removed) for r in chunks.deduplicated(docs).collect()}
+    assert sum(found[2 * k + 1][1] > 0 for k in range(60)) >= 57
+    assert found[1000][1] == 0 and all(found[i][0] == found[i][1] for i in (1001, 1003))
+
+
 @pytest.mark.parametrize("operator", [jaccard.linked_documents, jaccard.one_of_each, repeats.trimmed, repeats.without_repeats, chunks.deduplicated])
 def test_empty_tables(no_docs, operator):
     assert operator(no_docs).count() == 0
