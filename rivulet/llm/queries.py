@@ -6,8 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-from rivulet.llm import chunks, decontamination, jaccard, licences, maxent, mixing, quality, repeats, toxicity, warc
+from rivulet.llm import (
+    chunks,
+    decontamination,
+    jaccard,
+    licences,
+    maxent,
+    mixing,
+    pieces,
+    quality,
+    repeats,
+    resampling,
+    toxicity,
+    tries,
+    warc,
+)
 from rivulet.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +88,19 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read(spark, sf_dir, "documents"))
 
 
-@query("pipeline", corpus_pipeline.ORACLE_SQL)
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_pipeline.run(spark, sf_dir)
+@query("op11_prefix_trie", tries.SQL)
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
+@query("op12_sentencepiece")
+def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = pieces.model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.round_trip(read(spark, sf_dir, "documents"), model)
+
+
+@query("op13_resampling", resampling.SQL)
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -19,7 +19,10 @@ def test_matches_sql(spark, sf_dir, name):
 
 
 def test_operators_are_registered():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {*(f"op{k}" for k in range(1, 11)), "pipeline"}
+    import __spark_entry__ as entry_point
+
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
+    assert entry_point.queries()["pipeline"] is corpus_pipeline.run
 
 
 def targets_by_rounds(sizes):
