@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.exprs import safe_div
 from rivulet.operators.windows import nth_orders
-from rivulet.sources.layout import in_months
 from rivulet.sources.tables import Tables
 
 
@@ -40,7 +39,7 @@ ALL_TIME: Window = (None, None)
 
 def raw_lines(t: Tables, paid: bool = False, window: Window = ALL_TIME) -> DataFrame:
     """Order lines, of the months of `window` only where they are stored by month."""
-    lines = in_months(t["Pedidos_Productos"], *window).select("idPedido", "idProducto", "Cantidad", "Precio")
+    lines = t.months("Pedidos_Productos", *window).select("idPedido", "idProducto", "Cantidad", "Precio")
     return lines.filter(F.col("Precio") > 0) if paid else lines
 
 

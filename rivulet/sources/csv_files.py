@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from collections.abc import Iterable
 
@@ -11,12 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.sources.layout import DATE_OF_PARENT, loaded, write_lot
+from rivulet.sources.layout import CORRUPT, TooManyRejects, write_lot
+from rivulet.sources.lots import DATE_OF_PARENT, Lots
 from rivulet.sources.schema import TABLE_COLUMNS, WHOLE_KINDS, canonical_schema, columns_of, file_schema
 from rivulet.sources.tables import Tables
 
-CORRUPT = "_corrupt_record"
-
 # Header row, comma separated, double-quoted fields, UTF-8, empty cell is NULL, LF or CRLF.
 CSV_OPTIONS = {
     "header": "true",
@@ -65,7 +65,7 @@ def read_csv(spark: SparkSession, path: str, table: str, keep_corrupt: bool = Fa
     return canonicalise(reader.schema(schema).csv(path), table)
 
 
-REPORT_SCHEMA = "tabla string, filas long, milisegundos long, error string"
+REPORT_SCHEMA = "tabla string, filas long, rechazadas long, milisegundos long, error string"
 
 
 def load_all(
@@ -73,23 +73,36 @@ def load_all(
     csv_dir: str,
     parquet_dir: str,
     names: Iterable[str] = tuple(TABLE_COLUMNS),
+    quarantine: bool = False,
+    most_rejected: int | None = None,
+    day: dt.date | None = None,
 ) -> tuple[Tables, DataFrame]:
     """Write each table's CSV as Parquet, count and time it. A table that fails is reported and
-    the others still load. A table laid out by its parent's date is loaded after that parent."""
+    the others still load. A table laid out by its parent's date is loaded after that parent.
+
+    A malformed row fails its table; with `quarantine` it goes to the table's rejects (see `rejects`) and
+    the rest is loaded, unless more than `most_rejected` rows are malformed. `day` is since when the
+    load counts as known. The file is read once: the write itself tells the rows loaded and rejected.
+    """
     report = []
     done = []
     for name in sorted(names, key=lambda table: table in DATE_OF_PARENT):
         started = time.monotonic()
-        rows, error = None, None
+        rows, refused, error = None, None, None
         try:
-            source = read_csv(spark, f"{csv_dir}/{name}.csv", name)
+            source = read_csv(spark, f"{csv_dir}/{name}.csv", name, keep_corrupt=quarantine)
             parent = DATE_OF_PARENT.get(name, ("", ""))[0]
-            dated = loaded(spark, f"{parquet_dir}/{parent}", parent) if parent in done else None
-            write_lot(source, f"{parquet_dir}/{name}", name, 0, dated)
-            rows = loaded(spark, f"{parquet_dir}/{name}", name).count()
+            dated = Lots(spark, f"{parquet_dir}/{parent}", parent).read() if parent in done else None
+            rows, refused = write_lot(source, f"{parquet_dir}/{name}", name, 0, dated, day, most_rejected)
             done.append(name)
-        except (PySparkException, Py4JJavaError) as problem:
+        except (PySparkException, Py4JJavaError, TooManyRejects) as problem:
             error = str(problem).splitlines()[0]
-        report.append((name, rows, int((time.monotonic() - started) * 1000), error))
+        report.append((name, rows, refused, int((time.monotonic() - started) * 1000), error))
     tables = Tables.from_parquet(spark, parquet_dir, done)
     return tables, spark.createDataFrame(report, REPORT_SCHEMA)
+
+
+def rejects(spark: SparkSession, parquet_dir: str, table: str) -> DataFrame:
+    """The rows that loads of a table refused: what could be read of their columns, their text in
+    `_corrupt_record`, and the lot that brought them."""
+    return Lots(spark, f"{parquet_dir}/{table}", table).rejects(CORRUPT)

@@ -6,8 +6,10 @@ import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rivulet.sources.layout import in_window, loaded
+from rivulet.sources.layout import in_months, in_window
+from rivulet.sources.lots import DATE_OF_PARENT, Lots, in_ranges
 from rivulet.sources.schema import DATE_COLUMN, TABLE_COLUMNS, canonical_schema
 
 
@@ -19,9 +21,12 @@ class Tables:
         spark: SparkSession,
         makers: Mapping[str, Callable[[], DataFrame]],
         extra: Mapping[str, Callable[[], DataFrame]] | None = None,
+        lots: Mapping[str, Lots] | None = None,
     ):
-        """`extra` holds parameter tables (list prices, targets) that are not part of the schema."""
+        """`extra` holds parameter tables (list prices, targets) that are not part of the schema; `lots` the
+        stored tables that are read by month."""
         self.spark = spark
+        self._lots = dict(lots or {})
         self._names = list(makers)
         self._makers = {**makers, **(extra or {})}
         self._frames: dict[str, DataFrame] = {}
@@ -38,7 +43,18 @@ class Tables:
 
     def between(self, name: str, start: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
         """A dated table cut to `start <= date < before`."""
-        return in_window(self[name], DATE_COLUMN[name], start, before)
+        rows = self._lots[name].read(start, before) if name in self._lots else self[name]
+        return in_window(rows, DATE_COLUMN[name], start, before)
+
+    def months(self, name: str, start: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
+        """A table dated by another, cut to the months of a window where it is stored by month. Rows whose
+        parent was sent again with another month are kept, whichever month they lie in."""
+        if name not in self._lots or (start is None and before is None):
+            return in_months(self[name], start, before)
+        parent, key = DATE_OF_PARENT[name]
+        moved = self._lots[parent].resent(start, before) if parent in self._lots else []
+        also = in_ranges(F.col(key), moved) if moved else None
+        return in_months(self._lots[name].read(start, before, moved), start, before, also)
 
     def register_views(self) -> None:
         """Temp views under the table names, for SQL users."""
@@ -50,10 +66,17 @@ class Tables:
         return cls(spark, {name: (lambda df=df: df) for name, df in frames.items()})
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, path: str, names: Iterable[str] = tuple(TABLE_COLUMNS)) -> Tables:
-        """Tables as `load_all` writes them, by the declared schema."""
-
-        return cls(spark, {n: (lambda n=n: loaded(spark, f"{path}/{n}", n)) for n in names})
+    def from_parquet(
+        cls,
+        spark: SparkSession,
+        path: str,
+        names: Iterable[str] = tuple(TABLE_COLUMNS),
+        as_of: dt.date | None = None,
+    ) -> Tables:
+        """Tables as `load_all` writes them, by the declared schema. With `as_of`, customers, routes and all
+        other tables that a load replaces are those known on that day; facts carry days of their own."""
+        lots = {n: Lots(spark, f"{path}/{n}", n, as_of) for n in names}
+        return cls(spark, {n: lots[n].read for n in lots}, lots=lots)
 
     @classmethod
     def from_rows(cls, spark: SparkSession, rows: Mapping[str, list[dict]]) -> Tables:
