@@ -129,3 +129,19 @@ def open_items(ledger: DataFrame) -> DataFrame:
 def with_columns(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     """Per-row expressions by name, each free to use the columns `df` has."""
     return df.withColumns(exprs)
+
+
+def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
+    """`column NOT IN (SELECT listed_column FROM listed)` as SQL has it: an empty list keeps every row, a NULL
+    in the list keeps none, and else a row whose column is NULL goes.
+
+    The list may be long: it meets the rows in an ordinary anti join on its distinct values, which Spark
+    broadcasts only when it measures them to be small; what NULLs and emptiness decide is one row of
+    counts. (Spark's own plan for NOT IN broadcasts the list whatever its size.)
+    """
+    keys = listed.select(F.col(listed_column).alias("_listed"))
+    counts = keys.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count("_listed").alias("known"))).scalar()
+    kept = df.withColumn("_counts", counts)
+    absent = kept.join(keys.filter("_listed IS NOT NULL").distinct(), F.col(column) == F.col("_listed"), "left_anti")
+    some = (F.col("_counts.n") == F.col("_counts.known")) & F.col(column).isNotNull()
+    return absent.filter((F.col("_counts.n") == 0) | some).drop("_counts")

@@ -81,10 +81,24 @@ def promo_share(acq: DataFrame) -> DataFrame:
     return share_of_total(counts, "Altas", "Pct")
 
 
-def promo_cost(t: Tables, prices: DataFrame) -> DataFrame:
-    """List value (`idProducto`, `PrecioLista`) of the free units in first orders, per product."""
-    first = first_order(t, "all").select("idPedido")
-    free = lines_of(t, first, liquid="positive").filter(F.col("Precio") == 0)
+def promo_cost(
+    t: Tables,
+    prices: DataFrame,
+    since: dt.date | None = None,
+    as_of: dt.date | None = None,
+    accounts: DataFrame | None = None,
+) -> DataFrame:
+    """List value (`idProducto`, `PrecioLista`) of the free units in first orders up to `as_of`, per product.
+
+    `accounts` (`NroCta`) limits it to some customers, such as those registered from `since` on: their
+    first order is not older, so nothing before `since` is read.
+    """
+    window = (since, None if as_of is None else day_after(as_of))
+    orders = t.between("Pedidos", *window)
+    if accounts is not None:
+        orders = facts_of(orders, accounts, "idCliente", "NroCta")
+    first = first_order(t, "all", orders, window).select("idPedido")
+    free = lines_of(t, first, liquid="positive", window=window).filter(F.col("Precio") == 0)
     units = free.groupBy("idProducto").agg(F.sum("Cantidad").alias("Unidades"))
     priced = units.join(prices.select("idProducto", "PrecioLista"), "idProducto", "left")
     return priced.withColumn("CostoBonificado", F.col("Unidades") * F.col("PrecioLista"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.dates import closed_months, first_of_month, month_start
 from rivulet.functions.exprs import ratio, valid_at
-from rivulet.operators.joins import facts_of
+from rivulet.operators.joins import facts_of, semi
 from rivulet.plans.orders import lines_of, volume
 from rivulet.sources.tables import Tables
 
@@ -67,13 +67,16 @@ def product_mix(
     accounts: DataFrame | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Per month, and per value of the `by` columns of `accounts` (one row per `NroCta`): customers that bought, the share of them that bought each family, each family's
-    litres and share of litres, and the share of customers with equipment. A customer counts once
-    per month because rows are first brought to customer and month."""
+    """Per month, and per value of the `by` columns of `accounts` (one row per `NroCta`): customers that bought,
+    the share of them that bought each family, each family's litres and share of litres, and the share of
+    customers with equipment. `accounts` without `by` are the segment the figures are of. A customer counts
+    once per month because rows are first brought to customer and month."""
     span = closed_months(as_of, months)
     bought = customer_months(t, span[0], first_of_month(as_of), families, column)
     if by:
         bought = bought.join(accounts.select("NroCta", *by), "NroCta")
+    elif accounts is not None:
+        bought = semi(bought, accounts, "NroCta")
     machines = machines_by_month(t, span)
     joined = bought.join(machines, "NroCta", "left").withColumn(
         "_con_equipo", F.when(F.coalesce(F.col("_equipos")[_month_index(span) - 1], F.lit(0)) > 0, 1).otherwise(0)

@@ -69,6 +69,31 @@ def holiday_table(t: Tables, holidays: Sequence[dt.date], months: int = 2, min_d
     )
 
 
+SLICES = [
+    ["Feriado", "Supervisor", "Ruta"],
+    ["Feriado", "Supervisor"],
+    ["Feriado"],
+    ["DiaSemana", "Supervisor"],
+    ["DiaSemana"],
+    ["Supervisor"],
+    [],
+]
+
+
+def holiday_slices(table: DataFrame, slices: Sequence[Sequence[str]] = SLICES) -> DataFrame:
+    """The holiday table (see `holiday_table`) cut by date, weekday and supervisor, each with its totals, in
+    one pass. `corte` tells the slice: a bit for each of Feriado, DiaSemana, Supervisor, Ruta, in this
+    order, set where the column is summed over. The share is that of the totals."""
+    dims = ["Feriado", "DiaSemana", "Supervisor", "Ruta"]
+    sums = {name: F.sum(name).cast("decimal(18,2)") for name in ("PromSem", "VtaFeriado", "ARecuperar")}
+    cut = table.groupingSets([[F.col(c) for c in one] for one in slices], *dims).agg(
+        F.grouping_id().cast("int").alias("corte"),
+        F.count(F.lit(1)).alias("Filas"),
+        *[column.alias(name) for name, column in sums.items()],
+    )
+    return cut.withColumn("Pct", try_decimal(percent(F.col("ARecuperar"), "PromSem"), 5, 1))
+
+
 def exposure_rank(debt: DataFrame) -> DataFrame:
     """Routes by exposure, with each one's share; sorted from the largest."""
     return share_of_total(debt, "DeudaTotal", "PctExposicion").orderBy(F.desc("DeudaTotal"))
