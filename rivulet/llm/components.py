@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.tables import stored
+from rivulet.llm.tables import forget, stored
 
 
 def _towards_least(edges: DataFrame, only_smaller: bool) -> DataFrame:
@@ -43,4 +43,5 @@ def components(edges: DataFrame) -> DataFrame:
             stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
             return stars.union(edges.select(F.col("b"), F.col("b"))).distinct()
         seen = tuple(facts)
-        edges = stored(_towards_least(_towards_least(edges, False), True), "links")
+        before, edges = edges, stored(_towards_least(_towards_least(edges, False), True), "links")
+        forget(before)

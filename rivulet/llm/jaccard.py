@@ -13,14 +13,19 @@ smaller of the two holds it among its first n - ceil(6n/7) + 1. So:
    Counts of shingles by range of hash bound what two sets can share; of the pairs left, the whole
    sets are compared.
 4. Shingles that many groups have in the prefix are not paired all with all: each of their groups is
-   compared with a few leaders first. The links found make
-   components, and then every pair of groups that share such a shingle and still lie in different
-   components is compared. The same goes for the classes of one group. No pair that could join two
-   components is left out, and pairs within a component need no comparison.
+   compared with a few leaders of about its size first, some with as few rare shingles as any, some by
+   hash. The links found make components, and then every pair of groups that share such a shingle and
+   still lie in different components is compared. The same goes for the classes of one group. No pair
+   that could join two components is left out, and pairs within a component need no comparison.
+5. A group whose prefix reaches its frequent shingles has all its rare ones in it. Two such groups that share
+   no rare one there share none at all, so at most the frequent shingles of the one that has fewer: where
+   that is too little for a link, the pair is not made. Near copies of one text with so many changes
+   that they link to nothing are never held against each other, the others link to a leader.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,6 +106,12 @@ class Sets:
         told = counts.astype(np.uint8)
         return pa.array([x.tobytes() if fits else None for x, fits in zip(told, counts.max(axis=1) < 255)], pa.binary())
 
+    def shareable(self) -> np.ndarray:
+        """How many shingles a row may share with one that it shares a frequent prefix shingle with, but no
+        rare one: its frequent ones; 0 where the prefix holds none of them."""
+        reaches = np.bincount(self.rows[self.late & self.among_first(PART, WHOLE)], minlength=len(self.size)) > 0
+        return np.where(reaches, np.bincount(self.rows[self.late], minlength=len(self.size)), 0)
+
     def groups(self) -> np.ndarray:
         return self.digests(self.among_first(PART, WHOLE), 13).view(np.int64)
 
@@ -137,7 +148,8 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n, class, group, sketch and the frequent shingles in the prefix of every document."""
+    """doc_id, hash (of the text), n, class, group, f (see `Sets.shareable`), sketch and the frequent shingles
+    in the prefix of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,21 +160,27 @@ def described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, count),
+                        batch.column("hash").slice(first, count),
                         pa.array(sets.size.astype(np.int64)),
                         sets.classes(),
                         pa.array(sets.groups()),
+                        pa.array(sets.shareable().astype(np.int64)),
                         sets.sketches(),
                         pa.ListArray.from_arrays(cut, pa.array(sets.shingles[late].view(np.int64))),
                     ],
-                    names=["doc_id", "n", "class", "group", "sketch", "late"],
+                    names=["doc_id", "hash", "n", "class", "group", "f", "sketch", "late"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n long, class binary, group long, sketch binary, late array<long>"
+    return docs.select("doc_id", "text", _text_hash(F.col("text")).alias("hash")).mapInArrow(
+        run, f"doc_id {kind}, hash long, n long, class binary, group long, f long, sketch binary, late array<long>"
     )
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _meet(table: pa.Table) -> pa.Table:
     """One range of shingles: which groups meet."""
     one = np.uint64(1)
@@ -245,6 +263,16 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return (WHOLE * F.least(a, b)) >= (PART * F.greatest(a, b))
 
 
+def _late_allow(n_a: Column, f_a: Column, n_b: Column, f_b: Column) -> Column:
+    """Whether two groups may link that share frequent shingles only (see 5 above)."""
+    return _sizes_allow(n_a, n_b) & ((WHOLE + PART) * F.least(f_a, f_b) >= PART * (n_a + n_b))
+
+
+def _band(n: Column) -> Column:
+    """Sizes that link are in one band or in two that follow each other."""
+    return F.floor(F.log(n.cast("double")) / math.log(WHOLE / PART)).cast("int")
+
+
 def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs of classes whose sketches allow a link: sets cannot share more than the lesser count of
     each cell. What is out cannot link."""
@@ -326,80 +354,104 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     no shingles and are their own component. Rows with equal sets are linked, rows that repeat
     included. A component of rows without doc_id only has none. An empty table gives no rows.
     """
+    return _linked(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def _linked(docs: DataFrame) -> DataFrame:
+    """As `linked_documents`, with the hash of the text and the component's name (null without shingles)."""
     frequent = frequent_shingles(docs)
     told = stored(described(docs, frequent), "shingled")
     some = told.where("n > 0")
     classes = stored(
         some.groupBy("class").agg(
-            F.min("doc_id").alias("doc"), F.first("group").alias("group"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+            F.min("doc_id").alias("doc"),
+            F.first("group").alias("group"),
+            F.first("n").alias("n"),
+            F.first("f").alias("f"),
+            F.first("sketch").alias("sketch"),
         ),
         "classes",
     )
     first = classes.groupBy("group").agg(F.min("class").alias("leader"))
-    met = stored(rare_meetings(docs, frequent), "meetings")
-    late = some.select("group", "n", F.explode("late").alias("shingle"))
-    late = late.union(met.where("b IS NULL").select(F.col("a").alias("group"), "n", "shingle"))
-    late = stored(late.distinct(), "late")
-    rare = met.where("b IS NOT NULL").select("a", "b")
-
-    # Groups that share a frequent shingle meet its leaders: the least of a few hashes.
-    leaders = late.groupBy("shingle").agg(
-        F.array_distinct(
-            F.array(*[F.min_by("group", F.xxhash64("group", F.lit(k))) for k in range(LEADERS)])
-        ).alias("leaders")
-    )
-    early = late.withColumn("nth", F.xxhash64("shingle")).groupBy("group").agg(
-        F.array_distinct(F.array(F.min_by("shingle", "nth"), F.max_by("shingle", "nth"))).alias("shingles")
-    )
-    with_leaders = (
-        early.select("group", F.explode("shingles").alias("shingle"))
-        .join(leaders, "shingle")
-        .select(F.col("group").alias("a"), F.explode("leaders").alias("b"))
-    )
-    group_pairs = stored(_ordered(rare.union(with_leaders)), "group-pairs")
-    forget(met)
+    rare = rare_meetings(docs, frequent)
+    # A shingle of many groups is one of many documents and so marked as frequent: all that meet here are pairs.
+    rare = stored(rare.where("b IS NOT NULL").select("a", "b"), "meetings")
+    late = stored(some.select("group", "n", "f", F.explode("late").alias("shingle")).distinct(), "late")
+    group_pairs = stored(_ordered(rare.union(_with_leaders(late))), "group-pairs")
     within = classes.join(first, "group").select(F.col("leader").alias("a"), F.col("class").alias("b"))
     of_a = first.select(F.col("group").alias("a"), F.col("leader").alias("class_a"))
     of_b = first.select(F.col("group").alias("b"), F.col("leader").alias("class_b"))
     between = group_pairs.join(of_a, "a").join(of_b, "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
     first_pairs = stored(possible(_ordered(within.union(between)), classes), "pairs")
     checked = stored(compared(docs, first_pairs, classes), "compared")
+    forget(first_pairs, group_pairs)
     reached = stored(components(checked.where("linked").select("a", "b")), "reached")
 
     members = (
         classes.join(reached, F.col("class") == F.col("node"), "left")
-        .select("group", "class", "n", F.coalesce("component", "class").alias("component"))
+        .select("group", "class", "n", "f", F.coalesce("component", "class").alias("component"))
     )
     members = stored(members, "members")
-    left = _ordered(_apart(members, group_pairs, late)).join(checked, ["a", "b"], "left_anti")
+    left = _ordered(_apart(members, rare, late)).join(checked, ["a", "b"], "left_anti")
     left = stored(possible(left, classes), "pairs")
+    forget(rare, late, checked, members)
     if not left.isEmpty():
         again = compared(docs, left, classes).where("linked").select("a", "b")
         links = reached.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)
         reached = stored(components(links), "reached")
+    forget(left)
 
     named = classes.join(reached, F.col("class") == F.col("node"), "left").select(
         F.col("class").alias("of_class"), "doc", F.coalesce("component", "class").alias("component")
     )
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
-    named = named.join(least, "component").select("of_class", "component_id")
+    named = named.join(least, "component").select("of_class", "component", "component_id")
     return told.join(named, (F.col("class") == F.col("of_class")) & (F.col("n") > 0), "left").select(
         "doc_id",
+        "hash",
         F.col("n").alias("n_shingles"),
+        "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
-def _apart(members: DataFrame, group_pairs: DataFrame, late: DataFrame) -> DataFrame:
+def _with_leaders(late: DataFrame) -> DataFrame:
+    """Pairs (a, b) of groups that share a frequent shingle with its leaders of about their size. Half of the
+    leaders have the fewest rare shingles for their size: of near copies, those nearest to what they
+    are copies of. Each group meets the leaders of two of its shingles."""
+    sized = late.withColumn("band", _band(F.col("n")))
+    rare = (F.col("n") - F.col("f")) / F.col("n")
+    kinds = [F.min_by("group", F.xxhash64("group", F.lit(k))) for k in range(LEADERS // 2)]
+    # The plainest group of each of a few parts of the groups.
+    part = F.pmod(F.xxhash64("group"), F.lit(LEADERS // 2))
+    kinds += [F.min_by(F.when(part == k, F.col("group")), F.when(part == k, F.struct(rare, F.xxhash64("group")))) for k in range(LEADERS // 2)]
+    leaders = sized.groupBy("shingle", "band").agg(F.array_distinct(F.array_compact(F.array(*kinds))).alias("leaders"))
+    leaders = leaders.select("shingle", "band", F.explode("leaders").alias("b"))
+    facts = late.select(F.col("group").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b")).distinct()
+    leaders = leaders.join(facts, "b")
+    two = F.array_distinct(F.array(F.min_by("shingle", "nth"), F.max_by("shingle", "nth")))
+    early = late.withColumn("nth", F.xxhash64("shingle")).groupBy("group", "n", "f").agg(two.alias("shingles"))
+    near = F.array(*[_band(F.col("n")) + k for k in (-1, 0, 1)])
+    early = early.select(F.col("group").alias("a"), "n", "f", F.explode("shingles").alias("shingle"), near.alias("bands"))
+    early = early.select("a", "n", "f", "shingle", F.explode("bands").alias("band"))
+    met = early.join(leaders, ["shingle", "band"])
+    return met.where(_late_allow(F.col("n"), F.col("f"), F.col("n_b"), F.col("f_b"))).select("a", "b")
+
+
+def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
     """Pairs of classes in different components whose groups share a prefix shingle, or are one."""
-    parts = members.select("group", "component").distinct()
-    single = parts.groupBy("component").agg((F.count("*") == 1).alias("lone"))
+    groups = members.select("group", "n", "f", "component").distinct()
+    single = groups.groupBy("component").agg((F.count("*") == 1).alias("lone"))
 
-    def pairs_of(cells: DataFrame) -> DataFrame:
-        """Group pairs of one key (`key`, `group`, `component`) whose components differ, reached by
+    def pairs_of(cells: DataFrame, by_late: bool) -> DataFrame:
+        """Group pairs of one key (`key`, `group`, `n`, `f`, `component`) whose components differ, reached by
         pairs of components, so that a component's own groups never meet. A component with one group meets
-        the other as a whole, once for all keys they share; of two larger ones only groups of a key meet."""
-        few = cells.groupBy("key", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        the other as a whole, once for all keys they share; of two larger ones only groups of a key meet.
+        `by_late`: the keys are frequent shingles, so what two groups may share is bounded."""
+        allow = _late_allow if by_late else lambda n_a, f_a, n_b, f_b: _sizes_allow(n_a, n_b)
+        few = cells.groupBy("key", "component").agg(
+            F.min("n").alias("low"), F.max("n").alias("high"), F.max("f").alias("most")
+        )
         mixed_keys = few.groupBy("key").agg(F.count("*").alias("parts")).where("parts > 1").select("key")
         cells = cells.join(mixed_keys, "key", "left_semi")
         few = few.join(mixed_keys, "key", "left_semi").join(single, "component")
@@ -408,29 +460,31 @@ def _apart(members: DataFrame, group_pairs: DataFrame, late: DataFrame) -> DataF
             F.col("component").alias("other"),
             F.col("low").alias("low_b"),
             F.col("high").alias("high_b"),
+            F.col("most").alias("most_b"),
             F.col("lone").alias("lone_b"),
         )
         near = (WHOLE * F.col("high") >= PART * F.col("low_b")) & (WHOLE * F.col("high_b") >= PART * F.col("low"))
+        if by_late:
+            near &= (WHOLE + PART) * F.least("most", "most_b") >= PART * (F.col("low") + F.col("low_b"))
         meet = few.join(other, "key").where((F.col("component") < F.col("other")) & near)
         meet = meet.select("key", "component", "other", (F.col("lone") | F.col("lone_b")).alias("simple"))
-        a = cells.select("key", "component", F.col("group").alias("a"), F.col("n").alias("n_a"))
-        b = cells.select("key", F.col("component").alias("other"), F.col("group").alias("b"), F.col("n").alias("n_b"))
-        sized = members.select("component", "group", "n").distinct()
-        all_a = sized.select("component", F.col("group").alias("a"), F.col("n").alias("n_a"))
-        all_b = sized.select(F.col("component").alias("other"), F.col("group").alias("b"), F.col("n").alias("n_b"))
+        of = lambda df, x, key, *more: df.select(
+            *more, F.col("component").alias(key), F.col("group").alias(x), F.col("n").alias(f"n_{x}"), F.col("f").alias(f"f_{x}")
+        )
+        allowed = allow(F.col("n_a"), F.col("f_a"), F.col("n_b"), F.col("f_b"))
         simple = meet.where("simple").select("component", "other").distinct()
-        simple = simple.join(all_a, "component").join(all_b, "other")
-        rest = meet.where("NOT simple").join(a, ["key", "component"]).join(b, ["key", "other"])
-        columns = ["a", "component", "b", "other", "n_a", "n_b"]
-        both = simple.select(*columns).union(rest.select(*columns))
-        return both.where(_sizes_allow(F.col("n_a"), F.col("n_b"))).select("a", "component", "b", "other").distinct()
-
-    by_shingle = late.join(parts, "group").withColumnRenamed("shingle", "key")
-    by_group = members.select(F.col("group").alias("key"), "group", "n", "component").distinct()
-    of_a = parts.select(F.col("group").alias("a"), "component")
-    of_b = parts.select(F.col("group").alias("b"), F.col("component").alias("other"))
-    rare = group_pairs.join(of_a, "a").join(of_b, "b").where("component <> other").select("a", "component", "b", "other")
-    meet = pairs_of(by_shingle).union(pairs_of(by_group)).union(rare).distinct()
+        simple = simple.join(of(groups, "a", "component"), "component").join(of(groups, "b", "other"), "other").where(allowed)
+        rest = meet.where("NOT simple").join(of(cells, "a", "component", "key"), ["key", "component"])
+        rest = rest.join(of(cells, "b", "other", "key"), ["key", "other"]).where(allowed)
+        columns = ["a", "component", "b", "other"]
+        return simple.select(*columns).union(rest.select(*columns)).distinct()
+
+    by_shingle = late.join(groups.select("group", "component"), "group").withColumnRenamed("shingle", "key")
+    by_group = groups.withColumn("key", F.col("group"))
+    of_a = groups.select(F.col("group").alias("a"), "component")
+    of_b = groups.select(F.col("group").alias("b"), F.col("component").alias("other"))
+    rare = rare.join(of_a, "a").join(of_b, "b").where("component <> other").select("a", "component", "b", "other")
+    meet = pairs_of(by_shingle, True).union(pairs_of(by_group, False)).union(rare).distinct()
     class_a = members.select(F.col("group").alias("a"), "component", F.col("class").alias("class_a"))
     class_b = members.select(F.col("group").alias("b"), F.col("component").alias("other"), F.col("class").alias("class_b"))
     return (
@@ -441,15 +495,18 @@ def _apart(members: DataFrame, group_pairs: DataFrame, late: DataFrame) -> DataF
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents with all their columns, of each component only the one with the least doc_id.
-    Documents without shingles or without doc_id stay; rows that repeat the doc_id that stays are
-    brought down to one."""
-    found = stored(linked_documents(docs), "linked")
-    gone = found.where((F.col("component_id") != F.col("doc_id")) & (F.col("n_shingles") > 0))
-    gone = gone.select(F.col("doc_id").alias("gone")).distinct()
-    named = found.where("doc_id IS NOT NULL AND n_shingles > 0")
-    again = named.groupBy(F.col("doc_id").alias("again")).agg(F.count("*").alias("times")).where("times > 1")
-    rows = nested(docs, id=F.col("doc_id")).join(gone, F.col("id") == F.col("gone"), "left_anti")
-    single = rows.join(again, F.col("id") == F.col("again"), "left_anti")
-    several = rows.join(again, F.col("id") == F.col("again"), "left_semi").dropDuplicates(["id"])
+    """The documents with all their columns, of each component only the row with the least doc_id (of
+    several with it, one). Documents without shingles or without doc_id stay. Rows are told apart by doc_id
+    and text: of rows that repeat both one stays, and a row whose doc_id another bears with an unrelated
+    text is judged by its own."""
+    found = stored(_linked(docs), "linked").where("doc_id IS NOT NULL AND n_shingles > 0")
+    found = found.select("component", F.struct("doc_id", "hash").alias("pair"))
+    kept = found.groupBy("component").agg(F.min("pair").alias("pair")).select("pair.*")
+    named = found.select("pair.*")
+    gone = named.join(kept, ["doc_id", "hash"], "left_anti").distinct().toDF("of", "with")
+    again = named.groupBy("doc_id", "hash").agg(F.count("*").alias("times")).where("times > 1").drop("times").toDF("of", "with")
+    same = (F.col("id") == F.col("of")) & (F.col("text_hash") == F.col("with"))
+    rows = nested(docs, id=F.col("doc_id"), text_hash=_text_hash(F.col("text"))).join(gone, same, "left_anti")
+    single = rows.join(again, same, "left_anti")
+    several = rows.join(again, same, "left_semi").dropDuplicates(["id", "text_hash"])
     return single.union(several).select("row.*")

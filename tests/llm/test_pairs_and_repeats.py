@@ -109,3 +109,37 @@ def test_passages_of_fifty_words_and_short_copies_go(spark):
 @pytest.mark.parametrize("operator", [jaccard.linked_documents, jaccard.one_of_each, repeats.trimmed, repeats.without_repeats, chunks.deduplicated])
 def test_empty_tables(no_docs, operator):
     assert operator(no_docs).count() == 0
+
+
+def near_copies(seed, copies, most):
+    """Copies of two texts with up to `most` of their words changed, dropped or added, some of them twice."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    bases = [[word() for _ in range(120)], [word() for _ in range(60)]]
+    rows = []
+    for k in range(copies):
+        words = list(rng.choice(bases))
+        for _ in range(rng.randrange(most)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.choice([0, 1, 1, 1])] = [word()] * rng.choice([0, 1, 1, 1])
+        rows += [(k, " ".join(words))] * rng.choice([1, 1, 1, 2])
+    return rows
+
+
+@pytest.mark.parametrize("seed,most", [(1, 4), (2, 9), (3, 14)])
+def test_jaccard_of_many_near_copies(spark, seed, most):
+    rows = near_copies(seed, 160, most)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(jaccard.linked_documents(docs)) == brute.jaccard_components(rows)
+
+
+def test_rows_of_one_doc_id_are_judged_by_their_texts(spark):
+    rng = random.Random(9)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(40))
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, c), (3, a), (None, b), (None, None), (4, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard.one_of_each(docs).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
+        [(1, a), (1, b), (3, c), (None, b), (None, None), (4, None), (4, None)], key=str
+    )
