@@ -216,7 +216,10 @@ def _verified(found: DataFrame, coverage: float) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item, with all their columns."""
-    held = leaks(docs, benchmark).select(F.col("doc_id").alias("held")).distinct()
-    rows = nested(docs, id=F.col("doc_id")).join(held, F.col("id").eqNullSafe(F.col("held")), "left_anti")
-    return rows.select("row.*")
+    """The documents that hold no item, with all their columns. Rows are judged by doc_id and text: rows that
+    share a doc_id, or have none, go or stay each for its own text. Cases as for `leaks`."""
+    named = F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    held = leaks(docs.select(named.alias("doc_id"), "text"), benchmark).select("doc_id.*").distinct().toDF("of", "with")
+    rows = nested(docs, id=F.col("doc_id"), text_hash=named["text_hash"])
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("with"))
+    return rows.join(held, same, "left_anti").select("row.*")

@@ -44,20 +44,22 @@ from rivulet.llm.blocks import (
     range_of,
     ranges_of,
 )
-from rivulet.llm.bytetext import SubstringHash, distinct_in_rows, lower_ascii, mixed, text_slices, word_spans
+from rivulet.llm.bytetext import SubstringHash, distinct_in_rows, give_back, lower_ascii, mixed, text_slices, word_spans
 from rivulet.llm.components import components
 from rivulet.llm.tables import forget, nested, stored
 
 SHINGLE = 5
 FREQUENT = 24
-LEADERS = 8
+LEADERS = 4
+# Bytes of text that are worked on at a time.
+SLICE = 1 << 19
 CELLS = 256
 WHOLE, PART = 4, 3  # a link: WHOLE * intersection >= PART * union
 
 
 def shingles(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, rows, row within, hash) of all shingles of whole texts."""
-    for first, count, data, offsets in text_slices(texts):
+    for first, count, data, offsets in text_slices(texts, SLICE):
         data = lower_ascii(data)
         starts, ends, rows = word_spans(data, offsets)
         words = SubstringHash(data).of(starts, ends)
@@ -69,6 +71,7 @@ def shingles(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         hashes = SubstringHash(words, seed=3)
         found = np.concatenate([hashes.of(at, at + SHINGLE), hashes.of(begin[short], begin[short + 1])])
         yield first, count, np.concatenate([rows[at], short]), found
+    give_back()
 
 
 class Sets:

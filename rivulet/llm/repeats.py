@@ -36,18 +36,20 @@ from rivulet.llm.blocks import (
     range_of,
     ranges_of,
 )
-from rivulet.llm.bytetext import SubstringHash, text_slices
+from rivulet.llm.bytetext import SubstringHash, give_back, text_slices
 from rivulet.llm.spans import digested, kept_bytes, keyed, only_keys, with_spans
 from rivulet.llm.suffixes import key_hash, keyed_suffixes, neighbours_agree
 from rivulet.llm.tables import forget, nested, stored
 
 LENGTH = 400
 PHRASE_FILTER_BITS = 1 << 26
+# Bytes of text that are worked on at a time.
+SLICE = 1 << 19
 
 
 def _phrases(texts: pa.Array):
     """(first row, rows, bytes, offsets, hashes, anchors, hashes of their phrases)."""
-    for first, count, data, offsets in text_slices(texts):
+    for first, count, data, offsets in text_slices(texts, SLICE):
         found = anchors(data, offsets)
         hashes = SubstringHash(data)
         _, place, following, _, _ = found
@@ -55,6 +57,7 @@ def _phrases(texts: pa.Array):
         some = following >= 0
         phrase[some] = hashes.of(place[some], following[some])
         yield first, count, data, offsets, hashes, found, phrase
+    give_back()
 
 
 def repeated_phrases(docs: DataFrame) -> np.ndarray:

@@ -115,7 +115,8 @@ def severity_grades(labels: DataFrame) -> DataFrame:
 
 def labelled_sample(docs: DataFrame, grades: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
     """grade, weight and text of at most about `most` labelled documents, the same number of each
-    grade where there are enough."""
+    grade where there are enough. Labels of documents that are not in `docs` take no part."""
+    grades = grades.join(docs.select("doc_id"), "doc_id", "left_semi")
     counts = {row["grade"]: row["n"] for row in grades.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     parts, left = None, most
     for done, grade in enumerate(sorted(counts, key=lambda g: (counts[g], g))):

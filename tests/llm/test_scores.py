@@ -182,3 +182,20 @@ def test_every_planted_item_is_found(spark):
     held = {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, items).collect()}
     texts = [(r.doc_id, r.text) for r in docs.collect()]
     assert held >= {(d, r.item_id) for r in items.collect() for d, t in texts if r.text in t}
+
+
+def test_rows_of_one_doc_id_leak_each_for_itself(spark):
+    rows = [(None, QUESTION), (None, "nothing of that kind here"), (5, "clean words only"), (5, QUESTION), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(9, QUESTION)], "item_id long, text string")
+    kept = decontamination.without_leaks(docs, items).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([rows[1], rows[2], rows[4]], key=str)
+
+
+def test_labels_of_other_documents_take_no_room(spark):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(40)], "doc_id long, text string")
+    own = [(k, 1, k % 2) for k in range(40)]
+    other = [(1000 + k, 1, k % 2) for k in range(4000)]
+    grades = toxicity.severity_grades(spark.createDataFrame(own + other, "doc_id long, quality int, toxic int"))
+    assert toxicity.labelled_sample(docs, grades, most=60).count() == 40
+    assert toxicity.labelled_sample(docs, grades, most=10).count() == 10
