@@ -25,6 +25,14 @@ def _towards_least(edges: DataFrame, only_smaller: bool) -> DataFrame:
     return handed.where(F.col("a") != F.col("b")).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other that hangs on none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1))).groupBy("node")
+    ends = ends.agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return ends.where("hangs > 1 OR hangs = 1 AND holds = 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of `edges` (a, b); a component is named by its least node.
 
@@ -34,14 +42,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = stored(edges.where(F.col("a") != F.col("b")).distinct(), "links")
-    seen = None
-    while True:
-        facts = edges.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("a")
-        ).first()
-        if facts[0] == 0 or tuple(facts) == seen:
-            stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-            return stars.union(edges.select(F.col("b"), F.col("b"))).distinct()
-        seen = tuple(facts)
+    while not _stars(edges):
         before, edges = edges, stored(_towards_least(_towards_least(edges, False), True), "links")
         forget(before)
+    ends = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return ends.union(edges.select(F.col("b"), F.col("b"))).distinct()

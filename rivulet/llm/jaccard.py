@@ -424,14 +424,13 @@ def _with_leaders(late: DataFrame) -> DataFrame:
     are copies of. Each group meets the leaders of two of its shingles."""
     sized = late.withColumn("band", _band(F.col("n")))
     rare = (F.col("n") - F.col("f")) / F.col("n")
-    kinds = [F.min_by("group", F.xxhash64("group", F.lit(k))) for k in range(LEADERS // 2)]
+    told = F.struct(F.col("group").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b"))
+    kinds = [F.min_by(told, F.xxhash64("group", F.lit(k))) for k in range(LEADERS // 2)]
     # The plainest group of each of a few parts of the groups.
     part = F.pmod(F.xxhash64("group"), F.lit(LEADERS // 2))
-    kinds += [F.min_by(F.when(part == k, F.col("group")), F.when(part == k, F.struct(rare, F.xxhash64("group")))) for k in range(LEADERS // 2)]
+    kinds += [F.min_by(F.when(part == k, told), F.when(part == k, F.struct(rare, F.xxhash64("group")))) for k in range(LEADERS // 2)]
     leaders = sized.groupBy("shingle", "band").agg(F.array_distinct(F.array_compact(F.array(*kinds))).alias("leaders"))
-    leaders = leaders.select("shingle", "band", F.explode("leaders").alias("b"))
-    facts = late.select(F.col("group").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b")).distinct()
-    leaders = leaders.join(facts, "b")
+    leaders = leaders.select("shingle", "band", F.explode("leaders").alias("of")).select("shingle", "band", "of.*")
     two = F.array_distinct(F.array(F.min_by("shingle", "nth"), F.max_by("shingle", "nth")))
     early = late.withColumn("nth", F.xxhash64("shingle")).groupBy("group", "n", "f").agg(two.alias("shingles"))
     near = F.array(*[_band(F.col("n")) + k for k in (-1, 0, 1)])
@@ -480,7 +479,7 @@ def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
         rest = meet.where("NOT simple").join(of(cells, "a", "component", "key"), ["key", "component"])
         rest = rest.join(of(cells, "b", "other", "key"), ["key", "other"]).where(allowed)
         columns = ["a", "component", "b", "other"]
-        return simple.select(*columns).union(rest.select(*columns)).distinct()
+        return simple.select(*columns).union(rest.select(*columns))
 
     by_shingle = late.join(groups.select("group", "component"), "group").withColumnRenamed("shingle", "key")
     by_group = groups.withColumn("key", F.col("group"))
