@@ -2,12 +2,13 @@
 
 The sketch of a metric is a histogram over buckets that keep the first `SKETCH_BITS` bits of a whole
 number, so a quantile is off by at most 2**(1 - SKETCH_BITS) of its value. Sketches merge by adding
-counts: per task, then per language and source, then (for a group too small to judge itself) per
-language and over everything. Nothing is sampled and the order of merging leaves no trace.
+counts: per task, then per language and source, then per language and over everything. Nothing is
+sampled and the order of merging leaves no trace.
 
-A group holds out what is far above its own habit: above the upper quartile by more than `SPREAD`
-times the distance from the median to it. A floor per metric keeps a group of even documents from
-holding out the slightest difference.
+A group holds out what is far above its own habit: above one and a half times the rate that 99 of 100 of
+its documents stay within. That quantile is drawn towards the one of the language, and that towards
+the one of all documents, each as if `PRIOR` documents of the wider group were in it: a large group
+decides alone, a small one hardly, and none by a switch. No fixed number takes part.
 
 Only DataFrame functions are used.
 """
@@ -20,14 +21,14 @@ from pyspark.sql import functions as F
 from rivulet.llm.tables import let, stored
 
 SKETCH_BITS = 7
-SPREAD = 3
-SMALL_GROUP = 200
+QUANTILE = 99  # of a hundred
+PRIOR = 200
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\f\r"
 
-# Rates per thousand that a document may always reach.
-FLOORS = {"symbol_rate": 50, "line_rate": 500, "repeat_rate": 200, "length_rate": 15_000}
+# Rates per thousand, each judged by its own quantiles.
+METRICS = ["symbol_rate", "line_rate", "repeat_rate", "length_rate"]
 MIN_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 
@@ -168,41 +169,28 @@ def merged(sketch: DataFrame, by: list[str]) -> DataFrame:
     return sketch.groupBy(*by, "metric", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """Per group and metric: rows, median, upper quartile and the fence above them."""
+def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """Per group and metric: rows and the bucket that `QUANTILE` of a hundred rows do not exceed."""
     upto = Window.partitionBy(*by, "metric").orderBy("bucket")
     ranked = sketch.withColumns(
         {"upto": F.sum("n").over(upto), "rows": F.sum("n").over(Window.partitionBy(*by, "metric"))}
     )
-    floor = F.create_map(*[F.lit(x) for pair in FLOORS.items() for x in pair])
-    return (
-        ranked.groupBy(*by, "metric")
-        .agg(
-            F.max("rows").alias("rows"),
-            F.min(F.when(F.col("upto") * 2 >= F.col("rows"), F.col("bucket"))).alias("q50"),
-            F.min(F.when(F.col("upto") * 4 >= F.col("rows") * 3, F.col("bucket"))).alias("q75"),
-        )
-        .withColumn(
-            "fence",
-            F.greatest(F.col("q75") + SPREAD * (F.col("q75") - F.col("q50")), F.element_at(floor, F.col("metric"))),
-        )
-    )
+    reached = F.when(F.col("upto") * 100 >= F.col("rows") * QUANTILE, F.col("bucket"))
+    return ranked.groupBy(*by, "metric").agg(F.max("rows").alias("rows"), F.min(reached).alias("high"))
 
 
 def thresholds(metrics: DataFrame) -> DataFrame:
-    """Fences of every language and source, one column per metric. A group of fewer than
-    `SMALL_GROUP` documents takes those of its language, and that failing those of all documents."""
-    names = list(FLOORS)
-    fine = sketches(metrics, ["lang", "source"], names)
+    """What documents of every language and source may reach, one column (`most_...`) per metric."""
+    fine = sketches(metrics, ["lang", "source"], METRICS)
     by_lang = merged(fine, ["lang"])
 
     def wide(sketch: DataFrame, by: list[str], prefix: str) -> DataFrame:
         return (
-            fences(sketch, by)
+            quantiles(sketch, by)
             .groupBy(*by)
             .agg(
                 F.max("rows").alias(prefix + "rows"),
-                *[F.max(F.when(F.col("metric") == n, F.col("fence"))).alias(prefix + n) for n in names],
+                *[F.max(F.when(F.col("metric") == n, F.col("high"))).alias(prefix + n) for n in METRICS],
             )
         )
 
@@ -212,14 +200,14 @@ def thresholds(metrics: DataFrame) -> DataFrame:
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
     joined = joined.withColumn("all", F.lit(0)).join(every, "all", "left")
 
-    def chosen(name: str) -> Column:
-        return (
-            F.when(F.col("own_rows") >= SMALL_GROUP, F.col("own_" + name))
-            .when(F.col("lang_rows") >= SMALL_GROUP, F.col("lang_" + name))
-            .otherwise(F.col("all_" + name))
-        )
+    def drawn(prefix: str, name: str, towards: Column) -> Column:
+        rows = F.col(prefix + "rows")
+        return F.floor((rows * F.col(prefix + name) + PRIOR * towards) / (rows + PRIOR))
 
-    return joined.select("lang", "source", *[chosen(n).alias("most_" + n) for n in names])
+    def most(name: str) -> Column:
+        return F.floor(drawn("own_", name, drawn("lang_", name, F.col("all_" + name))) * 3 / 2)
+
+    return joined.select("lang", "source", *[most(n).alias("most_" + n) for n in METRICS])
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -230,14 +218,15 @@ def judged(docs: DataFrame) -> DataFrame:
     repeat are judged alike. An empty table gives no rows.
     """
     metrics = stored(rates(measured(docs)), "quality-counts")
-    limits = thresholds(metrics).withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
-    # One row per language and source.
-    of_group = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
+    # What the base holds out takes no part in the habits of its group.
+    limits = thresholds(metrics.where(~base_failed)).withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
+    # One row per language and source.
+    of_group = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
     within = F.lit(True)
-    for name in FLOORS:
+    for name in METRICS:
         within = within & (F.col(name) <= F.col("most_" + name))
     return metrics.join(limits, of_group, "left").select(
         "doc_id",
@@ -247,7 +236,7 @@ def judged(docs: DataFrame) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         base_failed.alias("base_failed"),
-        (~base_failed & within).alias("kept"),
+        (~base_failed & F.coalesce(within, F.lit(False))).alias("kept"),
     )
 
 
@@ -259,12 +248,13 @@ _RATES = {
 }
 
 
-def _fence_sql(name: str, alias: str, by: str) -> str:
+def _quantile_sql(name: str, alias: str, by: str) -> str:
     return f"""{alias}_{name} AS (
-    SELECT {by}, greatest(q75 + {SPREAD} * (q75 - q50), {FLOORS[name]}) AS fence, n FROM (
-        SELECT {by}, quantile_disc(b, 0.5) AS q50, quantile_disc(b, 0.75) AS q75, count(*) AS n
+    SELECT {by}, max(n) AS n, min(b) AS q FROM (
+        SELECT {by}, b, count(*) OVER (PARTITION BY {by} ORDER BY b) AS upto, count(*) OVER (PARTITION BY {by}) AS n
         FROM (SELECT {by}, ({name} >> greatest(length(bin({name})) - {SKETCH_BITS}, 0))
-                     << greatest(length(bin({name})) - {SKETCH_BITS}, 0) AS b FROM m) GROUP BY {by}))"""
+                     << greatest(length(bin({name})) - {SKETCH_BITS}, 0) AS b FROM m WHERE NOT base_failed))
+    WHERE upto * 100 >= n * {QUANTILE} GROUP BY {by})"""
 
 
 SQL = (
@@ -290,30 +280,26 @@ WITH w AS (
            len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
     FROM w LEFT JOIN p USING (row_id)
 ), m AS (
-    SELECT *, """
+    SELECT *, 0 AS whole, n_words < """
+    + f"{MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words AS base_failed, "
     + ", ".join(f"{expression} AS {name}" for name, expression in _RATES.items())
     + """ FROM c
 ), """
     + ", ".join(
-        _fence_sql(name, alias, by)
-        for name in FLOORS
-        for alias, by in (("own", "lang, source"), ("lang", "lang"), ("every", "0"))
-    ).replace("SELECT 0, ", "SELECT ")
-    .replace(" GROUP BY 0", "")
+        _quantile_sql(name, alias, by)
+        for name in METRICS
+        for alias, by in (("own", "lang, source"), ("lang", "lang"), ("every", "whole"))
+    )
     + f"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words AS base_failed,
-       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words)"""
+       base_failed, NOT base_failed"""
     + "".join(
         f"""
-       AND {name} <= (SELECT CASE WHEN own_{name}.n >= {SMALL_GROUP} THEN own_{name}.fence
-                                  WHEN lang_{name}.n >= {SMALL_GROUP} THEN lang_{name}.fence
-                                  ELSE every_{name}.fence END
-                      FROM own_{name}, lang_{name}, every_{name}
-                      WHERE own_{name}.lang IS NOT DISTINCT FROM m.lang
-                        AND own_{name}.source IS NOT DISTINCT FROM m.source
-                        AND lang_{name}.lang IS NOT DISTINCT FROM m.lang)"""
-        for name in FLOORS
+       AND {name} <= (SELECT ((o.n * o.q + {PRIOR} * ((l.n * l.q + {PRIOR} * e.q) // (l.n + {PRIOR}))) // (o.n + {PRIOR})) * 3 // 2
+                      FROM own_{name} o, lang_{name} l, every_{name} e
+                      WHERE o.lang IS NOT DISTINCT FROM m.lang AND o.source IS NOT DISTINCT FROM m.source
+                        AND l.lang IS NOT DISTINCT FROM m.lang)"""
+        for name in METRICS
     )
     + """ AS kept
 FROM m

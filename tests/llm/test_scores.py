@@ -199,3 +199,38 @@ def test_labels_of_other_documents_take_no_room(spark):
     grades = toxicity.severity_grades(spark.createDataFrame(own + other, "doc_id long, quality int, toxic int"))
     assert toxicity.labelled_sample(docs, grades, most=60).count() == 40
     assert toxicity.labelled_sample(docs, grades, most=10).count() == 10
+
+
+def metric_rows(spark, rows):
+    kinds = "lang string, source string, symbol_rate long, line_rate long, repeat_rate long, length_rate long"
+    return spark.createDataFrame([(lang, source, x, 2 * x, 3 * x, 4000 + x) for lang, source, x in rows], kinds)
+
+
+def test_thresholds_follow_each_group(spark):
+    rng = np.random.default_rng(4)
+    habit = {("en", "a"): 10, ("en", "b"): 100, ("de", "a"): 40, (None, None): 70}
+    rows = [(*g, int(x)) for g, top in habit.items() for x in rng.integers(0, top, 3000)] + [("en", "tiny", 900)] * 3
+    limits = {(r.lang, r.source): r for r in quality.thresholds(metric_rows(spark, rows)).collect()}
+    assert set(limits) == {*habit, ("en", "tiny")}
+    for group, top in habit.items():
+        assert 1.2 * top < limits[group].most_symbol_rate < 2.2 * top + 15
+        assert limits[group].most_line_rate > 1.5 * limits[group].most_symbol_rate
+    # Three documents hardly move what their language does.
+    assert abs(limits["en", "tiny"].most_symbol_rate - 150) < 30
+    # A group whose rates are ten times as high has thresholds to match; the others keep theirs.
+    scaled = [(lang, source, 10 * x if (lang, source) == ("de", "a") else x) for lang, source, x in rows]
+    moved = {(r.lang, r.source): r for r in quality.thresholds(metric_rows(spark, scaled)).collect()}
+    assert moved["de", "a"].most_symbol_rate > 8 * limits["de", "a"].most_symbol_rate
+    assert abs(moved["en", "b"].most_symbol_rate - limits["en", "b"].most_symbol_rate) <= 40
+
+
+def test_verdicts_follow_the_group(spark):
+    """The same text is kept where such texts are common and held out where they are not."""
+    plain = " ".join(f"word{k}" for k in range(40))
+    marked = " ".join(f"word{k}##" for k in range(40))
+    rows = [(k, f"{plain} {k}", "en", "plain") for k in range(2000)] + [(3000 + k, f"{marked} {k}", "de", "marked") for k in range(2000)]
+    rows += [(9000, marked, "en", "plain"), (9001, marked, "de", "marked")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r.kept for r in quality.judged(docs).collect()}
+    assert found[9001] and not found[9000]
+    assert sum(found.values()) == len(rows) - 1
