@@ -2,14 +2,19 @@
 
 Every token is predicted from three features of what stands before it: the last word, the last two, and
 the last but one alone (a skip). The softmax is factored by classes: the `CLASSES` * `MEMBERS` most
-frequent tokens fall into classes by frequency, all other words are one class more. A class is drawn by
-the features, then a member by features and class; a word of the last class is drawn by its smoothed
-count. So the probabilities of all words add up to one.
-
-Weights stand in two tables whose rows are hashes of a feature, and of a feature with a class; a row
-holds a weight for every class or member. They start at the counts and are trained in `ROUNDS` rounds
-of distributed updates: each task takes gradient steps over its share of the round, and the steps of all
-tasks are averaged row by row. The rounds part the training tokens: each is in one gradient step.
+frequent tokens fall into classes by frequency, the rest of the `HEAD` into `BANDS` bands of about equal
+token counts, all other words, those met once among them, are one class more. A class is drawn by the features, then a member by
+features and class; a word of a band or of the last class is drawn by its (smoothed) count. So the
+probabilities of all words add up to one.
+
+Weights stand in two tables whose rows are hashes of a feature, and of a feature within a class; a row
+holds a weight for every class or member. The tables grow with the square root of the training tokens, up to
+`MOST_ROWS`. Every round sums the gradient (how often a class or member follows a row's features, less
+how often the weights expect it to) over all training tokens and tasks, and takes one step, in which each
+weight has its own rate: `PACE` over the logarithmic mean of the two counts. Before the first round
+all weights are zero and what they expect is known, so that round only counts. Sums do not depend on how the
+texts are spread over tasks, but for the rounding of floating-point sums; they are added up by groups
+of tasks first.
 
 Counts are exact and cover all training texts. They meet by range of the word's hash. The
 `HEAD` most frequent words travel to the tasks (a bound of 5 MB); rarer tokens travel to the counts.
@@ -18,10 +23,11 @@ Counts are exact and cover all training texts. They meet by range of the word's
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +36,13 @@ from rivulet.llm.bytetext import SubstringHash, lower_ascii, mixed, text_slices,
 from rivulet.llm.tables import stored
 
 HEAD = 1 << 18
-CLASSES, MEMBERS = 32, 32
-CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 14
-ROUNDS, RATE = 2, 0.3
+CLASSES, MEMBERS, BANDS = 32, 32, 7
+INSIDE, LAST = CLASSES * MEMBERS, CLASSES + BANDS
+LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 19
+ROUNDS, PACE, PRIOR = 2, (0.5, 0.5), 60.0
 BATCH = 1 << 13
+# Rows of a table in one message, and tasks whose messages meet first.
+PIECE, TOGETHER = 1 << 9, 32
 SMOOTH = 0.1
 END = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,16 +91,17 @@ def counted(docs: DataFrame) -> DataFrame:
 class Model:
     hashes: np.ndarray  # of the head, ascending
     counts: np.ndarray
-    ids: np.ndarray  # place in the classes, -1 for words outside of them
+    ids: np.ndarray  # place in the classes; from INSIDE on, the band
     total: int  # tokens
     words: int  # distinct tokens
+    masses: np.ndarray  # tokens of each band
     class_bias: np.ndarray
     member_bias: np.ndarray
-    class_rows: np.ndarray
-    member_rows: np.ndarray
+    class_rows: np.ndarray  # row, class
+    member_rows: np.ndarray  # class, row, member
 
     def looked_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts and places in the classes; -1 where a token is not in the head."""
+        """Counts and places; -1 where a token is not in the head."""
         if not len(self.hashes):
             return np.full(len(found), -1), np.full(len(found), -1)
         at = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
@@ -103,24 +113,35 @@ class Model:
 
     def rest(self, counts: np.ndarray) -> np.ndarray:
         """log10 of a word's share of the last class."""
-        inside = self.ids >= 0
-        tokens, words = self.total - self.counts[inside].sum(), self.words - inside.sum()
+        tokens, words = self.total - self.counts.sum(), self.words - len(self.counts)
         return np.log10((counts + SMOOTH) / (tokens + SMOOTH * (words + 1)))
 
-    def class_logits(self, features: np.ndarray) -> np.ndarray:
+    def class_places(self, features: np.ndarray) -> np.ndarray:
+        return (features % np.uint64(len(self.class_rows))).astype(np.int64)
+
+    def member_places(self, features: np.ndarray) -> np.ndarray:
+        """Rows within the class; other bits of the feature than for the class."""
+        return (features >> np.uint64(20)).astype(np.int64) % self.member_rows.shape[1]
+
+    def class_logits(self, at: np.ndarray) -> np.ndarray:
         rows = self.class_rows
-        x = rows[features[:, 0] % CLASS_ROWS] + rows[features[:, 1] % CLASS_ROWS]
-        x += rows[features[:, 2] % CLASS_ROWS]
+        x = rows[at[:, 0]] + rows[at[:, 1]]
+        x += rows[at[:, 2]]
         x += self.class_bias
         return x
 
-    def member_logits(self, features: np.ndarray, of: np.ndarray) -> np.ndarray:
-        at = member_places(features, of)
-        x = self.member_rows[at[:, 0]] + self.member_rows[at[:, 1]] + self.member_rows[at[:, 2]]
+    def member_logits(self, at: np.ndarray, of: np.ndarray) -> np.ndarray:
+        rows = self.member_rows
+        x = rows[of, at[:, 0]] + rows[of, at[:, 1]]
+        x += rows[of, at[:, 2]]
         x += self.member_bias[of]
         return x
 
 
+def classes_of(ids: np.ndarray) -> np.ndarray:
+    return np.where(ids < 0, LAST, np.where(ids < INSIDE, ids // MEMBERS, ids - INSIDE + CLASSES))
+
+
 def context_features(rows: np.ndarray, found: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Hashes of the features of the chosen tokens: last word, last two, last but one."""
     n = len(found)
@@ -131,140 +152,156 @@ def context_features(rows: np.ndarray, found: np.ndarray, chosen: np.ndarray) ->
     return np.stack([mixed(one + np.uint64(1)), mixed(one * np.uint64(3) ^ mixed(two)), mixed(two + np.uint64(2))], axis=1)
 
 
-def member_places(features: np.ndarray, of: np.ndarray) -> np.ndarray:
-    salt = (of.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95)
-    return ((features ^ salt[:, None]) >> np.uint64(20)) % np.uint64(MEMBER_ROWS)
-
-
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(axis=1, keepdims=True)
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
 def started(vocabulary: DataFrame) -> Model:
     """The model of the counts alone."""
     facts = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = vocabulary.orderBy(F.col("n").desc(), "hash").limit(HEAD).select("hash", "n").toArrow()
+    # Words met once stand for those not met: both are in the last class.
+    head = vocabulary.where("n > 1").orderBy(F.col("n").desc(), "hash").limit(HEAD).select("hash", "n").toArrow()
     hashes = head.column("hash").to_numpy().view(np.uint64)
     counts = head.column("n").to_numpy().astype(np.int64)
-    inside = min(CLASSES * MEMBERS, len(hashes))
-    weights = np.zeros(CLASSES * MEMBERS)
+    inside = min(INSIDE, len(hashes))
+    weights = np.zeros(INSIDE)
     weights[:inside] = counts[:inside]
     weights = weights.reshape(CLASSES, MEMBERS)
-    rest = facts[0] - weights.sum() + SMOOTH
-    sums = np.append(weights.sum(axis=1), rest)
-    ids = np.where(np.arange(len(hashes)) < inside, np.arange(len(hashes)), -1)
+    others = counts[inside:]
+    # Bands are cut where the running count passes a share of the whole.
+    before = np.cumsum(others) - others
+    band = before * BANDS // max(int(others.sum()), 1)
+    ids = np.append(np.arange(inside), INSIDE + band).astype(np.int64)
+    masses = np.bincount(band, others, minlength=BANDS)
+    last = facts[0] - counts.sum() + SMOOTH
+    sums = np.concatenate([weights.sum(axis=1), masses, [last]])
     order = np.argsort(hashes)
     with np.errstate(divide="ignore"):
         class_bias = np.maximum(np.log(sums / max(sums.sum(), 1)), -60).astype(np.float32)
-        member_bias = np.maximum(np.log(weights) - np.log(np.maximum(sums[:-1, None], 1)), -60).astype(np.float32)
+        member_bias = np.log(weights) - np.log(np.maximum(weights.sum(axis=1, keepdims=True), 1))
+    rows = min(max(LEAST_ROWS, int(facts[0] ** 0.5)), MOST_ROWS)
     return Model(
         hashes[order],
         counts[order],
         ids[order],
         int(facts[0]),
         int(facts[1]),
+        masses,
         class_bias,
-        member_bias,
-        np.zeros((CLASS_ROWS, CLASSES + 1), np.float32),
-        np.zeros((MEMBER_ROWS, MEMBERS), np.float32),
+        np.maximum(member_bias, -60).astype(np.float32),
+        np.zeros((rows, LAST + 1), np.float32),
+        np.zeros((CLASSES, max(rows // 16, 1), MEMBERS), np.float32),
     )
 
 
-class _Steps:
-    """Gradient steps of one task over a table: rows that are rarely met move as far as frequent ones."""
-
-    def __init__(self, rows: np.ndarray):
-        self.rows, self.begin = rows.copy(), rows
-        self.squares = np.full(rows.shape, 1.0, np.float32)
-        self.met = np.zeros(len(rows), bool)
+def _observed(model: Model, sums: dict, rows: np.ndarray, found: np.ndarray) -> None:
+    """Add how often each class and member follows the features of each row."""
+    _, ids = model.looked_up(found)
+    of, features = classes_of(ids), context_features(rows, found, np.arange(len(found)))
+    flat = model.class_places(features) * (LAST + 1) + of[:, None]
+    sums["class"] += np.bincount(flat.ravel(), minlength=sums["class"].size).reshape(sums["class"].shape)
+    inside = np.flatnonzero(of < CLASSES)
+    at = of[inside, None] * model.member_rows.shape[1] + model.member_places(features[inside])
+    flat = at * MEMBERS + ids[inside, None] % MEMBERS
+    sums["member"] += np.bincount(flat.ravel(), minlength=sums["member"].size).reshape(sums["member"].shape)
+
+
+def _add_rows(sums: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """Add the values of each example to all of its rows."""
+    for column in at.T:
+        # Numbers of 16 bits are sorted by their digits.
+        order = np.argsort(column.astype(np.uint16) if len(sums) <= 1 << 16 else column, kind="stable")
+        column = column[order]
+        first = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
+        sums[column[first]] += np.add.reduceat(values[order], first, axis=0)
+
+
+def _expected(model: Model, sums: dict, rows: np.ndarray, found: np.ndarray) -> None:
+    """Add how often the weights expect each class and member to follow the features of each row."""
+    _, ids = model.looked_up(found)
+    of, features = classes_of(ids), context_features(rows, found, np.arange(len(found)))
+    for k in range(0, len(found), BATCH):
+        x, target = features[k : k + BATCH], of[k : k + BATCH]
+        at = model.class_places(x)
+        _add_rows(sums["class"], at, _softmax(model.class_logits(at)))
+        inside = np.flatnonzero(target < CLASSES)
+        if len(inside):
+            at, target = model.member_places(x[inside]), target[inside]
+            p = _softmax(model.member_logits(at, target))
+            _add_rows(sums["member"], target[:, None] * model.member_rows.shape[1] + at, p)
 
-    def descend(self, at: np.ndarray, gradient: np.ndarray) -> None:
-        """`gradient` of each example in the rows `at` (several for each example)."""
-        flat = at.astype(np.int64).T.ravel()
-        order = np.argsort(flat, kind="stable")
-        flat = flat[order]
-        first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-        places = flat[first]
-        sums = np.add.reduceat(gradient[order % len(gradient)], first, axis=0)
-        squares = self.squares[places] + sums**2
-        self.squares[places] = squares
-        self.rows[places] -= RATE * sums / np.sqrt(squares)
-        self.met[places] = True
 
-    def moved(self) -> np.ndarray:
-        return self.rows - self.begin
+_SENT = "name string, at long, sums binary"
 
 
-def _update(docs: DataFrame, model: Model, turn: int) -> Model:
-    """One round: all tasks step from the same weights, and their moves are averaged."""
-    wide = {"class": CLASSES + 1, "member": MEMBERS}
-    piece = 1 << 10
+def _summed(docs: DataFrame, model: Model, add) -> dict[str, np.ndarray]:
+    """The sums that `add` makes of all texts, as large as the model's tables."""
+    wide = {"class": LAST + 1, "member": MEMBERS}
+    size = {"class": len(model.class_rows), "member": model.member_rows.shape[0] * model.member_rows.shape[1]}
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {"class": _Steps(model.class_rows), "member": _Steps(model.member_rows)}
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {name: np.zeros((size[name], wide[name])) for name in wide}
         none = True
         for batch in batches:
             for _, _, rows, found in tokens(batch.column("text")):
                 none = False
-                place = np.arange(len(found), dtype=np.uint64)
-                chosen = np.flatnonzero(mixed(found + place) % np.uint64(ROUNDS) == turn)
-                _learn(model, tables, rows, found, chosen)
+                add(model, sums, rows, found)
         if none:
             return
-        for name, table in tables.items():
-            for k in range(0, len(table.rows), piece):
-                met = table.met[k : k + piece]
-                if met.any():
-                    yield pa.RecordBatch.from_pylist(
-                        [{"name": name, "at": k, "met": met.tobytes(), "moved": table.moved()[k : k + piece].tobytes()}],
-                        schema,
-                    )
-
-    def average(data: pa.Table) -> pa.Table:
-        name, at = data.column("name")[0].as_py(), data.column("at")[0].as_py()
+        task = TaskContext.get().partitionId() // TOGETHER
+        for name, table in sums.items():
+            for k in range(0, len(table), PIECE):
+                piece = table[k : k + PIECE]
+                if piece.any():
+                    row = {"name": name, "at": k, "sums": piece.astype(np.float32).tobytes(), "task": task}
+                    yield pa.RecordBatch.from_pylist([row], schema)
+
+    def met(data: pa.Table) -> pa.Table:
         # In an order of their own, so that sums come out alike.
-        sent = sorted(zip(data.column("moved").to_pylist(), data.column("met").to_pylist()))
-        moved = sum(np.frombuffer(x, np.float32).reshape(-1, wide[name]).astype(np.float64) for x, _ in sent)
-        times = sum(np.frombuffer(x, bool).astype(np.int64) for _, x in sent)
-        mean = (moved / np.maximum(times, 1)[:, None]).astype(np.float32)
-        return pa.Table.from_pylist([{"name": name, "at": at, "moved": mean.tobytes()}])
-
-    schema = pa.schema([("name", pa.string()), ("at", pa.int64()), ("met", pa.binary()), ("moved", pa.binary())])
-    steps = docs.select("text").mapInArrow(learn, "name string, at long, met binary, moved binary")
-    steps = steps.groupBy("name", "at").applyInArrow(average, "name string, at long, moved binary")
-    grown = {"class": model.class_rows.copy(), "member": model.member_rows.copy()}
-    # The tables have a fixed size.
-    for row in steps.toArrow().to_pylist():
-        moved = np.frombuffer(row["moved"], np.float32).reshape(-1, wide[row["name"]])
-        grown[row["name"]][row["at"] : row["at"] + len(moved)] += moved
-    return Model(**{**model.__dict__, "class_rows": grown["class"], "member_rows": grown["member"]})
-
-
-def _learn(model: Model, tables: dict, rows: np.ndarray, found: np.ndarray, chosen: np.ndarray) -> None:
-    features = context_features(rows, found, chosen)
-    _, ids = model.looked_up(found[chosen])
-    of = np.where(ids >= 0, ids // MEMBERS, CLASSES)
-    for k in range(0, len(chosen), BATCH):
-        now = slice(k, k + BATCH)
-        here = Model(**{**model.__dict__, "class_rows": tables["class"].rows, "member_rows": tables["member"].rows})
-        x, target = features[now], of[now]
-        wrong = np.exp(_log_softmax(here.class_logits(x)))
-        wrong[np.arange(len(target)), target] -= 1
-        tables["class"].descend(x % CLASS_ROWS, wrong)
-        inside = np.flatnonzero(target < CLASSES)
-        if len(inside):
-            x, target = x[inside], target[inside]
-            wrong = np.exp(_log_softmax(here.member_logits(x, target)))
-            wrong[np.arange(len(target)), ids[now][inside] % MEMBERS] -= 1
-            tables["member"].descend(member_places(x, target), wrong)
+        sent = sorted(data.column("sums").to_pylist())
+        sums = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in sent).astype(np.float32)
+        return data.slice(0, 1).select(["name", "at"]).append_column("sums", pa.array([sums.tobytes()], pa.binary()))
+
+    schema = pa.schema([("name", pa.string()), ("at", pa.int64()), ("sums", pa.binary()), ("task", pa.int64())])
+    sent = docs.select("text").mapInArrow(each, f"{_SENT}, task long")
+    sent = sent.groupBy("name", "at", "task").applyInArrow(met, _SENT).groupBy("name", "at").applyInArrow(met, _SENT)
+    out = {name: np.zeros((size[name], wide[name]), np.float32) for name in wide}
+    # At most `MOST_ROWS` rows of each class table.
+    for row in sent.toArrow().to_pylist():
+        sums = np.frombuffer(row["sums"], np.float32).reshape(-1, wide[row["name"]])
+        out[row["name"]][row["at"] : row["at"] + len(sums)] = sums
+    return out
+
+
+def _step(rows: np.ndarray, bias: np.ndarray, seen: np.ndarray, expected: np.ndarray, pace: float) -> np.ndarray:
+    """`rows` after a step: seen less expected, over their logarithmic mean; `PRIOR` tokens of every row are as
+    the bias has them."""
+    prior = PRIOR * np.exp(bias) + 1e-9
+    return rows + (pace * np.log((seen + prior) / (expected + prior))).astype(np.float32)
 
 
 def trained(docs: DataFrame, vocabulary: DataFrame) -> Model:
     """The model after all rounds over `docs`, whose tokens `vocabulary` counts."""
     model = started(vocabulary)
+    members = model.member_rows.shape
+    bias = {"class": model.class_bias, "member": np.repeat(model.member_bias, members[1], axis=0)}
+    seen = _summed(docs, model, _observed)
+    expected = {name: seen[name].sum(axis=1, keepdims=True) * np.exp(bias[name]) for name in seen}
     for turn in range(ROUNDS):
-        model = _update(docs, model, turn)
+        if turn:
+            expected = _summed(docs, model, _expected)
+        class_rows = _step(model.class_rows, bias["class"], seen["class"], expected["class"], PACE[turn])
+        flat = model.member_rows.reshape(-1, MEMBERS)
+        flat = _step(flat, bias["member"], seen["member"], expected["member"], PACE[turn])
+        model = replace(model, class_rows=class_rows, member_rows=flat.reshape(members))
     return model
 
 
@@ -272,18 +309,18 @@ def _scores(model: Model, rows: np.ndarray, found: np.ndarray, counts: np.ndarra
     """log10 probability of each token; of those outside the head only that of the last class."""
     out = np.empty(len(found))
     features = context_features(rows, found, np.arange(len(found)))
-    of = np.where(ids >= 0, ids // MEMBERS, CLASSES)
+    of = classes_of(ids)
     for k in range(0, len(found), BATCH):
         now = slice(k, k + BATCH)
         x, target = features[now], of[now]
-        log = _log_softmax(model.class_logits(x))[np.arange(len(target)), target].astype(np.float64)
+        log = _log_softmax(model.class_logits(model.class_places(x)))[np.arange(len(target)), target].astype(np.float64)
         inside = np.flatnonzero(target < CLASSES)
         if len(inside):
-            member = _log_softmax(model.member_logits(x[inside], target[inside]))
+            member = _log_softmax(model.member_logits(model.member_places(x[inside]), target[inside]))
             log[inside] += member[np.arange(len(inside)), ids[now][inside] % MEMBERS]
         out[now] = log / np.log(10)
-    known = (ids < 0) & (counts >= 0)
-    out[known] += model.rest(counts[known])
+    banded = ids >= INSIDE
+    out[banded] += np.log10(counts[banded] / model.masses[ids[banded] - INSIDE])
     return out
 
 

@@ -57,10 +57,28 @@ def test_every_training_token_is_learned_from(spark):
     model = maxent.trained(docs, maxent.counted(docs))
     for t in texts:
         for _, _, rows, found in maxent.tokens(pa.array([t])):
-            at = maxent.context_features(rows, found, np.arange(len(found))) % maxent.CLASS_ROWS
+            at = model.class_places(maxent.context_features(rows, found, np.arange(len(found))))
             assert model.class_rows[at].any(axis=2).all()
 
 
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs = read(spark, "/root/testdata/sf0.001", "documents")
+    one, many = (
+        sorted((r.doc_id, r.score) for r in maxent.scored(docs.repartition(n, "doc_id")).collect())
+        for n in (1, 8)
+    )
+    assert [r[0] for r in one] == [r[0] for r in many]
+    assert np.allclose([r[1] for r in one], [r[1] for r in many], rtol=1e-4)
+
+
+def test_scores_against_a_plain_model(spark, monkeypatch, odd_docs, odd_rows):
+    monkeypatch.setattr(maxent, "HEAD", 1500)
+    found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in maxent.scored(odd_docs).collect())
+    told = sorted(brute.maxent_scores(odd_rows, 1500))
+    assert [r[:2] for r in found] == [r[:2] for r in told]
+    assert np.allclose([r[2] for r in found], [r[2] for r in told], rtol=1e-3, atol=1e-3)
+
+
 def test_probabilities_add_up(spark, odd_docs):
     docs = odd_docs.select(F.col("text")).where("text IS NOT NULL")
     vocabulary = maxent.counted(docs)
@@ -68,10 +86,12 @@ def test_probabilities_add_up(spark, odd_docs):
     words = vocabulary.toPandas()
     hashes = words["hash"].to_numpy().view(np.uint64)
     total = 0.0
-    for h in hashes:
+    for h, n in zip(hashes, words["n"]):
         found = np.array([hashes[0], hashes[1], h])
         counts, ids = model.looked_up(found)
-        total += 10 ** maxent._scores(model, np.zeros(3, int), found, counts, ids)[2]
+        score = maxent._scores(model, np.zeros(3, int), found, counts, ids)[2]
+        # A word outside the head has its share of the last class.
+        total += 10 ** (score if ids[2] >= 0 else score + model.rest(np.array([n]))[0])
     unseen = 10 ** (maxent._scores(model, np.zeros(3, int), np.array([hashes[0], hashes[1], np.uint64(5)]), np.array([0, 0, -1]), np.array([-1, -1, -1]))[2] + model.rest(np.array([0]))[0])
     assert abs(total + unseen - 1) < 1e-3
 
