@@ -40,7 +40,7 @@ CLASSES, MEMBERS, BANDS = 32, 32, 7
 INSIDE, LAST = CLASSES * MEMBERS, CLASSES + BANDS
 LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 19
 ROUNDS, PACE, PRIOR = 2, (0.5, 0.5), 60.0
-BATCH = 1 << 13
+BATCH = 1 << 14
 # Rows of a table in one message, and tasks whose messages meet first.
 PIECE, TOGETHER = 1 << 9, 32
 SMOOTH = 0.1
@@ -124,18 +124,19 @@ class Model:
         return (features >> np.uint64(20)).astype(np.int64) % self.member_rows.shape[1]
 
     def class_logits(self, at: np.ndarray) -> np.ndarray:
-        rows = self.class_rows
-        x = rows[at[:, 0]] + rows[at[:, 1]]
-        x += rows[at[:, 2]]
-        x += self.class_bias
-        return x
+        return _added(self.class_rows, at, self.class_bias)
 
     def member_logits(self, at: np.ndarray, of: np.ndarray) -> np.ndarray:
-        rows = self.member_rows
-        x = rows[of, at[:, 0]] + rows[of, at[:, 1]]
-        x += rows[of, at[:, 2]]
-        x += self.member_bias[of]
-        return x
+        at = of[:, None] * self.member_rows.shape[1] + at
+        return _added(self.member_rows.reshape(-1, MEMBERS), at, self.member_bias.take(of, axis=0))
+
+
+def _added(rows: np.ndarray, at: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    x = rows.take(at[:, 0], axis=0)
+    x += rows.take(at[:, 1], axis=0)
+    x += rows.take(at[:, 2], axis=0)
+    x += bias
+    return x
 
 
 def classes_of(ids: np.ndarray) -> np.ndarray:
@@ -152,9 +153,11 @@ def context_features(rows: np.ndarray, found: np.ndarray, chosen: np.ndarray) ->
     return np.stack([mixed(one + np.uint64(1)), mixed(one * np.uint64(3) ^ mixed(two)), mixed(two + np.uint64(2))], axis=1)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _log_chance(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax at the target of each row."""
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[np.arange(len(x)), target].astype(np.float64)
+    return chosen - np.log(np.exp(x, out=x).sum(axis=1))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -214,29 +217,31 @@ def _observed(model: Model, sums: dict, rows: np.ndarray, found: np.ndarray) ->
     sums["member"] += np.bincount(flat.ravel(), minlength=sums["member"].size).reshape(sums["member"].shape)
 
 
-def _add_rows(sums: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
-    """Add the values of each example to all of its rows."""
-    for column in at.T:
-        # Numbers of 16 bits are sorted by their digits.
-        order = np.argsort(column.astype(np.uint16) if len(sums) <= 1 << 16 else column, kind="stable")
-        column = column[order]
-        first = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
-        sums[column[first]] += np.add.reduceat(values[order], first, axis=0)
+def _add_rows(sums: np.ndarray, at: np.ndarray, values: np.ndarray, room: np.ndarray) -> None:
+    """Add the values of each example to all of its rows; `room` is used again by each call."""
+    values, of = values.T, np.ascontiguousarray(at.T)
+    room = room[: len(values), : values.shape[1]]
+    np.copyto(room, values)
+    for places in of:
+        for k, value in enumerate(room):
+            sums[:, k] += np.bincount(places, value, minlength=len(sums))
 
 
 def _expected(model: Model, sums: dict, rows: np.ndarray, found: np.ndarray) -> None:
     """Add how often the weights expect each class and member to follow the features of each row."""
     _, ids = model.looked_up(found)
     of, features = classes_of(ids), context_features(rows, found, np.arange(len(found)))
+    room = np.empty((LAST + 1, BATCH))
     for k in range(0, len(found), BATCH):
-        x, target = features[k : k + BATCH], of[k : k + BATCH]
-        at = model.class_places(x)
-        _add_rows(sums["class"], at, _softmax(model.class_logits(at)))
-        inside = np.flatnonzero(target < CLASSES)
-        if len(inside):
-            at, target = model.member_places(x[inside]), target[inside]
-            p = _softmax(model.member_logits(at, target))
-            _add_rows(sums["member"], target[:, None] * model.member_rows.shape[1] + at, p)
+        at = model.class_places(features[k : k + BATCH])
+        _add_rows(sums["class"], at, _softmax(model.class_logits(at)), room)
+    inside = np.flatnonzero(of < CLASSES)
+    places, of = model.member_places(features[inside]), of[inside]
+    room = np.empty((MEMBERS, 4 * BATCH))
+    for k in range(0, len(of), 4 * BATCH):
+        at, target = places[k : k + 4 * BATCH], of[k : k + 4 * BATCH]
+        p = _softmax(model.member_logits(at, target))
+        _add_rows(sums["member"], target[:, None] * model.member_rows.shape[1] + at, p, room)
 
 
 _SENT = "name string, at long, sums binary"
@@ -248,7 +253,8 @@ def _summed(docs: DataFrame, model: Model, add) -> dict[str, np.ndarray]:
     size = {"class": len(model.class_rows), "member": model.member_rows.shape[0] * model.member_rows.shape[1]}
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {name: np.zeros((size[name], wide[name])) for name in wide}
+        # By column, as they are added to.
+        sums = {name: np.zeros((size[name], wide[name]), order="F") for name in wide}
         none = True
         for batch in batches:
             for _, _, rows, found in tokens(batch.column("text")):
@@ -313,11 +319,11 @@ def _scores(model: Model, rows: np.ndarray, found: np.ndarray, counts: np.ndarra
     for k in range(0, len(found), BATCH):
         now = slice(k, k + BATCH)
         x, target = features[now], of[now]
-        log = _log_softmax(model.class_logits(model.class_places(x)))[np.arange(len(target)), target].astype(np.float64)
+        log = _log_chance(model.class_logits(model.class_places(x)), target)
         inside = np.flatnonzero(target < CLASSES)
         if len(inside):
-            member = _log_softmax(model.member_logits(model.member_places(x[inside]), target[inside]))
-            log[inside] += member[np.arange(len(inside)), ids[now][inside] % MEMBERS]
+            x, target = model.member_places(x[inside]), target[inside]
+            log[inside] += _log_chance(model.member_logits(x, target), ids[now][inside] % MEMBERS)
         out[now] = log / np.log(10)
     banded = ids >= INSIDE
     out[banded] += np.log10(counts[banded] / model.masses[ids[banded] - INSIDE])
