@@ -553,6 +553,21 @@ def a12_listagg(t: Tables) -> DataFrame:
     return aggregates.audit_text(orders, "idCliente", ["Fecha"], entry, " | ")
 
 
+@query(
+    "a12_audit_parts",
+    star_query(
+        """SELECT idCliente, (n - 1) // 4 AS parte, string_agg(texto, ' | ' ORDER BY n) AS texto FROM (
+  SELECT idCliente, texto, row_number() OVER (PARTITION BY idCliente ORDER BY Fecha, texto) AS n FROM (
+    SELECT idCliente, CAST(Fecha_Pedido AS DATE) AS Fecha, strftime(Fecha_Pedido, '%d/%m/%Y') || ' R' || idVendedor AS texto
+    FROM Pedidos)) GROUP BY 1, 2"""
+    ),
+)
+def a12_audit_parts(t: Tables) -> DataFrame:
+    orders = t["Pedidos"].withColumn("Fecha", F.to_date("Fecha_Pedido"))
+    entry = F.concat(dates.fmt_dmy("Fecha"), F.lit(" R"), "idVendedor")
+    return aggregates.audit_parts(orders, "idCliente", "Fecha", [], entry, " | ", entries=4)
+
+
 @query(
     "a13_clamp",
     star_query(f"SELECT IdCliente, {num('greatest(sum(Importe - 100000), 0)', 'saldo')} FROM Caja GROUP BY 1"),

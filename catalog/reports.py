@@ -348,6 +348,49 @@ def r11_holiday(t: Tables) -> DataFrame:
     return operations.holiday_recovery(t, dt.date(2001, 5, 1), months=24)
 
 
+def _key_rule(table: str, source: str, columns: str) -> str:
+    return f"""SELECT '{table}' AS Tabla, 'clave' AS Regla, '{columns}' AS Columnas, CAST(coalesce(sum(n), 0) AS BIGINT) AS Filas,
+  CAST(0 AS BIGINT) AS Nulas, count(*) FILTER (WHERE n > 1) AS Claves, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS Filas_Malas
+FROM (SELECT count(*) AS n FROM {source} GROUP BY {columns})"""
+
+
+def _reference_rule(table: str, column: str, parent: str, key: str) -> str:
+    return f"""SELECT '{table}' AS Tabla, 'referencia' AS Regla, '{column}' AS Columnas, count(*) AS Filas,
+  count(*) FILTER (WHERE {column} IS NULL) AS Nulas, count(DISTINCT CASE WHEN {key} IS NULL THEN {column} END) AS Claves,
+  count(*) FILTER (WHERE {key} IS NULL AND {column} IS NOT NULL) AS Filas_Malas
+FROM {table} LEFT JOIN (SELECT DISTINCT {key} FROM {parent}) ON {column} = {key}"""
+
+
+@query(
+    "r12_key_audit",
+    star_query(
+        " UNION ALL ".join(
+            [
+                _key_rule("Clientes", "Clientes", "NroCta"),
+                _key_rule("Pedidos", "Pedidos", "idPedido"),
+                _key_rule("Pedidos_Productos", "Lineas", "idPedido, idProducto"),
+                _key_rule("ClientesServicios", "maquinas", "IdCliente"),
+                _reference_rule("Pedidos", "idCliente", "Clientes", "NroCta"),
+                _reference_rule("Movimientos_Equipos", "IdCliente", "ClientesBaja", "NroCta"),
+            ]
+        )
+    ),
+)
+def r12_key_audit(t: Tables) -> DataFrame:
+    """Keys that repeat and values that name no row: orders of closed accounts are orphans of the active ones."""
+    keys = {
+        "Clientes": ["NroCta"],
+        "Pedidos": ["idPedido"],
+        "Pedidos_Productos": ["idPedido", "idProducto"],
+        "ClientesServicios": ["IdCliente"],
+    }
+    references = {
+        ("Pedidos", "idCliente"): [("Clientes", "NroCta")],
+        ("Movimientos_Equipos", "IdCliente"): [("ClientesBaja", "NroCta")],
+    }
+    return audit.key_audit(t, keys, references)
+
+
 @query(
     "r12_counts",
     star_query(

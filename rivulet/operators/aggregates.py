@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.exprs import ratio
@@ -38,6 +38,34 @@ def audit_text(events: DataFrame, key: str, order: Sequence[str], text: Column,
     return counted.groupBy(key).agg(joined_text(F.array_sort(F.collect_list(entry)), separator).alias("texto"))
 
 
+def audit_parts(
+    events: DataFrame, key: str, day: str, order: Sequence[str], text: Column, separator: str, entries: int = 1000
+) -> DataFrame:
+    """(key, parte, texto): the text of `audit_text` in parts of at most `entries` events, numbered from 0;
+    joined by the separator in that order they are the whole text, however long.
+
+    Events are placed in two steps: the days of a key by running sums over one row per day, and the events of a day
+    by those of that day alone. So neither a window nor a gathered list grows with the history of a key.
+    An event without a day comes first.
+    """
+    counted = events.groupBy(key, day, *order, text.alias("_text")).agg(F.count(F.lit(1)).alias("_times"))
+    days = counted.groupBy(F.col(key).alias("_k"), F.col(day).alias("_d")).agg(F.sum("_times").alias("_n"))
+    earlier = Window.partitionBy("_k").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    within = Window.partitionBy(key, day).orderBy(*order, "_text").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("_at", F.coalesce(F.sum("_times").over(within), F.lit(0)))
+    same = F.col(key).eqNullSafe(F.col("_k")) & F.col(day).eqNullSafe(F.col("_d"))
+    placed = placed.join(days, same).withColumn("_first", F.col("_before") + F.col("_at"))
+    # An event that is there more often than a part holds goes on in the next ones.
+    part = lambda at: F.floor(at / entries).cast("long")
+    last = F.col("_first") + F.col("_times") - 1
+    parts = placed.withColumn("parte", F.explode(F.sequence(part(F.col("_first")), part(last))))
+    start = F.greatest("_first", F.col("parte") * entries)
+    end = F.least(last + 1, (F.col("parte") + 1) * entries)
+    entry = F.struct(start.alias("_start"), "_text", (end - start).cast("int").alias("_times"))
+    return parts.groupBy(key, "parte").agg(joined_text(F.array_sort(F.collect_list(entry)), separator).alias("texto"))
+
+
 def joined_text(entries: Column, separator: str) -> Column:
     """Entries (structs with `_text` and `_times`) to one text."""
     repeated = F.transform(entries, lambda e: F.array_repeat(e["_text"], e["_times"]))
