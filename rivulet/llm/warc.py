@@ -34,6 +34,9 @@ SAMPLE_BYTES = 1 << 20
 DICTIONARY_BYTES = 32 << 10
 LEVEL = 3
 MIN_REVISIT_BYTES = 1000
+SALTS = 32
+# Rows of a batch that are taken into Python at once.
+ROWS = 64
 PIECE = 1 << 20
 DATE = "1970-01-01T00:00:00Z"
 
@@ -53,7 +56,8 @@ RECORD = (
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """page_id, url, html, payload_bytes, payload_digest, record_type and refers_to of every page.
 
-    Digests are grouped without their pages and joined back, so equal pages never meet in one task.
+    Digests are grouped without their pages and joined back to the pages of `min_bytes` or more, equal ones
+    dealt over `SALTS` parts.
     Null html is an empty payload. Rows that repeat the largest page_id of their payload are all
     responses; a page without an id is the smallest.
     """
@@ -68,17 +72,19 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
         .where(F.col("copies") > 1)
         .drop("copies")
     )
+    # A digest that very many pages share is met in `SALTS` places; shorter pages are never revisits and stay out.
+    holders = holders.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    long = pages.where(F.col("payload_bytes") >= min_bytes)
+    long = long.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    met = long.join(holders, (F.col("payload_digest") == F.col("digest")) & (F.col("salt") == F.col("part")), "left")
+    met = met.unionByName(pages.where(F.col("payload_bytes") < min_bytes), allowMissingColumns=True)
     again = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
-    return (
-        pages.join(holders, F.col("payload_digest") == F.col("digest"), "left")
-        .withColumns(
-            {
-                "record_type": F.when(again, "revisit").otherwise("response"),
-                "refers_to": F.when(again, F.col("holder")),
-            }
-        )
-        .drop("digest", "holder")
-    )
+    return met.withColumns(
+        {
+            "record_type": F.when(again, "revisit").otherwise("response"),
+            "refers_to": F.when(again, F.col("holder")),
+        }
+    ).drop("digest", "holder", "salt", "part")
 
 
 def _header_value(value: str) -> str:
@@ -157,19 +163,28 @@ class _Archive:
         return {"path": self.path, "records": self.records, "payload_bytes": self.payload_bytes}
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as Spark resolves it, so that a path without a scheme is on the same file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    whole = path.getFileSystem(conf).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", whole)
+
+
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the pages of `with_revisits` as archives below `folder`; the manifest of what was written."""
-    folder = folder if re.match(r"[a-z0-9]+://", folder) else f"file://{re.sub('^file:', '', folder)}"
+    folder = _qualified(pages.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive, done = None, []
         for batch in batches:
-            for at in range(batch.num_rows):
-                archive = archive or _Archive(folder)
-                archive.add(_record({name: batch.column(name)[at].as_py() for name in batch.schema.names}))
-                if archive.payload_bytes >= archive_bytes:
-                    done.append(archive.close())
-                    archive = None
+            for at in range(0, batch.num_rows, ROWS):
+                for row in batch.slice(at, ROWS).to_pylist():
+                    archive = archive or _Archive(folder)
+                    archive.add(_record(row))
+                    if archive.payload_bytes >= archive_bytes:
+                        done.append(archive.close())
+                        archive = None
         if archive:
             done.append(archive.close())
         if done:
@@ -275,8 +290,15 @@ _SCHEMA = pa.schema(
 )
 
 
+def spread(manifest: DataFrame) -> DataFrame:
+    """The archives of a manifest dealt to as many tasks as there are archives, up to the number of shuffle
+    partitions. Their rows are tiny: left to itself, Spark would give all archives to one task."""
+    most = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.repartition(max(1, min(manifest.count(), most)))
+
+
 def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the archives named in `path`, one task for a few archives. Raises on a record
+    """The records of the archives named in `path`, which `spread` deals to tasks. Raises on a record
     that breaks the format."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,9 +323,8 @@ def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Write the pages to archives in the shared folder and read their records back: page_id,
     payload_bytes, payload_digest, record_type, refers_to, target_uri. An empty table gives no rows."""
     written = write_archives(with_revisits(pages), shared_folder(spark, "warc"))
-    spread = written.repartition("path")
     page = lambda name: F.regexp_extract(name, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
-    return read_archives(spread, payloads=False).select(
+    return read_archives(spread(written), payloads=False).select(
         page("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",

@@ -101,6 +101,23 @@ def test_archives_round_trip(spark):
     assert warc.round_trip(spark, pages.limit(0)).count() == 0
 
 
+def test_archives_are_read_by_as_many_tasks(spark):
+    pages = spark.range(40).selectExpr("id AS page_id", "'u' AS url", "repeat(cast(id AS string), 300) AS html")
+    written = warc.write_archives(warc.with_revisits(pages), shared_folder(spark, "warc"), archive_bytes=500)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert written.count() >= most
+    assert warc.read_archives(warc.spread(written)).rdd.getNumPartitions() == most
+    few = warc.spread(written.limit(3))
+    assert few.rdd.getNumPartitions() == 3
+
+
+def test_equal_pages_meet_in_several_places(spark):
+    pages = spark.range(400).selectExpr("id AS page_id", "cast(id AS string) AS url", "if(id < 300, repeat('x', 2000), 'y') AS html")
+    found = warc.with_revisits(pages)
+    rows = {r.page_id: (r.record_type, r.refers_to) for r in found.collect()}
+    assert rows == {i: ("revisit", 299) if i < 299 else ("response", None) for i in range(400)}
+
+
 def test_broken_archives_are_refused(spark, tmp_path):
     pages = spark.createDataFrame([(i, "u", "text " * 300 + str(i)) for i in range(20)], "page_id long, url string, html string")
     folder = str(tmp_path / "w")
