@@ -441,8 +441,11 @@ def _with_leaders(late: DataFrame) -> DataFrame:
 
 
 def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
-    """Pairs of classes in different components whose groups share a prefix shingle, or are one."""
-    groups = members.select("group", "n", "f", "component").distinct()
+    """Pairs of classes in different components whose groups share a prefix shingle, or are one.
+
+    Each step is written: as one plan they are so large that planning it over and over, as its stages end,
+    fills the driver's memory."""
+    groups = stored(members.select("group", "n", "f", "component").distinct(), "groups")
     single = groups.groupBy("component").agg((F.count("*") == 1).alias("lone"))
 
     def pairs_of(cells: DataFrame, by_late: bool) -> DataFrame:
@@ -451,12 +454,16 @@ def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
         the other as a whole, once for all keys they share; of two larger ones only groups of a key meet.
         `by_late`: the keys are frequent shingles, so what two groups may share is bounded."""
         allow = _late_allow if by_late else lambda n_a, f_a, n_b, f_b: _sizes_allow(n_a, n_b)
-        few = cells.groupBy("key", "component").agg(
-            F.min("n").alias("low"), F.max("n").alias("high"), F.max("f").alias("most")
+        held = few = stored(
+            cells.groupBy("key", "component").agg(
+                F.min("n").alias("low"), F.max("n").alias("high"), F.max("f").alias("most")
+            ),
+            "parts",
         )
         mixed_keys = few.groupBy("key").agg(F.count("*").alias("parts")).where("parts > 1").select("key")
-        cells = cells.join(mixed_keys, "key", "left_semi")
-        few = few.join(mixed_keys, "key", "left_semi").join(single, "component")
+        few = stored(few.join(mixed_keys, "key", "left_semi").join(single, "component"), "mixed-parts")
+        forget(held)
+        cells = stored(cells.join(few.select("key").distinct(), "key", "left_semi"), "cells")
         other = few.select(
             "key",
             F.col("component").alias("other"),
@@ -469,7 +476,7 @@ def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
         if by_late:
             near &= (WHOLE + PART) * F.least("most", "most_b") >= PART * (F.col("low") + F.col("low_b"))
         meet = few.join(other, "key").where((F.col("component") < F.col("other")) & near)
-        meet = meet.select("key", "component", "other", (F.col("lone") | F.col("lone_b")).alias("simple"))
+        meet = stored(meet.select("key", "component", "other", (F.col("lone") | F.col("lone_b")).alias("simple")), "meet")
         of = lambda df, x, key, *more: df.select(
             *more, F.col("component").alias(key), F.col("group").alias(x), F.col("n").alias(f"n_{x}"), F.col("f").alias(f"f_{x}")
         )
@@ -479,14 +486,18 @@ def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
         rest = meet.where("NOT simple").join(of(cells, "a", "component", "key"), ["key", "component"])
         rest = rest.join(of(cells, "b", "other", "key"), ["key", "other"]).where(allowed)
         columns = ["a", "component", "b", "other"]
-        return simple.select(*columns).union(rest.select(*columns))
+        found = stored(simple.select(*columns).union(rest.select(*columns)).distinct(), "apart")
+        forget(few, cells, meet)
+        return found
 
     by_shingle = late.join(groups.select("group", "component"), "group").withColumnRenamed("shingle", "key")
     by_group = groups.withColumn("key", F.col("group"))
     of_a = groups.select(F.col("group").alias("a"), "component")
     of_b = groups.select(F.col("group").alias("b"), F.col("component").alias("other"))
     rare = rare.join(of_a, "a").join(of_b, "b").where("component <> other").select("a", "component", "b", "other")
-    meet = pairs_of(by_shingle, True).union(pairs_of(by_group, False)).union(rare).distinct()
+    found = [pairs_of(by_shingle, True), pairs_of(by_group, False)]
+    meet = stored(found[0].union(found[1]).union(rare).distinct(), "met")
+    forget(groups, *found)
     class_a = members.select(F.col("group").alias("a"), "component", F.col("class").alias("class_a"))
     class_b = members.select(F.col("group").alias("b"), F.col("component").alias("other"), F.col("class").alias("class_b"))
     return (

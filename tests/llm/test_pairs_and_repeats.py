@@ -5,9 +5,13 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rivulet.llm import chunks, jaccard, repeats, suffixes
+from rivulet.llm.spans import with_spans
+from rivulet.llm.tables import stored
 
 
 def rows_of(df):
@@ -143,3 +147,37 @@ def test_rows_of_one_doc_id_are_judged_by_their_texts(spark):
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
         [(1, a), (1, b), (3, c), (None, b), (None, None), (4, None), (4, None)], key=str
     )
+
+
+def test_steps_of_the_jaccard_join_are_small_plans(monkeypatch, odd_docs):
+    """A plan is planned anew whenever a stage of it ends, and the driver keeps what it prints of it."""
+    joins = []
+
+    def counted(df, purpose, write=jaccard.stored):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return write(df, purpose)
+
+    monkeypatch.setattr(jaccard, "FREQUENT", 2)
+    monkeypatch.setattr(jaccard, "stored", counted)
+    jaccard.linked_documents(odd_docs)
+    assert max(joins) <= 8
+
+
+def test_texts_go_to_workers_in_short_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    found = stored(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long"), "sizes")
+    assert sorted({r.n for r in found.collect()}) == [1000]
+    assert spark.conf.get(name) == before
+
+
+def test_only_texts_that_may_have_spans_are_cut(spark):
+    docs = spark.range(200).selectExpr("id AS key", "CAST(id AS STRING) AS text")
+    held = spark.createDataFrame([(7, [(0, 1)])], "key long, spans array<struct<first:int,last:int>>")
+    done = with_spans(docs, held, lambda some: some.withColumn("text", F.lit("cut")))
+    assert [r.text for r in done.where("spans IS NOT NULL").collect()] == ["cut"]
+    assert done.where("spans IS NULL AND text <> 'cut'").count() == 199
