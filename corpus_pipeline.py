@@ -23,7 +23,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings of 400 that stand elsewhere too are cut out of the texts; all documents stay."""
+    """Strings of 400 bytes and of 50 words that stand elsewhere too are cut out of the texts; all documents stay."""
     return repeats.without_repeats(docs)
 
 

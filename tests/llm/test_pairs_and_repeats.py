@@ -47,6 +47,37 @@ def test_trimmed_documents_keep_columns_and_characters(odd_docs):
     assert all(r.n_chars == len(r.text or "") for r in done.collect())
 
 
+def test_repeated_passages_of_fifty_words_are_cut(spark):
+    rng = random.Random(9)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghé") for _ in range(rng.randint(1, 7))) for _ in range(n))
+    passage = [text(50 + k % 4) for k in range(12)]
+    assert sum(len(p.encode()) < 300 for p in passage) > 6
+    rows, kept = [], []
+    for k, p in enumerate(passage):
+        for spaced in (p, p.replace(" ", "\n ")):
+            ends = text(30) + f" a{len(rows)}", f"b{len(rows)} " + text(20)
+            rows.append((len(rows), f"{ends[0]} {spaced} {ends[1]}"))
+            kept.append(f"{ends[0]}  {ends[1]}")
+    # One word less, and the same words with one altered in their midst, stay.
+    for short in (text(49), text(30)):
+        for k in range(2):
+            rows.append((len(rows), f"c{len(rows)} {short} d{len(rows)} {text(10)}"))
+            kept.append(rows[-1][1])
+    # Bytes without white space go by their number (with the spaces around, which are alike), two passages that overlap as one, and twice in one text counts.
+    run = "".join(rng.choice("abcdefgh") for _ in range(420))
+    both = text(80).split(" ")
+    more = [f"e {run} f", f"g {run} h", "i " + " ".join(both) + " j", "k " + " ".join(both[:55]) + " l", "m " + " ".join(both[25:]) + " n"]
+    twice = text(50)
+    more.append(f"{twice} o {twice} p")
+    gone = ["ef", "gh", "i j", "k l", "m n", "o p"]
+    rows += [(len(rows) + k, x) for k, x in enumerate(more)] + [(500, None), (501, ""), (502, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in repeats.without_repeats(docs).collect()}
+    assert [found[i] for i in range(len(kept))] == kept
+    assert [" ".join(found[len(kept) + k].split()) for k in range(len(more))] == gone
+    assert [found[i] for i in (500, 501, 502)] == [None, "", " \n"]
+
+
 def test_suffix_order_is_that_of_sorted_suffixes(spark):
     strings = {1: [3, 1, 3, 1, 3, 1, 2], 2: [1, 3, 1, 2], 3: [2] * 7, 4: [5], 5: [3, 1]}
     data = [(i, s, [1] * len(s)) for i, s in strings.items()]
