@@ -34,15 +34,20 @@ def sold(t: Tables) -> DataFrame:
 def _csv_of(t: Tables, names: list[str]) -> str:
     """Write tables as CSV files with a header, all columns of the schema, under the shared folder."""
     folder = rowsets.shared_folder(t.spark, "csv")
-    for name in names:
-        have = t[name].columns
+
+    def put(name: str, table: DataFrame) -> None:
         full = [
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in table.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in canonical_schema(name).fields
         ]
-        t[name].select(*full).write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(
+        table.select(*full).write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(
             f"{folder}/{name}.csv"
         )
+
+    with rowsets.side_by_side(t.spark) as start:
+        running = [start(put, name, t[name]) for name in names]
+    for job in running:
+        job.result()
     return folder
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Iterable
+from concurrent.futures import Future
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.operators.rowsets import side_by_side
 from rivulet.sources.layout import CORRUPT, TooManyRejects, write_lot
 from rivulet.sources.lots import DATE_OF_PARENT, Lots
 from rivulet.sources.schema import TABLE_COLUMNS, WHOLE_KINDS, canonical_schema, columns_of, file_schema
@@ -78,27 +80,36 @@ def load_all(
     day: dt.date | None = None,
 ) -> tuple[Tables, DataFrame]:
     """Write each table's CSV as Parquet, count and time it. A table that fails is reported and
-    the others still load. A table laid out by its parent's date is loaded after that parent.
+    the others still load. Several tables are loaded at a time, one laid out by its parent's date after that
+    parent; the time of a table is from its own start to its end.
 
     A malformed row fails its table; with `quarantine` it goes to the table's rejects (see `rejects`) and
     the rest is loaded, unless more than `most_rejected` rows are malformed. `day` is since when the
     load counts as known. The file is read once: the write itself tells the rows loaded and rejected.
     """
-    report = []
-    done = []
-    for name in sorted(names, key=lambda table: table in DATE_OF_PARENT):
+    names = sorted(names, key=lambda table: table in DATE_OF_PARENT)
+
+    def load(name: str, parent: str, waiting: Future | None) -> tuple:
+        there = waiting is not None and waiting.result()[-1] is None
         started = time.monotonic()
         rows, refused, error = None, None, None
         try:
             source = read_csv(spark, f"{csv_dir}/{name}.csv", name, keep_corrupt=quarantine)
-            parent = DATE_OF_PARENT.get(name, ("", ""))[0]
-            dated = Lots(spark, f"{parquet_dir}/{parent}", parent).read() if parent in done else None
+            dated = Lots(spark, f"{parquet_dir}/{parent}", parent).read() if there else None
             rows, refused = write_lot(source, f"{parquet_dir}/{name}", name, 0, dated, day, most_rejected)
-            done.append(name)
         except (PySparkException, Py4JJavaError, TooManyRejects) as problem:
             error = str(problem).splitlines()[0]
-        report.append((name, rows, refused, int((time.monotonic() - started) * 1000), error))
-    tables = Tables.from_parquet(spark, parquet_dir, done)
+        return name, rows, refused, int((time.monotonic() - started) * 1000), error
+
+    parent_of = {name: DATE_OF_PARENT.get(name, ("", ""))[0] for name in names}
+    # Parents first, then what waits for them: the wait is short and the rest fills in.
+    order = sorted(parent_of, key=lambda table: (table not in parent_of.values(), not parent_of[table]))
+    running: dict[str, Future] = {}
+    with side_by_side(spark) as start:
+        for name in order:
+            running[name] = start(load, name, parent_of[name], running.get(parent_of[name]))
+    report = [running[name].result() for name in parent_of]
+    tables = Tables.from_parquet(spark, parquet_dir, [name for name, *_, error in report if error is None])
     return tables, spark.createDataFrame(report, REPORT_SCHEMA)
 
 

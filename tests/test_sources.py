@@ -1,4 +1,5 @@
 import datetime as dt
+import threading
 from decimal import Decimal
 
 import pytest
@@ -7,6 +8,7 @@ from world import order, tables
 
 from rivulet.operators.rowsets import keep, month_calendar, shared_folder, values
 from rivulet.plans.orders import raw_lines
+from rivulet.sources import csv_files, layout
 from rivulet.sources.csv_files import CORRUPT, load_all, read_csv
 from rivulet.sources.layout import MONTH, in_window, save_bucketed, write, write_lot, write_table
 from rivulet.sources.schema import TABLE_COLUMNS, canonical_schema, columns_of
@@ -76,6 +78,27 @@ def test_load_reports_each_table_and_goes_on(spark, tmp_path):
     assert loaded["CondPAGO"].count() == 2
 
 
+def test_tables_are_loaded_side_by_side_and_after_their_parent(spark, tmp_path, monkeypatch):
+    for name, row in (("Categorias", "A,uno"), ("CteVtas", "FACA,Factura,D"), ("Pedidos", "1,2,2026-05-01,3,,,,,PR,")):
+        put(tmp_path / f"{name}.csv", ",".join(n for n, _ in columns_of(name)) + f"\n{row}\n")
+    put(tmp_path / "Pedidos_Productos.csv", ",".join(n for n, _ in columns_of("Pedidos_Productos")) + "\n1,A,N,1,10,\n")
+    both = threading.Barrier(2, timeout=60)
+    written = []
+
+    def write_lot(df, path, table, *args):
+        if table in ("Categorias", "CteVtas"):
+            both.wait()
+        written.append(table)
+        return layout.write_lot(df, path, table, *args)
+
+    monkeypatch.setattr(csv_files, "write_lot", write_lot)
+    names = ["Pedidos_Productos", "Categorias", "Pedidos", "CteVtas"]
+    loaded, report = load_all(spark, str(tmp_path), str(tmp_path / "out"), names)
+    assert [(r.tabla, r.filas, r.error) for r in report.collect()] == [(n, 1, None) for n in [*names[1:], names[0]]]
+    assert written.index("Pedidos") < written.index("Pedidos_Productos")
+    assert [str(r[MONTH]) for r in loaded["Pedidos_Productos"].collect()] == ["2026-05-01"]
+
+
 def test_month_folders_prune_the_scan(spark, tmp_path):
     t = tables(spark, Pedidos=[order(i, 1, f"2026-{m:02d}-15") for i, m in enumerate(range(1, 13))])
     write_table(t["Pedidos"], str(tmp_path / "Pedidos"), "Pedidos")
