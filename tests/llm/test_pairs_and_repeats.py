@@ -78,6 +78,13 @@ def test_repeated_passages_of_fifty_words_are_cut(spark):
     assert [found[i] for i in (500, 501, 502)] == [None, "", " \n"]
 
 
+def test_few_strings_are_not_dealt_over_many_ranges(spark):
+    few = spark.createDataFrame([(1, [(0, 800)]), (2, [(8, 16), (40, 400)])], "key long, runs array<struct<first:int,last:int>>")
+    many = spark.createDataFrame([(1, [(0, 1 << 30)])], few.schema)
+    assert [repeats.ranges_for(few, step) for step in (1, 8)] == [1, 1]
+    assert repeats.ranges_for(few.limit(0), 1) == 1 and repeats.ranges_for(many, 8) == repeats.ranges_of(spark)
+
+
 def test_suffix_order_is_that_of_sorted_suffixes(spark):
     strings = {1: [3, 1, 3, 1, 3, 1, 2], 2: [1, 3, 1, 2], 3: [2] * 7, 4: [5], 5: [3, 1]}
     data = [(i, s, [1] * len(s)) for i, s in strings.items()]
