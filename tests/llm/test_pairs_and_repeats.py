@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import brute
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rivulet.llm import chunks, jaccard, repeats, suffixes
+from rivulet.llm import anchors, chunks, jaccard, repeats, suffixes
 from rivulet.llm.spans import with_spans
 from rivulet.llm.tables import stored
 
@@ -85,6 +86,36 @@ def test_few_strings_are_not_dealt_over_many_ranges(spark):
     assert repeats.ranges_for(few.limit(0), 1) == 1 and repeats.ranges_for(many, 8) == repeats.ranges_of(spark)
 
 
+def test_texts_without_a_whole_window(spark):
+    rows = [(k, "short " * (k % 9)) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert rows_of(repeats.trimmed(docs)) == brute.without_repeats(rows, repeats.LENGTH)
+
+
+def test_anchors_by_blocks_are_those_of_all_texts_at_once(monkeypatch):
+    rng = np.random.default_rng(2)
+    sizes = np.concatenate([rng.integers(0, 400, 300), [70_000, 0, 134, 135, 136, 5000]])
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    data = rng.integers(97, 100, offsets[-1], dtype=np.uint8)
+    found = []
+    for block in (1, 1 << 12, 1 << 30):
+        monkeypatch.setattr(anchors, "BLOCK", block)
+        found.append(anchors.anchors(data, offsets))
+    for some in found[:2]:
+        assert all(np.array_equal(a, b) for a, b in zip(some, found[2]))
+
+
+def test_anchors_need_little_more_memory_than_they_fill():
+    data = np.random.default_rng(4).integers(97, 123, 1 << 22, dtype=np.uint8)
+    offsets = np.arange(0, len(data) + 1, 1 << 11)
+    tracemalloc.start()
+    try:
+        anchors.anchors(data, offsets)
+        assert tracemalloc.get_traced_memory()[1] < 4 * len(data)
+    finally:
+        tracemalloc.stop()
+
+
 def test_suffix_order_is_that_of_sorted_suffixes(spark):
     strings = {1: [3, 1, 3, 1, 3, 1, 2], 2: [1, 3, 1, 2], 3: [2] * 7, 4: [5], 5: [3, 1]}
     data = [(i, s, [1] * len(s)) for i, s in strings.items()]
