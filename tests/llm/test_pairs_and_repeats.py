@@ -86,6 +86,29 @@ def test_few_strings_are_not_dealt_over_many_ranges(spark):
     assert repeats.ranges_for(few.limit(0), 1) == 1 and repeats.ranges_for(many, 8) == repeats.ranges_of(spark)
 
 
+def test_small_tables_in_many_partitions_are_not_written_as_many_files(spark, monkeypatch, odd_docs):
+    written, left = [], set()
+
+    def counted(df, *how, write=repeats.stored):
+        kept = write(df, *how)
+        written.append(kept.inputFiles())
+        left.add(kept._stored_at)
+        return kept
+
+    def gone(*frames, remove=repeats.forget):
+        left.difference_update(df._stored_at for df in frames)
+        remove(*frames)
+
+    for module in (repeats, suffixes):
+        monkeypatch.setattr(module, "stored", counted)
+        monkeypatch.setattr(module, "forget", gone)
+    cores = spark.sparkContext.defaultParallelism
+    done = repeats.without_repeats(odd_docs.repartition(3 * cores + 5))
+    assert max(map(len, written)) <= cores
+    # Only the cuts are still read.
+    assert len(left) == 1 and done.count() == odd_docs.count()
+
+
 def test_texts_without_a_whole_window(spark):
     rows = [(k, "short " * (k % 9)) for k in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
