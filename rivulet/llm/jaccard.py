@@ -46,7 +46,7 @@ from rivulet.llm.blocks import (
 )
 from rivulet.llm.bytetext import SubstringHash, distinct_in_rows, give_back, lower_ascii, mixed, text_slices, word_spans
 from rivulet.llm.components import components
-from rivulet.llm.tables import forget, nested, stored
+from rivulet.llm.tables import by_few, forget, nested, stored, writing_tasks
 
 SHINGLE = 5
 FREQUENT = 24
@@ -345,8 +345,9 @@ def compared(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame
     )
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+def _ordered(pairs: DataFrame, tasks: int) -> DataFrame:
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")
+    return by_few(pairs.distinct(), tasks)
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
@@ -362,46 +363,46 @@ def linked_documents(docs: DataFrame) -> DataFrame:
 
 def _linked(docs: DataFrame) -> DataFrame:
     """As `linked_documents`, with the hash of the text and the component's name (null without shingles)."""
+    tasks = writing_tasks(docs)
     frequent = frequent_shingles(docs)
-    told = stored(described(docs, frequent), "shingled")
+    few = lambda df: by_few(df, tasks)
+    told = stored(few(described(docs, frequent)), "shingled")
     some = told.where("n > 0")
-    classes = stored(
-        some.groupBy("class").agg(
-            F.min("doc_id").alias("doc"),
-            F.first("group").alias("group"),
-            F.first("n").alias("n"),
-            F.first("f").alias("f"),
-            F.first("sketch").alias("sketch"),
-        ),
-        "classes",
+    classes = some.groupBy("class").agg(
+        F.min("doc_id").alias("doc"),
+        F.first("group").alias("group"),
+        F.first("n").alias("n"),
+        F.first("f").alias("f"),
+        F.first("sketch").alias("sketch"),
     )
+    classes = stored(few(classes), "classes")
     first = classes.groupBy("group").agg(F.min("class").alias("leader"))
     rare = rare_meetings(docs, frequent)
     # A shingle of many groups is one of many documents and so marked as frequent: all that meet here are pairs.
-    rare = stored(rare.where("b IS NOT NULL").select("a", "b"), "meetings")
-    late = stored(some.select("group", "n", "f", F.explode("late").alias("shingle")).distinct(), "late")
-    group_pairs = stored(_ordered(rare.union(_with_leaders(late))), "group-pairs")
+    rare = stored(few(rare.where("b IS NOT NULL").select("a", "b")), "meetings")
+    late = stored(few(some.select("group", "n", "f", F.explode("late").alias("shingle")).distinct()), "late")
+    group_pairs = stored(_ordered(rare.union(_with_leaders(late)), tasks), "group-pairs")
     within = classes.join(first, "group").select(F.col("leader").alias("a"), F.col("class").alias("b"))
     of_a = first.select(F.col("group").alias("a"), F.col("leader").alias("class_a"))
     of_b = first.select(F.col("group").alias("b"), F.col("leader").alias("class_b"))
     between = group_pairs.join(of_a, "a").join(of_b, "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
-    first_pairs = stored(possible(_ordered(within.union(between)), classes), "pairs")
-    checked = stored(compared(docs, first_pairs, classes), "compared")
+    first_pairs = stored(few(possible(_ordered(within.union(between), tasks), classes)), "pairs")
+    checked = stored(few(compared(docs, first_pairs, classes)), "compared")
     forget(first_pairs, group_pairs)
-    reached = stored(components(checked.where("linked").select("a", "b")), "reached")
+    reached = stored(few(components(checked.where("linked").select("a", "b"), tasks)), "reached")
 
     members = (
         classes.join(reached, F.col("class") == F.col("node"), "left")
         .select("group", "class", "n", "f", F.coalesce("component", "class").alias("component"))
     )
-    members = stored(members, "members")
-    left = _ordered(_apart(members, rare, late)).join(checked, ["a", "b"], "left_anti")
-    left = stored(possible(left, classes), "pairs")
+    members = stored(few(members), "members")
+    left = _ordered(_apart(members, rare, late, tasks), tasks).join(checked, ["a", "b"], "left_anti")
+    left = stored(few(possible(left, classes)), "pairs")
     forget(rare, late, checked, members)
     if not left.isEmpty():
         again = compared(docs, left, classes).where("linked").select("a", "b")
         links = reached.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)
-        reached = stored(components(links), "reached")
+        reached = stored(few(components(links, tasks)), "reached")
     forget(left)
 
     named = classes.join(reached, F.col("class") == F.col("node"), "left").select(
@@ -440,12 +441,13 @@ def _with_leaders(late: DataFrame) -> DataFrame:
     return met.where(_late_allow(F.col("n"), F.col("f"), F.col("n_b"), F.col("f_b"))).select("a", "b")
 
 
-def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
+def _apart(members: DataFrame, rare: DataFrame, late: DataFrame, tasks: int) -> DataFrame:
     """Pairs of classes in different components whose groups share a prefix shingle, or are one.
 
     Each step is written: as one plan they are so large that planning it over and over, as its stages end,
     fills the driver's memory."""
-    groups = stored(members.select("group", "n", "f", "component").distinct(), "groups")
+    few_tasks = lambda df: by_few(df, tasks)
+    groups = stored(few_tasks(members.select("group", "n", "f", "component").distinct()), "groups")
     single = groups.groupBy("component").agg((F.count("*") == 1).alias("lone"))
 
     def pairs_of(cells: DataFrame, by_late: bool) -> DataFrame:
@@ -454,16 +456,14 @@ def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
         the other as a whole, once for all keys they share; of two larger ones only groups of a key meet.
         `by_late`: the keys are frequent shingles, so what two groups may share is bounded."""
         allow = _late_allow if by_late else lambda n_a, f_a, n_b, f_b: _sizes_allow(n_a, n_b)
-        held = few = stored(
-            cells.groupBy("key", "component").agg(
-                F.min("n").alias("low"), F.max("n").alias("high"), F.max("f").alias("most")
-            ),
-            "parts",
+        few = cells.groupBy("key", "component").agg(
+            F.min("n").alias("low"), F.max("n").alias("high"), F.max("f").alias("most")
         )
+        held = few = stored(few_tasks(few), "parts")
         mixed_keys = few.groupBy("key").agg(F.count("*").alias("parts")).where("parts > 1").select("key")
-        few = stored(few.join(mixed_keys, "key", "left_semi").join(single, "component"), "mixed-parts")
+        few = stored(few_tasks(few.join(mixed_keys, "key", "left_semi").join(single, "component")), "mixed-parts")
         forget(held)
-        cells = stored(cells.join(few.select("key").distinct(), "key", "left_semi"), "cells")
+        cells = stored(few_tasks(cells.join(few.select("key").distinct(), "key", "left_semi")), "cells")
         other = few.select(
             "key",
             F.col("component").alias("other"),
@@ -476,7 +476,8 @@ def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
         if by_late:
             near &= (WHOLE + PART) * F.least("most", "most_b") >= PART * (F.col("low") + F.col("low_b"))
         meet = few.join(other, "key").where((F.col("component") < F.col("other")) & near)
-        meet = stored(meet.select("key", "component", "other", (F.col("lone") | F.col("lone_b")).alias("simple")), "meet")
+        meet = meet.select("key", "component", "other", (F.col("lone") | F.col("lone_b")).alias("simple"))
+        meet = stored(few_tasks(meet), "meet")
         of = lambda df, x, key, *more: df.select(
             *more, F.col("component").alias(key), F.col("group").alias(x), F.col("n").alias(f"n_{x}"), F.col("f").alias(f"f_{x}")
         )
@@ -486,7 +487,7 @@ def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
         rest = meet.where("NOT simple").join(of(cells, "a", "component", "key"), ["key", "component"])
         rest = rest.join(of(cells, "b", "other", "key"), ["key", "other"]).where(allowed)
         columns = ["a", "component", "b", "other"]
-        found = stored(simple.select(*columns).union(rest.select(*columns)).distinct(), "apart")
+        found = stored(few_tasks(simple.select(*columns).union(rest.select(*columns)).distinct()), "apart")
         forget(few, cells, meet)
         return found
 
@@ -496,7 +497,7 @@ def _apart(members: DataFrame, rare: DataFrame, late: DataFrame) -> DataFrame:
     of_b = groups.select(F.col("group").alias("b"), F.col("component").alias("other"))
     rare = rare.join(of_a, "a").join(of_b, "b").where("component <> other").select("a", "component", "b", "other")
     found = [pairs_of(by_shingle, True), pairs_of(by_group, False)]
-    meet = stored(found[0].union(found[1]).union(rare).distinct(), "met")
+    meet = stored(few_tasks(found[0].union(found[1]).union(rare).distinct()), "met")
     forget(groups, *found)
     class_a = members.select(F.col("group").alias("a"), "component", F.col("class").alias("class_a"))
     class_b = members.select(F.col("group").alias("b"), F.col("component").alias("other"), F.col("class").alias("class_b"))
@@ -512,7 +513,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     several with it, one). Documents without shingles or without doc_id stay. Rows are told apart by doc_id
     and text: of rows that repeat both one stays, and a row whose doc_id another bears with an unrelated
     text is judged by its own."""
-    found = stored(_linked(docs), "linked").where("doc_id IS NOT NULL AND n_shingles > 0")
+    found = stored(by_few(_linked(docs), writing_tasks(docs)), "linked").where("doc_id IS NOT NULL AND n_shingles > 0")
     found = found.select("component", F.struct("doc_id", "hash").alias("pair"))
     kept = found.groupBy("component").agg(F.min("pair").alias("pair")).select("pair.*")
     named = found.select("pair.*")

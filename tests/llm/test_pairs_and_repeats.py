@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rivulet.llm import anchors, chunks, jaccard, repeats, suffixes
+from rivulet.llm import anchors, chunks, components, jaccard, repeats, suffixes
 from rivulet.llm.spans import with_spans
 from rivulet.llm.tables import stored
 
@@ -109,6 +109,31 @@ def test_small_tables_in_many_partitions_are_not_written_as_many_files(spark, mo
     assert len(left) == 1 and done.count() == odd_docs.count()
 
 
+def test_jaccard_steps_of_small_tables_are_written_by_few_tasks(spark, monkeypatch, odd_docs):
+    """The driver keeps a record of every task, so little rows are not dealt over all shuffle partitions."""
+    written = []
+
+    def counted(df, *how, write=stored):
+        kept = write(df, *how)
+        written.append(len(kept.inputFiles()))
+        return kept
+
+    for module in (jaccard, components):
+        monkeypatch.setattr(module, "stored", counted)
+    monkeypatch.setattr(jaccard, "FREQUENT", 2)
+    cores = spark.sparkContext.defaultParallelism
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": str(3 * cores)}
+    before = {name: spark.conf.get(name) for name in held}
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        jaccard.one_of_each(odd_docs.repartition(3 * cores))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(written) > 15 and max(written) <= cores
+
+
 def test_texts_without_a_whole_window(spark):
     rows = [(k, "short " * (k % 9)) for k in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
