@@ -26,6 +26,7 @@ from rivulet.llm.bytetext import (
     PUNCTUATION,
     SubstringHash,
     distinct_in_rows,
+    give_back,
     lower_ascii,
     text_slices,
     word_spans,
@@ -33,6 +34,8 @@ from rivulet.llm.bytetext import (
 from rivulet.llm.tables import stored
 
 MAX_LABELLED = 10_000
+# Features that are looked up at a time while the model is fitted.
+BLOCK = 1 << 16
 MIN_DOCS = 3
 STEMS = (4, 5, 6)
 MAX_WORDS = 1 << 18
@@ -178,13 +181,20 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Ordinal
         return OrdinalModel(words[:0], np.zeros(0), np.zeros(0), np.zeros(1))
     lists = rows.column("columns").combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    return _fitted(
-        words,
-        rows.column("grade").to_numpy(),
-        rows.column("weight").to_numpy(),
-        np.diff(lists.offsets.to_numpy()),
-        lists.flatten().to_numpy(zero_copy_only=False),
-    )
+    grade, weight, lengths = rows.column("grade").to_numpy(), rows.column("weight").to_numpy(), np.diff(lists.offsets.to_numpy())
+    model = _fitted(words, grade, weight, lengths, lists.flatten().to_numpy(zero_copy_only=False))
+    del rows, lists, grade, weight, lengths
+    # The driver goes on with other work.
+    give_back()
+    return model
+
+
+def _gathered(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """`values[at]`; numpy widens the whole of an index, so it gets a block at a time."""
+    out = np.empty(len(at), values.dtype)
+    for first in range(0, len(at), BLOCK):
+        out[first : first + BLOCK] = values[at[first : first + BLOCK]]
+    return out
 
 
 def _fitted(words, grade, weight, lengths, columns) -> OrdinalModel:
@@ -196,10 +206,15 @@ def _fitted(words, grade, weight, lengths, columns) -> OrdinalModel:
     if len(grades) == 1:
         return OrdinalModel(words[:0], np.zeros(0), thresholds, grades.astype(float))
     # Each document's words, and each word's documents, as runs: sums need no copy in double precision.
-    rows = np.repeat(np.arange(len(y), dtype=np.int32), lengths)
-    by_word = np.argsort(columns, kind="stable")
-    documents, uses = rows[by_word], np.bincount(columns, minlength=len(words))
-    del by_word, rows
+    # Word and document are one number, sorted where it stands: an order beside it would be as large again.
+    both = columns.astype(np.int64)
+    both <<= 32
+    both |= np.repeat(np.arange(len(y), dtype=np.int32), lengths)
+    both.sort()
+    both &= 0xFFFFFFFF
+    documents = both.astype(np.int32)
+    del both
+    uses = np.bincount(columns, minlength=len(words))
     lengths = lengths.astype(np.int64)
 
     def run_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -211,12 +226,12 @@ def _fitted(words, grade, weight, lengths, columns) -> OrdinalModel:
 
     # The loss curves by at most 1/2 in a row's score, and a row of n words is moved by n weights: a
     # bound for each weight, so that rare words are not held back by frequent ones.
-    step = 1 / np.maximum(0.5 * run_sums((share * lengths)[documents], uses), 1e-9)
+    step = 1 / np.maximum(0.5 * run_sums(_gathered(share * lengths, documents), uses), 1e-9)
     w, momentum, looked = np.zeros(len(words)), 1.0, np.zeros(len(words))
     for _ in range(ROUNDS):
-        scores = run_sums(looked.astype(np.float32)[columns], lengths)
+        scores = run_sums(_gathered(looked.astype(np.float32), columns), lengths)
         pull, shifts = _gradient(scores, y, share, thresholds)
-        gradient = run_sums(pull.astype(np.float32)[documents], uses)
+        gradient = run_sums(_gathered(pull.astype(np.float32), documents), uses)
         moved = looked - step * gradient
         following = np.sign(moved) * np.maximum(np.abs(moved) - step * PENALTY, 0)
         next_momentum = (1 + np.sqrt(1 + 4 * momentum**2)) / 2

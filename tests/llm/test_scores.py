@@ -1,5 +1,7 @@
 """Severity, language model, licences, quality and decontamination."""
 
+import tracemalloc
+
 import brute
 import numpy as np
 import pyarrow as pa
@@ -10,6 +12,18 @@ from rivulet.llm import decontamination, licences, maxent, quality, toxicity
 from rivulet.llm.tables import read
 
 
+def test_fitting_takes_little_more_memory_than_the_sample():
+    """The driver fits, next to a heap that has most of its memory."""
+    rng = np.random.default_rng(1)
+    lengths, words = rng.integers(100, 300, 2000), np.arange(5000)
+    columns, grade = rng.integers(0, len(words), lengths.sum()).astype(np.int32), rng.integers(0, 3, len(lengths))
+    tracemalloc.start()
+    model = toxicity._fitted(words, grade, np.ones(len(lengths)), lengths, columns)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.thresholds) == 2 and most < 3.7 * columns.nbytes
+
+
 def test_severity_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
